@@ -53,3 +53,25 @@ def ratio(top: Column, bottom: Column, default: float | None = 0.0) -> Column:
     """top / bottom, or ``default`` when bottom is 0 (or either is NULL)."""
     quotient = F.try_divide(top.cast("double"), bottom.cast("double"))
     return quotient if default is None else F.coalesce(quotient, F.lit(float(default)))
+
+
+def fixed_text(number: Column | str, digits: int) -> Column:
+    """Number as text with so many decimals, rounded by its exact binary value.
+
+    Ties go away from zero.  ``round`` works on the printed decimal instead
+    and would turn 0.15, which is stored slightly below, into 0.2.
+    For sizes below 10^12.
+    """
+    x = F.col(number) if isinstance(number, str) else number
+    size, scale = F.abs(x), 10**digits
+    product = size * float(scale)
+    # what the product lost: split the factor into two halves of 26 bits
+    wide = size * 134217729.0
+    high = wide - (wide - size)
+    lost = (high * float(scale) - product) + (size - high) * float(scale)
+    whole = F.floor(product)
+    rest = product - whole
+    up = (rest > 0.5) | ((rest == 0.5) & (lost >= 0))
+    n = whole + up.cast("bigint")
+    tail = F.lpad((n % scale).cast("string"), digits, "0")
+    return F.concat(F.when(x < 0, "-").otherwise(""), F.floor(n / scale).cast("string"), F.lit("."), tail)

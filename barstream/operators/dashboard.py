@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstream.functions.columns import iso_text
+from barstream.functions.columns import fixed_text, iso_text
 from barstream.operators.bars import candles, newest_bars
 from barstream.operators.ranking import latest_per_key, of_codes
 
@@ -32,7 +32,7 @@ def format_prediction(predictions: DataFrame) -> DataFrame:
     return predictions.select(
         "stock_code",
         "predicted_direction",
-        F.format_string("%.1f%%", F.round(F.col("confidence") * 100, 1)).alias("confidence_text"),
+        F.concat(fixed_text(F.col("confidence") * 100, 1), F.lit("%")).alias("confidence_text"),
         iso_text("predict_time").alias("predict_time"),
     )
 
@@ -49,7 +49,7 @@ def sentiment_band(df: DataFrame, score: str = "sentiment_score") -> DataFrame:
     """Add the colour band and the score as text with two decimals."""
     s = F.col(score)
     band = F.when(s > GREEN_ABOVE, "green").when(s < RED_BELOW, "red").otherwise("orange")
-    return df.withColumns({"band": band, "score_text": F.format_string("%.2f", F.round(s, 2))})
+    return df.withColumns({"band": band, "score_text": fixed_text(s, 2)})
 
 
 def _gauge(news: DataFrame, n: int) -> DataFrame:

@@ -224,8 +224,9 @@ def smooth(
     facts = [(k, s, n, None if j == 0 else 0.0) for k, run in sizes.items() for j, (s, n) in enumerate(run)]
     small = _key_table(df, key, facts, "_at int, _rows bigint, _zero double")
     slim = sliced.where("_slice >= 0").select(*ids, *[c for c in order if c not in ids], *[c for c in inputs if c not in order])
-    ready = _attach(slim.repartition(*ids).sortWithinPartitions(*ids, *order), small, key, "left", on_slice=True)
-    ready = ready.select("*", *[F.col("_zero").alias(c) for c in carries])
+    # sort last: the optimizer drops a sort that lies below a join
+    ready = _attach(slim.repartition(*ids), small, key, "left", on_slice=True)
+    ready = ready.select("*", *[F.col("_zero").alias(c) for c in carries]).sortWithinPartitions(*ids, *order)
     ends_schema = _with(
         T.StructType([df.schema[key], T.StructField("_slice", T.IntegerType())]),
         [T.StructField(f"_end_{i}", T.DoubleType()) for i in range(size)],
@@ -239,8 +240,8 @@ def smooth(
     entering = ends.groupBy(key).applyInPandas(_entering_states(key, steps), carry_schema)
     for c in carries:  # pandas has no NULL double
         entering = entering.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    rows = sliced.repartition(*ids).sortWithinPartitions(*ids, *order)
-    rows = _attach(rows, entering, key, "left", on_slice=True)
+    rows = _attach(sliced.repartition(*ids), entering, key, "left", on_slice=True)
+    rows = rows.sortWithinPartitions(*ids, *order)
     done = rows.mapInArrow(_smooth_rows(ids, steps, True, {"_slice", *carries}), _with(df.schema, made))
     missing = df.where(~whole).select("*", *[F.lit(None).cast("double").alias(s.name) for s in steps])
     return done.unionByName(missing)

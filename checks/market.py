@@ -221,7 +221,10 @@ def latest_prediction(spark, sf_dir):
     return D.latest_prediction(X.predictions(spark, sf_dir))
 
 
-CARD = """SELECT stock_code, predicted_direction, printf('%.1f%%', round(confidence * 100, 1)) AS confidence_text,
+# printf rounds by the exact binary value but exact ties to even; those go up here
+CARD = """SELECT stock_code, predicted_direction,
+       CASE WHEN regexp_matches(printf('%.40f', confidence * 100), '\\.[0-9]50*$')
+            THEN printf('%.1f%%', floor(confidence * 1000) / 10 + 0.1) ELSE printf('%.1f%%', confidence * 100) END AS confidence_text,
        strftime(predict_time, '%Y-%m-%dT%H:%M:%S') AS predict_time"""
 
 
@@ -242,7 +245,7 @@ def news_latest20(spark, sf_dir):
     "sentiment_band",
     f"""WITH {S.scored_news()} SELECT stock_code, publish_time, sentiment_score,
       CASE WHEN sentiment_score > 0.6 THEN 'green' WHEN sentiment_score < 0.4 THEN 'red' ELSE 'orange' END AS band,
-      printf('%.2f', round(sentiment_score, 2)) AS score_text FROM scored""",
+      printf('%.2f', sentiment_score) AS score_text FROM scored""",
 )
 def sentiment_band(spark, sf_dir):
     return D.sentiment_band(X.scored_news(spark, sf_dir).drop("title"))
