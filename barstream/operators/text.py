@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +41,37 @@ def fit_sentiment(labelled: DataFrame, text: str = "text", label: str = "label")
     return counts.select("token", (F.log(positive) - F.log(negative)).alias("llr"))
 
 
-def _join_model(words: DataFrame, model: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Token lookup.  A vocabulary grows with the data: it is broadcast only when
-    counted small; otherwise both sides shuffle, with frequent tokens spread
-    over salts."""
-    small = model.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if small:
-        return words.join(F.broadcast(model), "token")
+def _model_scorer(model: DataFrame):
+    """Arrow UDF: tokens of a text -> sum of their llr, NULL if none is known.
+
+    Only for a model counted small: its rows are broadcast.
+    """
+    rows = model.select("token", "llr").toArrow()
+    known_tokens = dict(zip(rows.column("token").to_pylist(), rows.column("llr").to_pylist()))
+    table = model.sparkSession.sparkContext.broadcast(known_tokens)
+
+    @F.arrow_udf("double")
+    def total(lists: pa.Array) -> pa.Array:
+        known = table.value
+        coded = lists.flatten().dictionary_encode()
+        llr = np.array([known.get(t, np.nan) for t in coded.dictionary.to_pylist()] or [np.nan])
+        values = llr[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists)), counts)
+        hit = ~np.isnan(values)
+        sums = np.bincount(row[hit], weights=values[hit], minlength=len(lists))
+        found = np.bincount(row[hit], minlength=len(lists)) > 0
+        return pa.array(sums, mask=~found)
+
+    return total
+
+
+def _salted_sums(texts: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+    """Sum of llr per key by a shuffle join, frequent tokens spread over salts."""
+    words = texts.dropDuplicates(keys).select(*keys, F.explode("_tokens").alias("token"))
+    spread = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
     salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = words.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in words.columns if c != "token"]), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, ["token", "_salt"]).drop("_salt")
+    return spread.join(salted, ["token", "_salt"]).groupBy(*keys).agg(F.sum("llr").alias("_sum"))
 
 
 def sentiment_score(
@@ -63,11 +87,21 @@ def sentiment_score(
 
     Missing texts and texts shorter than five characters (blanks at the ends
     not counted) score 0.5, as do texts without known tokens.  ``max_chars``
-    is how much of a text counts; None reads it whole.  ``keys`` identify a row.
+    is how much of a text counts; None reads it whole.
+
+    ``model`` is a stored (token, llr) table.  A vocabulary grows with the
+    data, so it is counted first: up to ``broadcast_rows`` tokens are
+    broadcast and texts are scored where they lie, without a shuffle.  A larger
+    one is joined by token; then ``keys`` must determine the text.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     read = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
-    words = df.where(F.length(strip_blank(text)) >= MIN_CHARS).select(*keys, F.explode(tokens(read)).alias("token"))
-    sums = _join_model(words, model, broadcast_rows).groupBy(*keys).agg(F.sum("llr").alias("_sum"))
+    worth = F.length(strip_blank(text)) >= MIN_CHARS
+    scored = F.when(worth, tokens(read))
+    if model.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        summed = df.withColumn("_sum", _model_scorer(model)(scored))
+    else:
+        sums = _salted_sums(df.select(*keys, scored.alias("_tokens")), model, keys)
+        summed = df.join(sums, keys, "left")
     score = F.coalesce(1 / (1 + F.exp(-F.col("_sum"))), F.lit(NEUTRAL))
-    return df.join(sums, keys, "left").withColumn(output, score).drop("_sum")
+    return summed.withColumn(output, score).drop("_sum")

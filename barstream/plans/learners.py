@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -24,6 +26,7 @@ from barstream.operators.metrics import (
 )
 from barstream.operators.ranking import latest_per_key
 
+SPREAD_ROWS = 20_000_000
 CLASSIFIERS = {
     "lr": lambda **p: LogisticRegression(**p),
     "dt": lambda **p: DecisionTreeClassifier(**{"seed": 42, **p}),
@@ -50,18 +53,35 @@ def make_pipeline(kind: str, columns, label: str = "label", weight: str | None =
     return Pipeline(stages=[assembler, classifier])
 
 
+@contextmanager
+def training_rows(df: DataFrame, columns: list[str], label: str):
+    """Complete rows of the needed columns, cached for the passes of a learner.
+
+    A small set that sits in a few files is spread over all cores first; a
+    large one keeps the partitions of its scan.
+    """
+    rows = drop_incomplete(df.select(*columns), columns).withColumn(label, F.col(label).cast("double")).persist()
+    cached = [rows]
+    try:
+        n = rows.count()
+        if not n:
+            raise ValueError("no training rows")
+        if n <= SPREAD_ROWS:
+            rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
+            cached.append(rows)
+        yield rows
+    finally:
+        for frame in cached:
+            frame.unpersist()
+
+
 def fit_classifier(
     kind: str, train: DataFrame, columns, label: str = "label", weight: str | None = None, **params
 ) -> PipelineModel:
-    """Fit on the needed columns only, kept in memory and on disk during the passes."""
+    """Fit lr, dt, rf or gbt; rows with a missing value are left out."""
     needed = [*columns, label] + ([weight] if weight else [])
-    rows = drop_incomplete(train.select(*needed), needed).withColumn(label, F.col(label).cast("double")).persist()
-    try:
-        if rows.isEmpty():
-            raise ValueError("no training rows")
+    with training_rows(train, needed, label) as rows:
         return make_pipeline(kind, columns, label, weight, **params).fit(rows)
-    finally:
-        rows.unpersist()
 
 
 def fit_gbt(train: DataFrame, columns=FEATURES, label: str = "label", **params) -> PipelineModel:
@@ -134,17 +154,13 @@ def _validator(df, kind, columns, label, keys, k, grid, metric, weight, params,
     for name, values in grid.items():
         builder = builder.addGrid(pipeline.getStages()[1].getParam(name), values)
     points = builder.build()
-    folded = add_folds(df, keys, k).withColumn(label, F.col(label).cast("double"))
     needed = [*columns, label, "fold"] + ([weight] if weight else [])
-    rows = drop_incomplete(folded.select(*needed), needed).persist()
     validator = CrossValidator(
         estimator=pipeline, estimatorParamMaps=points, evaluator=EVALUATORS[metric](label),
         numFolds=k, foldCol="fold", parallelism=parallelism,
     )
-    try:
+    with training_rows(add_folds(df, keys, k), needed, label) as rows:
         return points, validator.fit(rows)
-    finally:
-        rows.unpersist()
 
 
 def cross_validate(

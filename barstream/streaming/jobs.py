@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barstream.operators.clean import clean_prices, parse_news, parse_prices
@@ -37,9 +38,7 @@ def store_news(
     parsed = parse_news(messages, ntz=ntz)
 
     def scored(batch: DataFrame) -> DataFrame:
-        # the title is what is scored, so equal titles share one lookup
-        titles = batch.select("title").distinct()
-        scores = sentiment_score(titles, model, "title", max_chars=max_chars)
-        return batch.join(scores, batch["title"].eqNullSafe(scores["title"])).drop(scores["title"])
+        marked = batch.withColumn("_title", F.sha2(F.coalesce("title", F.lit("")), 256))
+        return sentiment_score(marked, model, "_title", max_chars=max_chars).drop("_title")
 
     return append_batches(parsed, path, checkpoint, interval, transform=scored)

@@ -13,7 +13,7 @@ from barstream.operators.indicators import indicator_table
 from barstream.operators.neighbors import knn as nearest
 from barstream.operators.text import fit_sentiment, sentiment_score
 from barstream.plans import learners as L
-from barstream.sources.tables import work_dir
+from barstream.sources.tables import overwrite_table, read_table, work_dir
 from checks import fixtures as X
 from checks import sql as S
 
@@ -278,7 +278,9 @@ def sentiment_model(spark, sf_dir):
 
 def _scored(spark, sf_dir, max_chars):
     docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = sentiment_score(docs, fit_sentiment(_labelled(spark, sf_dir)), "doc_id", text="text", max_chars=max_chars)
+    path = work_dir(spark, "sentiment_model")
+    overwrite_table(fit_sentiment(_labelled(spark, sf_dir)), path)
+    out = sentiment_score(docs, read_table(spark, path), "doc_id", text="text", max_chars=max_chars)
     return X.rounded(out.drop("text"))
 
 
