@@ -51,8 +51,12 @@ def vcards(contacts: DataFrame, key: str) -> DataFrame:
 
 
 def write_vcards(contacts: DataFrame, path: str, key: str) -> None:
-    """One vCard after the other in UTF-8 text files."""
-    vcards(contacts, key).select("vcard").write.mode("overwrite").option("lineSep", "").text(path)
+    """One vCard after the other in UTF-8 text files.
+
+    The writer adds the line feed that each card's text gives up here.
+    """
+    card = F.expr("substring(vcard, 1, length(vcard) - 1)")
+    vcards(contacts, key).select(card.alias("vcard")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
 def fold_contacts(changes: DataFrame, key: str, seq: str = "seq") -> DataFrame:

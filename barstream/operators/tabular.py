@@ -21,10 +21,21 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scaled)
 
 
+def _pearson(a: str, b: str):
+    """Correlation over the rows that have both values; NULL if one is constant.
+
+    ``corr`` itself raises a division by zero for a constant column.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson matrix in long form: (x, y, correlation), from one pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = []
     for a, b in pairs:
         for x, y in {(a, b), (b, a)}:
@@ -37,7 +48,7 @@ def select_features(
 ) -> DataFrame:
     """(feature, correlation) of the k features nearest to the label by
     absolute correlation, or of all that reach ``threshold``."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+    one = df.agg(*[_pearson(c, label).alias(c) for c in columns])
     cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in columns]
     table = one.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
     strength = F.abs("correlation")
