@@ -12,6 +12,9 @@ from barstream.operators.ranking import latest_per_key, of_codes
 # Neutral gauge and the limits of the colour bands.
 NEUTRAL = 0.5
 GREEN_ABOVE, RED_BELOW = 0.6, 0.4
+# Rows of equal time go by score, so a gauge needs no titles and still covers
+# the same scores as the news list.
+NEWEST = ["publish_time", "sentiment_score"]
 
 
 def serve_news(news: DataFrame) -> DataFrame:
@@ -39,7 +42,7 @@ def format_prediction(predictions: DataFrame) -> DataFrame:
 
 def latest_news(news: DataFrame, code: str | list[str] | None = None, n: int = 20) -> DataFrame:
     """The newest n news rows per stock, newest first."""
-    rows = latest_per_key(of_codes(news, code), "stock_code", ["publish_time", "title"], n)
+    rows = latest_per_key(of_codes(news, code), "stock_code", [*NEWEST, "title"], n)
     return rows.select("stock_code", "publish_time", "sentiment_score", "title").orderBy(
         "stock_code", F.desc("publish_time")
     )
@@ -53,7 +56,7 @@ def sentiment_band(df: DataFrame, score: str = "sentiment_score") -> DataFrame:
 
 
 def _gauge(news: DataFrame, n: int) -> DataFrame:
-    newest = latest_per_key(news, "stock_code", ["publish_time", "title"], n)
+    newest = latest_per_key(news, "stock_code", NEWEST, n)
     return newest.groupBy("stock_code").agg(F.avg("sentiment_score").alias("gauge"))
 
 
@@ -83,7 +86,7 @@ def dashboard(
         .groupBy("stock_code")
         .agg(F.array_sort(F.collect_list(F.struct("time", "candle", "volume"))).alias("bars"))
     )
-    newest = latest_per_key(news, "stock_code", ["publish_time", "title"], n_news)
+    newest = latest_per_key(news, "stock_code", [*NEWEST, "title"], n_news)
     item = F.struct(iso_text("publish_time").alias("publish_time"), "title", "sentiment_score")
     items = newest.groupBy("stock_code").agg(
         F.avg("sentiment_score").alias("gauge"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import hash_bucket
-from barstream.operators.slicing import Slices, order_axis, windowed
+from barstream.operators.slicing import Slices, find_slices, order_axis, windowed
 
 # The model inputs.
 FEATURES = ("close", "volume", "sma_5", "sma_10", "sma_20")
@@ -49,6 +49,8 @@ def training_frame(
     multiply.  Indicators already hold close and volume, so ``prices=None``
     gives the same rows without the join when they come from the same prices.
     """
+    # cut points of the stored table serve the joined rows too
+    slices = slices or find_slices(indicators if prices is None else prices, "symbol", "trade_time")
     if prices is None:
         joined = indicators.select(*KEYS, *FEATURES)
     else:

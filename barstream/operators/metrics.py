@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import ratio
-from barstream.operators.slicing import running_totals
+from barstream.operators.slicing import find_slices, running_totals
 
 
 def _count(condition: Column) -> Column:
@@ -73,47 +73,64 @@ def classification_report(
     return one.select(F.explode(F.array(*rows)).alias("_row")).select("_row.*")
 
 
-def auc(
-    df: DataFrame, label: str = "label", score: str = "score", by: str | None = None,
-    rows_per_task: int | None = None,
+def _score_levels(
+    df: DataFrame, group: str, label: str, score: str, rows_per_task: int | None, **sums: Column
 ) -> DataFrame:
-    """Exact area under the ROC curve per ``by`` group; NULL if a class is absent.
+    """One row per group and distinct score: positives, negatives, ``sums``, and
+    the negatives up to this score.
 
-    Equal scores are merged first (map-side), then each positive counts the
-    negatives scored below it, ties as half.  The running count is cut into
-    slices when there are many distinct scores.
+    Equal scores are merged map-side, so a score shared by many rows is no hot
+    spot; a group with many distinct scores is cut into slices of the axis.
     """
-    from barstream.operators.slicing import find_slices
+    rows = df.withColumn("_score", F.col(score).cast("double"))
+    slices = find_slices(rows.select(group, "_score"), group, "_score", rows_per_task)
+    levels = rows.groupBy(group, "_score").agg(
+        _count(F.col(label) == 1).alias("_pos"),
+        _count(F.col(label) == 0).alias("_neg"),
+        *[column.alias(name) for name, column in sums.items()],
+    )
+    return running_totals(levels, ["_neg"], group, "_score", slices)
 
+
+def _auc() -> Column:
+    """Share of (positive, negative) pairs in the right order, ties as half."""
+    wins = F.sum(F.col("_pos") * (F.col("_neg_upto") - F.col("_neg") / 2))
+    return F.try_divide(wins, F.sum("_pos") * F.sum("_neg"))
+
+
+def auc(
+    df: DataFrame, label: str = "label", score: str = "score", by: str | None = None,
+    rows_per_task: int | None = None,
+) -> DataFrame:
+    """Exact area under the ROC curve per ``by`` group; NULL if a class is absent."""
     group = by or "_all"
     rows = df if by else df.withColumn("_all", F.lit("all"))
-    levels = rows.groupBy(group, F.col(score).cast("double").alias("_score")).agg(
-        _count(F.col(label) == 1).alias("_pos"), _count(F.col(label) == 0).alias("_neg")
-    )
-    slices = find_slices(levels, group, "_score", rows_per_task)
-    ranked = running_totals(levels, ["_neg"], group, "_score", slices)
-    below = F.col("_neg_upto") - F.col("_neg") / 2
-    out = ranked.groupBy(group).agg(
-        F.sum(F.col("_pos") * below).alias("_wins"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")
-    )
-    out = out.select(group, F.try_divide("_wins", F.col("_p") * F.col("_n")).alias("auc"))
+    out = _score_levels(rows, group, label, score, rows_per_task).groupBy(group).agg(_auc().alias("auc"))
     return out if by else out.drop("_all")
 
 
 def binary_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
-    by: str | None = None,
+    by: str | None = None, rows_per_task: int | None = None,
 ) -> DataFrame:
-    """accuracy, recall, miss_rate = 1 - recall and auc, per ``by`` group if given."""
+    """accuracy, recall, miss_rate = 1 - recall and auc, per ``by`` group if given.
+
+    All come from the same per-score counts: one pass over the rows.
+    """
     group = by or "_all"
     rows = df if by else df.withColumn("_all", F.lit("all"))
     y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
-    counts = rows.groupBy(group).agg(
-        F.avg((y == p).cast("int")).alias("accuracy"),
-        ratio(F.count_if((y == 1) & (p == 1)), F.count_if(y == 1)).alias("recall"),
+    levels = _score_levels(
+        rows, group, label, score, rows_per_task,
+        _hits=_count(y == p), _found=_count((y == 1) & (p == 1)), _rows=F.count("*").cast("double"),
+    )
+    recall = ratio(F.sum("_found"), F.sum("_pos"))
+    out = levels.groupBy(group).agg(
+        ratio(F.sum("_hits"), F.sum("_rows"), None).alias("accuracy"),
+        recall.alias("recall"),
+        (1 - recall).alias("miss_rate"),
+        _auc().alias("auc"),
     )
-    both = counts.join(auc(rows, label, score, group), group)
-    out = both.select(group, "accuracy", "recall", (1 - F.col("recall")).alias("miss_rate"), "auc")
     return out if by else out.drop("_all")
 
 

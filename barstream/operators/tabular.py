@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,26 +25,21 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scaled)
 
 
-def _pearson(a: str, b: str):
-    """Correlation over the rows that have both values; NULL if one is constant.
+def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson matrix in long form: (x, y, correlation).
 
-    ``corr`` itself raises a division by zero for a constant column.
+    MLlib sums the products per task; only the columns x columns matrix comes
+    back.  Rows with a missing value are left out; a constant column has NULL.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
-def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson matrix in long form: (x, y, correlation), from one pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = []
-    for a, b in pairs:
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{a}|{b}`").alias("correlation")))
-    return one.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=columns, outputCol="_row", handleInvalid="skip").transform(numbers)
+    matrix = Correlation.corr(vectors, "_row").head()[0].toArray()
+    cells = [
+        (x, y, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, x in enumerate(columns)
+        for j, y in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(cells, "x string, y string, correlation double")
 
 
 def select_features(
@@ -48,9 +47,8 @@ def select_features(
 ) -> DataFrame:
     """(feature, correlation) of the k features nearest to the label by
     absolute correlation, or of all that reach ``threshold``."""
-    one = df.agg(*[_pearson(c, label).alias(c) for c in columns])
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in columns]
-    table = one.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+    pairs = correlations(df, [*columns, label]).where((F.col("y") == label) & (F.col("x") != label))
+    table = pairs.select(F.col("x").alias("feature"), "correlation")
     strength = F.abs("correlation")
     if threshold is not None:
         table = table.where(strength >= threshold)

@@ -11,8 +11,10 @@ from barstream.operators import metrics as M
 from barstream.operators import tabular as T
 from barstream.operators.indicators import indicator_table
 from barstream.operators.neighbors import knn as nearest
+from barstream.operators.slicing import find_slices
 from barstream.operators.text import fit_sentiment, sentiment_score
 from barstream.plans import learners as L
+from barstream.plans.study import study
 from barstream.sources.tables import overwrite_table, read_table, work_dir
 from checks import fixtures as X
 from checks import sql as S
@@ -39,7 +41,8 @@ FRAME_COLUMNS = f"symbol, trade_time, close, volume, {S.r('sma_5')}, {S.r('sma_1
 
 def direction_frame(spark, sf_dir, joined=True):
     prices = X.ticks(spark, sf_dir)
-    return FE.training_frame(prices if joined else None, indicator_table(prices))
+    slices = find_slices(prices, "symbol", "trade_time")
+    return FE.training_frame(prices if joined else None, indicator_table(prices, slices), slices=slices)
 
 
 @query("label_direction", f"WITH {LABELLED} SELECT symbol, trade_time, close, future_close, CASE WHEN future_close > close THEN 1 ELSE 0 END AS label FROM labelled")
@@ -201,7 +204,7 @@ def downsample(spark, sf_dir):
     n AS (SELECT q.vec_id, t.label FROM v q, v t
       QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY
         list_sum(list_transform(list_zip(q.e, t.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), t.vec_id) <= 5)
-    SELECT vec_id, label AS prediction, count(*) AS votes FROM n GROUP BY vec_id, label
+    SELECT vec_id, label AS prediction, count(*) AS votes, CAST(sum(count(*)) OVER (PARTITION BY vec_id) AS BIGINT) AS neighbours FROM n GROUP BY vec_id, label
     QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY count(*) DESC, label) = 1""",
 )
 def knn(spark, sf_dir):
@@ -242,11 +245,18 @@ def tune(spark, sf_dir):
     return L.tune(frame, "dt", X.FEATURES, X.LINE_KEYS, {"maxDepth": [2, 5]}, k=3)[1]
 
 
+@query("model_study")
+def model_study(spark, sf_dir):
+    """Three learners on the same split, best recall first."""
+    return study(X.tab_class(spark, sf_dir, X.SEPARABLE), X.FEATURES, X.LINE_KEYS, kinds=("lr", "dt", "rf"))
+
+
 @query("gbt_predictions")
 def gbt_predictions(spark, sf_dir):
     prices = X.ticks(spark, sf_dir)
-    indicators = indicator_table(prices)
-    train, _ = FE.split(FE.training_frame(None, indicators), ["symbol", "trade_time"])
+    slices = find_slices(prices, "symbol", "trade_time")
+    indicators = indicator_table(prices, slices)
+    train, _ = FE.split(FE.training_frame(None, indicators, slices=slices), ["symbol", "trade_time"])
     path = work_dir(spark, "direction_model")
     L.save_model(L.fit_gbt(train, maxIter=20), path)
     return L.predict_latest(indicators, L.load_model(path), "2024-02-01T00:00:00")

@@ -11,6 +11,7 @@ from barstream.operators import metrics as M
 from barstream.operators import tabular as T
 from barstream.operators.neighbors import knn
 from barstream.plans import learners as L
+from barstream.plans.study import study
 
 
 def _frame(spark, rows):
@@ -106,6 +107,13 @@ def test_learners_beat_the_majority(separable, kind, params):
     assert L.evaluate(scored)["metrics"].first()["accuracy"] > base + 0.1
 
 
+def test_study_compares_all_four(separable):
+    rows = study(separable.where("id < 600"), ["a", "b"], ["id"], params={"rf": {"numTrees": 5}}).collect()
+    assert {r["model"] for r in rows} == {"lr", "knn", "dt", "rf"}
+    assert [r["recall"] for r in rows] == sorted((r["recall"] for r in rows), reverse=True)
+    assert all(r["accuracy"] > 0.8 and r["auc"] > 0.8 for r in rows)
+
+
 def test_weights_raise_recall(separable):
     rare = separable.where("label = 0 OR a > 95").withColumn("a", F.col("a") + 20 * F.rand(1))
     plain = M.binary_metrics(L.score(L.fit_classifier("lr", rare, ["b"]), rare)).first()["recall"]
