@@ -25,20 +25,41 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scaled)
 
 
-def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+def _pearson_by_aggregates(rows: DataFrame, columns: list[str]) -> dict:
+    """All pairs in one aggregation.  Not ``corr``, which raises a division by
+    zero for a constant column."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    one = rows.agg(
+        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs], *[F.stddev_pop(c).alias(f"{c}|") for c in columns]
+    ).first()
+    found = {}
+    for a, b in pairs:
+        spread = (one[f"{a}|"] or 0.0) * (one[f"{b}|"] or 0.0)
+        found[a, b] = found[b, a] = one[f"{a}|{b}"] / spread if spread else None
+    return found
+
+
+def _pearson_by_matrix(rows: DataFrame, columns: list[str]) -> dict:
+    """Products summed per task by MLlib, for more pairs than one generated
+    aggregation handles well."""
+    vectors = VectorAssembler(inputCols=columns, outputCol="_row").transform(rows)
+    matrix = Correlation.corr(vectors, "_row").head()[0].toArray()
+    return {
+        (a, b): None if math.isnan(matrix[i, j]) else float(matrix[i, j])
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    }
+
+
+def correlations(df: DataFrame, columns: list[str], wide: int = 10) -> DataFrame:
     """Pearson matrix in long form: (x, y, correlation).
 
-    MLlib sums the products per task; only the columns x columns matrix comes
-    back.  Rows with a missing value are left out; a constant column has NULL.
+    Rows with a missing value are left out; a constant column has NULL.  Only
+    columns x columns numbers come back from the tasks.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="_row", handleInvalid="skip").transform(numbers)
-    matrix = Correlation.corr(vectors, "_row").head()[0].toArray()
-    cells = [
-        (x, y, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, x in enumerate(columns)
-        for j, y in enumerate(columns)
-    ]
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    found = (_pearson_by_aggregates if len(columns) <= wide else _pearson_by_matrix)(rows, list(columns))
+    cells = [(x, y, found[x, y]) for x in columns for y in columns]
     return df.sparkSession.createDataFrame(cells, "x string, y string, correlation double")
 
 

@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstream.operators.features import drop_incomplete, split
+from barstream.operators.features import drop_incomplete, mark_split
 from barstream.operators.metrics import apply_threshold, compare_models
 from barstream.operators.neighbors import knn
 from barstream.operators.tabular import standardize, with_class_weights
 from barstream.plans.learners import fit_classifier, score
+from barstream.sources.tables import overwrite_table, read_table, work_dir
 
 KINDS = ("lr", "knn", "dt", "rf")
 
@@ -42,11 +43,14 @@ def study(
     ``keys`` identify a row; they decide its side of the split.  ``balanced``
     weights the rarer class up, ``threshold`` is the score that counts as 1.
     """
+    spark = df.sparkSession
     rows = drop_incomplete(df.select(*keys, *columns, label), [*columns, label])
-    scaled = standardize(rows, list(columns))
-    if "knn" in kinds:
-        scaled = scaled.withColumn("_id", F.concat_ws("|", *keys))
-    train, test = split(scaled, keys, seed=seed)
+    scaled = mark_split(standardize(rows, list(columns)), keys, seed=seed)
+    # the rows and the scores are read several times, so each is written once
+    root = work_dir(spark, "study")
+    overwrite_table(scaled.withColumn("_id", F.concat_ws("|", *keys)), f"{root}/rows")
+    stored = read_table(spark, f"{root}/rows")
+    train, test = stored.where(~F.col("is_test")), stored.where("is_test")
     weight = "_weight" if balanced else None
     weighted = with_class_weights(train, label, weight) if balanced else train
     parts = []
@@ -57,5 +61,6 @@ def study(
             model = fit_classifier(kind, weighted, columns, label, weight, **(params or {}).get(kind, {}))
             part = score(model, test).select(label, "score")
         parts.append(part.withColumn("model", F.lit(kind)))
-    scores = reduce(DataFrame.unionByName, parts)
+    overwrite_table(reduce(DataFrame.unionByName, parts), f"{root}/scores")
+    scores = read_table(spark, f"{root}/scores")
     return compare_models(apply_threshold(scores, threshold), label)

@@ -248,7 +248,7 @@ def tune(spark, sf_dir):
 @query("model_study")
 def model_study(spark, sf_dir):
     """Three learners on the same split, best recall first."""
-    return study(X.tab_class(spark, sf_dir, X.SEPARABLE), X.FEATURES, X.LINE_KEYS, kinds=("lr", "dt", "rf"))
+    return study(X.tab_class(spark, sf_dir, X.SEPARABLE), X.FEATURES, X.LINE_KEYS, kinds=("lr", "dt", "rf"), params={"lr": {"maxIter": 20}})
 
 
 @query("gbt_predictions")

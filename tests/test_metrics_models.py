@@ -55,8 +55,10 @@ def test_tabular(spark):
     df = spark.createDataFrame([(1.0, 5.0, 0), (2.0, 5.0, 0), (3.0, 5.0, 1), (None, 5.0, 0)], "a double, b double, label int")
     rows = T.standardize(df, ["a", "b"]).collect()
     assert math.isclose(rows[0]["a"], -math.sqrt(1.5)) and rows[3]["a"] is None and rows[0]["b"] == 0.0
-    cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, ["a", "label"]).collect()}
-    assert math.isclose(cells[("a", "a")], 1.0) and cells[("a", "label")] == cells[("label", "a")]
+    for wide in (10, 1):
+        cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, ["a", "b", "label"], wide).collect()}
+        assert math.isclose(cells[("a", "a")], 1.0) and cells[("a", "label")] == cells[("label", "a")]
+        assert math.isclose(cells[("a", "label")], math.sqrt(3) / 2) and cells[("a", "b")] is None
     picked = T.select_features(df, ["a", "b"], "label", threshold=0.5).collect()
     assert [r["feature"] for r in picked] == ["a"]
     weights = {r["label"]: r["weight"] for r in T.class_weights(df).collect()}
