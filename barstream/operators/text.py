@@ -15,7 +15,7 @@ NEUTRAL = 0.5
 MIN_CHARS = 5
 MAX_CHARS = 300
 # A token is one Chinese character or a run of other letters.
-TOKEN = r"\p{IsHan}|[^\P{L}\p{IsHan}]+"
+TOKEN = r"[\p{L}&&[^\p{IsHan}]]+|\p{IsHan}"
 BROADCAST_ROWS = 500_000
 SALTS = 32
 

@@ -55,24 +55,24 @@ def make_pipeline(kind: str, columns, label: str = "label", weight: str | None =
 
 @contextmanager
 def training_rows(df: DataFrame, columns: list[str], label: str):
-    """Complete rows of the needed columns, cached for the passes of a learner.
+    """Complete rows of the needed columns, ready for the passes of a learner.
 
-    A small set that sits in a few files is spread over all cores first; a
-    large one keeps the partitions of its scan.
+    A small set that sits in a few files is spread over all cores and cached.
+    A large one stays as it is: the learners cache their own encoding of it,
+    and a second copy would only displace that.
     """
-    rows = drop_incomplete(df.select(*columns), columns).withColumn(label, F.col(label).cast("double")).persist()
-    cached = [rows]
+    rows = drop_incomplete(df.select(*columns), columns).withColumn(label, F.col(label).cast("double"))
+    n = rows.count()
+    if not n:
+        raise ValueError("no training rows")
+    if n > SPREAD_ROWS:
+        yield rows
+        return
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
     try:
-        n = rows.count()
-        if not n:
-            raise ValueError("no training rows")
-        if n <= SPREAD_ROWS:
-            rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
-            cached.append(rows)
         yield rows
     finally:
-        for frame in cached:
-            frame.unpersist()
+        rows.unpersist()
 
 
 def fit_classifier(

@@ -14,6 +14,8 @@ QUOTE_COLUMNS = {"代码": "code", "最新价": "price", "成交量": "volume",
 NEWS_COLUMNS = {"新闻标题": "title", "新闻内容": "content", "发布时间": "publish_time", "文章来源": "source"}
 CLOSE_OF_DAY = " 15:00:00"
 DEFAULT_SOURCE = "eastmoney"
+# The days of the price history.
+HISTORY_START, HISTORY_END = "2025-06-01", "2026-05-31"
 
 
 def normalize_daily(raw: DataFrame) -> DataFrame:
@@ -67,7 +69,9 @@ def normalize_news(raw: DataFrame, order: str, limit_per_symbol: int = 30) -> Da
     )
 
 
-def history(df: DataFrame, start: str | date, end: str | date, time: str = "trade_time") -> DataFrame:
+def history(
+    df: DataFrame, start: str | date = HISTORY_START, end: str | date = HISTORY_END, time: str = "trade_time"
+) -> DataFrame:
     """Rows of the days start..end, both included.  Plain comparisons reach the scan."""
     kind = df.schema[time].dataType
     first = F.lit(str(start)).cast(kind)

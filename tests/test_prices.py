@@ -230,14 +230,17 @@ def test_jdbc_sink_settings():
 
 def test_work_dir_uses_the_shared_folder():
     class Session:
-        def __init__(self, **settings):
-            self.conf = self
+        def __init__(self, master="local[2]", **settings):
+            self.conf = self.sparkContext = self
+            self.master = master
             self.settings = settings
 
         def get(self, key, default):
             return self.settings.get(key.replace(".", "_"), default)
 
     assert "barstream-" in work_dir(Session(), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session("spark://host:7077"), "x")
     shared = Session(spark_checkpoint_dir="hdfs://n/shared/")
     a, b = work_dir(shared, "x"), work_dir(shared, "x")
     assert a.startswith("hdfs://n/shared/barstream/") and a.endswith("/x") and a != b
