@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barstream.functions.columns import ratio
 from barstream.operators.recurrence import Smooth, smooth
-from barstream.operators.slicing import Slices, find_slices, windowed
+from barstream.operators.slicing import Slices, windowed
 
 KEY, TIME = "symbol", "trade_time"
 
@@ -108,20 +108,13 @@ def rsi(
 ) -> DataFrame:
     """Add ``rsi_<n>`` (Wilder smoothing, weight 1/n, started at the first change).
 
-    NULL on the first row of a symbol; 50 where nothing has moved.
+    NULL on the first row of a symbol; 50 where nothing has moved.  A row
+    without a value is passed over: the next change is from the last value.
     """
-    order = _order(order)
-    slices = slices or find_slices(df, key, order[0])
-    # one exchange serves the lag window and the scan
-    rows = df if slices.hot else df.repartition(key)
-    change = lambda w: {"_change": F.col(column) - F.lag(column).over(w)}
-    rows = windowed(rows, change, key, order, before=1, slices=slices).withColumns(
-        {"_gain": F.greatest("_change", F.lit(0.0)), "_loss": F.greatest(-F.col("_change"), F.lit(0.0))}
-    )
-    moved = F.col("_change").isNotNull()
-    rows = rows.withColumns({c: F.when(moved, F.col(c)) for c in ("_gain", "_loss")}).drop("_change")
-    steps = [Smooth("_up", (("_gain", 1.0),), 1.0 / n), Smooth("_down", (("_loss", 1.0),), 1.0 / n)]
-    out = smooth(rows, steps, key, order, slices, placed=not slices.hot)
+    steps = [
+        Smooth("_up", ((f"+{column}", 1.0),), 1.0 / n),
+        Smooth("_down", ((f"-{column}", 1.0),), 1.0 / n),
+    ]
     up, down = F.col("_up"), F.col("_down")
     value = F.when(up.isNotNull(), ratio(100 * up, up + down, 50.0))
-    return out.withColumn(f"rsi_{n}", value).drop("_gain", "_loss", "_up", "_down")
+    return smooth(df, steps, key, order, slices).withColumn(f"rsi_{n}", value).drop("_up", "_down")

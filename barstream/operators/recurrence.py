@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,11 @@ from barstream.operators.slicing import Slices, _attach, _key_table, find_slices
 
 @dataclass(frozen=True)
 class Smooth:
-    """Smoothing of a weighted sum of columns or earlier smoothings."""
+    """Smoothing of a weighted sum of terms.
+
+    A term is a column, an earlier smoothing, or ``+column`` / ``-column`` for
+    the rise / fall of a column since its last value.
+    """
 
     name: str
     terms: tuple[tuple[str, float], ...]
@@ -35,8 +39,14 @@ class Smooth:
 
 
 def _inputs(steps: list[Smooth]) -> list[str]:
+    """Columns that the steps read."""
     made = {s.name for s in steps}
-    return list(dict.fromkeys(t for s in steps for t, _ in s.terms if t not in made))
+    return list(dict.fromkeys(t.lstrip("+-") for s in steps for t, _ in s.terms if t not in made))
+
+
+def _moving(steps: list[Smooth]) -> list[str]:
+    """Columns of which the steps read the change."""
+    return list(dict.fromkeys(t[1:] for s in steps for t, _ in s.terms if t[0] in "+-"))
 
 
 def linear_scan(keep: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -58,12 +68,22 @@ class _Scanner:
 
     def __init__(self, ids: list[str], steps: list[Smooth], carried: bool):
         self.ids, self.steps, self.carried = ids, steps, carried
-        self.inputs = _inputs(steps)
-        self.last = None
-        self.state = None
+        self.inputs, self.moving = _inputs(steps), _moving(steps)
+        self.last = None  # ids of the row before the batch
+        self.state = {}  # entering values by name, NaN if there is none yet
+
+    def _entering(self, batch, name: str, column: str, starts, fresh: bool) -> np.ndarray:
+        """Value of ``name`` before each segment of the batch."""
+        begin = np.full(len(starts), np.nan)
+        if self.carried:
+            at = batch.schema.get_field_index(column)
+            begin = batch.column(at).to_numpy(zero_copy_only=False).astype(float)[starts]
+        if not fresh:
+            begin[0] = self.state[name]
+        return begin
 
     def push(self, batch: pa.RecordBatch):
-        """-> (segment start rows, valid mask, one array per step, fresh first segment?)."""
+        """-> (segment start rows, values and valid mask per step, new first segment?)."""
         n = batch.num_rows
         column = lambda name: batch.column(batch.schema.get_field_index(name))
         first = np.zeros(n, dtype=bool)
@@ -73,43 +93,46 @@ class _Scanner:
             first[1:] |= codes[1:] != codes[:-1]
         starts = np.flatnonzero(first)
         segment = np.cumsum(first) - 1
+        fresh = tuple(column(c)[0].as_py() for c in self.ids) != self.last
+        self.last = tuple(column(c)[n - 1].as_py() for c in self.ids)
 
-        values, valid = {}, np.ones(n, dtype=bool)
+        values, valid, state = {}, {}, {}
         for name in self.inputs:
             x = column(name).cast(pa.float64())
-            valid &= x.is_valid().to_numpy(zero_copy_only=False)
+            valid[name] = x.is_valid().to_numpy(zero_copy_only=False)
             values[name] = x.fill_null(0.0).to_numpy(zero_copy_only=False)
-
-        # state at the start of each segment: NaN means none yet
-        size = len(self.steps)
-        begin = np.full((size, len(starts)), np.nan)
-        if self.carried:
-            for i in range(size):
-                begin[i] = column(f"_carry_{i}").to_numpy(zero_copy_only=False)[starts]
-        head = tuple(column(c)[0].as_py() for c in self.ids)
-        fresh = head != self.last
-        if not fresh:
-            begin[:, 0] = np.nan if self.state is None else self.state
-        known = ~np.isnan(begin).any(axis=0)
-
-        seen = np.cumsum(valid)
-        nth = seen - (seen[starts] - valid[starts])[segment]
-        seed = valid & (nth == 1) & ~known[segment]
-        ys = []
+        for name in self.moving:
+            x, there = values[name], valid[name]
+            before = self._entering(batch, name, f"_prev_{name}", starts, fresh)
+            newest = np.maximum.accumulate(np.where(there, np.arange(n), -1))
+            at = np.append(-1, newest[:-1])
+            previous = np.where(at >= starts[segment], x[at], before[segment])
+            moved = there & ~np.isnan(previous)
+            change = np.where(moved, x - previous, 0.0)
+            values[f"+{name}"], values[f"-{name}"] = np.maximum(change, 0.0), np.maximum(-change, 0.0)
+            valid[f"+{name}"] = valid[f"-{name}"] = moved
+            state[name] = x[newest[-1]] if newest[-1] >= starts[-1] else before[-1]
+
+        results = []
         for i, step in enumerate(self.steps):
-            u = sum(weight * values[name] for name, weight in step.terms)
-            keep = np.where(valid, 1.0 - step.alpha, 1.0)
-            add = np.where(valid, step.alpha * u, 0.0)
+            given = np.logical_and.reduce([valid[t] for t, _ in step.terms])
+            u = sum(weight * values[t] for t, weight in step.terms)
+            begin = self._entering(batch, step.name, f"_carry_{i}", starts, fresh)
+            known = ~np.isnan(begin)
+            seen = np.cumsum(given)
+            nth = seen - (seen[starts] - given[starts])[segment]
+            seed = given & (nth == 1) & ~known[segment]
+            keep = np.where(given, 1.0 - step.alpha, 1.0)
+            add = np.where(given, step.alpha * u, 0.0)
             keep[seed], add[seed] = 0.0, u[seed]
-            carry = np.where(known, begin[i], 0.0)
-            add[starts] += keep[starts] * carry
+            add[starts] += keep[starts] * np.where(known, begin, 0.0)
             keep[starts] = 0.0
-            ys.append(linear_scan(keep, add))
-            values[step.name] = ys[-1]
-        self.last = tuple(column(c)[n - 1].as_py() for c in self.ids)
-        alive = known[-1] or nth[-1] >= 1
-        self.state = np.array([y[-1] for y in ys]) if alive else None
-        return starts, valid, ys, fresh
+            y = linear_scan(keep, add)
+            values[step.name], valid[step.name] = y, given
+            state[step.name] = y[-1] if known[-1] or nth[-1] >= 1 else np.nan
+            results.append((y, given))
+        self.state = state
+        return starts, results, fresh
 
 
 def _smooth_rows(ids, steps, carried, drop):
@@ -118,9 +141,9 @@ def _smooth_rows(ids, steps, carried, drop):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, valid, ys, _ = scanner.push(batch)
+            _, results, _ = scanner.push(batch)
             kept = [i for i, f in enumerate(batch.schema) if f.name not in drop]
-            arrays = [batch.column(i) for i in kept] + [pa.array(y, mask=~valid) for y in ys]
+            arrays = [batch.column(i) for i in kept] + [pa.array(y, mask=~given) for y, given in results]
             names = [batch.schema.field(i).name for i in kept] + [s.name for s in steps]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -134,11 +157,11 @@ def _end_states(ids, steps):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            starts, _, ys, fresh = scanner.push(batch)
+            starts, results, fresh = scanner.push(batch)
             ends = np.append(starts[1:], batch.num_rows) - 1
             done = [open_row] if fresh and open_row is not None else []
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ids]
-            ended = [(*[c[int(e)].as_py() for c in columns], *[float(y[e]) for y in ys]) for e in ends]
+            ended = [(*[c[int(e)].as_py() for c in columns], *[float(y[e]) for y, _ in results]) for e in ends]
             open_row = ended.pop()
             done += ended
             if done:
@@ -165,19 +188,25 @@ def transition(steps: list[Smooth]) -> np.ndarray:
     return a
 
 
+def _warm_rows(steps: list[Smooth]) -> int:
+    """Rows of a key after which every state exists: one, or two for changes."""
+    return 2 if _moving(steps) else 1
+
+
 def _entering_states(key: str, steps: list[Smooth]):
-    a, size = transition(steps), len(steps)
+    a, size, warm = transition(steps), len(steps), _warm_rows(steps)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_slice")
         ends = group[[f"_end_{i}" for i in range(size)]].to_numpy()
-        carry, state = np.full((len(group), size), np.nan), None
+        carry, state, before = np.full((len(group), size), np.nan), None, 0
         for j, rows in enumerate(group["_rows"].tolist()):
-            if state is None:
+            if before < warm:
                 state = ends[j]
             else:
                 carry[j] = state
                 state = np.linalg.matrix_power(a, int(rows)) @ state + ends[j]
+            before += rows
         out = group[[key, "_slice"]].rename(columns={key: "_key", "_slice": "_at"})
         for i in range(size):
             out[f"_carry_{i}"] = pd.Series(carry[:, i], index=out.index)
@@ -186,6 +215,18 @@ def _entering_states(key: str, steps: list[Smooth]):
     return run
 
 
+def _previous_values(sliced: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
+    """Last values of the slice before, per slice (bounded like the slices)."""
+    newest = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    per_key = Window.partitionBy("_key").orderBy("_at")
+    return (
+        sliced.where("_slice >= 0")
+        .groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at"))
+        .agg(*[F.max_by(F.col(c).cast("double"), newest).alias(c) for c in columns])
+        .select("_key", "_at", *[F.lag(c).over(per_key).alias(f"_prev_{c}") for c in columns])
+    )
+
+
 def _with(schema: T.StructType, fields: list[T.StructField]) -> T.StructType:
     return T.StructType(list(schema.fields) + fields)
 
@@ -196,36 +237,43 @@ def smooth(
     key: str,
     order: str | list[str],
     slices: Slices | None = None,
-    placed: bool = False,
 ) -> DataFrame:
     """Add one double column per step.  Rows with a NULL input get NULL and
-    leave the state as it is.
-
-    ``placed`` says that rows are already partitioned by key.
-    """
+    leave the state as it is."""
     order = [order] if isinstance(order, str) else list(order)
     slices = slices or find_slices(df, key, order[0])
     made = [T.StructField(s.name, T.DoubleType()) for s in steps]
     if not slices.hot:
-        rows = df if placed else df.repartition(key)
-        return rows.sortWithinPartitions(key, *order).mapInArrow(
+        return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(
             _smooth_rows([key], steps, False, ()), _with(df.schema, made)
         )
 
-    inputs = _inputs(steps)
+    inputs, moving = _inputs(steps), _moving(steps)
     whole = F.lit(True)
     for c in inputs:
         whole = whole & F.col(c).isNotNull()
     sliced = slices.assign(df.where(whole))
     sizes = slice_sizes(sliced, key)
-    ids, size = [key, "_slice"], len(steps)
-    carries = [f"_carry_{i}" for i in range(size)]
-
-    facts = [(k, s, n, None if j == 0 else 0.0) for k, run in sizes.items() for j, (s, n) in enumerate(run)]
+    ids, size, warm = [key, "_slice"], len(steps), _warm_rows(steps)
+    carries, previous = [f"_carry_{i}" for i in range(size)], [f"_prev_{c}" for c in moving]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition(*ids)
+        if moving:
+            rows = _attach(rows, _previous_values(sliced, key, order, moving), key, "left", on_slice=True)
+        return rows
+
+    # end states from zero, or from nothing where a key begins
+    facts = []
+    for value, run in sizes.items():
+        before = 0
+        for number, n in run:
+            facts.append((value, number, n, None if before < warm else 0.0))
+            before += n
     small = _key_table(df, key, facts, "_at int, _rows bigint, _zero double")
-    slim = sliced.where("_slice >= 0").select(*ids, *[c for c in order if c not in ids], *[c for c in inputs if c not in order])
+    slim = sliced.where("_slice >= 0").select(*dict.fromkeys([*ids, *order, *inputs]))
+    ready = _attach(placed(slim), small, key, "left", on_slice=True)
     # sort last: the optimizer drops a sort that lies below a join
-    ready = _attach(slim.repartition(*ids), small, key, "left", on_slice=True)
     ready = ready.select("*", *[F.col("_zero").alias(c) for c in carries]).sortWithinPartitions(*ids, *order)
     ends_schema = _with(
         T.StructType([df.schema[key], T.StructField("_slice", T.IntegerType())]),
@@ -233,15 +281,15 @@ def smooth(
     )
     ends = ready.mapInArrow(_end_states(ids, steps), ends_schema)
     ends = _attach(ends, small, key, "inner", on_slice=True).drop("_zero")
+
     carry_schema = T.StructType(
         [T.StructField("_key", df.schema[key].dataType), T.StructField("_at", T.IntegerType())]
         + [T.StructField(c, T.DoubleType()) for c in carries]
     )
     entering = ends.groupBy(key).applyInPandas(_entering_states(key, steps), carry_schema)
-    for c in carries:  # pandas has no NULL double
-        entering = entering.withColumn(c, F.when(~F.isnan(c), F.col(c)))
-    rows = _attach(sliced.repartition(*ids), entering, key, "left", on_slice=True)
-    rows = rows.sortWithinPartitions(*ids, *order)
-    done = rows.mapInArrow(_smooth_rows(ids, steps, True, {"_slice", *carries}), _with(df.schema, made))
+    entering = entering.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in carries})  # pandas has no NULL double
+    rows = _attach(placed(sliced), entering, key, "left", on_slice=True).sortWithinPartitions(*ids, *order)
+    helpers = {"_slice", *carries, *previous}
+    done = rows.mapInArrow(_smooth_rows(ids, steps, True, helpers), _with(df.schema, made))
     missing = df.where(~whole).select("*", *[F.lit(None).cast("double").alias(s.name) for s in steps])
     return done.unionByName(missing)

@@ -76,7 +76,7 @@ def test_windows_over_slices(ticks, rows_per_task):
     _same(plain, windowed(ticks, w, "symbol", "trade_time", before=4, after=3, slices=slices), ["back", "on"])
 
 
-@pytest.mark.parametrize("rows_per_task", [5, 60])
+@pytest.mark.parametrize("rows_per_task", [1, 60])
 def test_recurrences_over_slices(ticks, rows_per_task):
     slices = find_slices(ticks, "symbol", "trade_time", rows_per_task)
     assert slices.hot
@@ -86,6 +86,23 @@ def test_recurrences_over_slices(ticks, rows_per_task):
     _same(indicators.rsi(ticks), indicators.rsi(ticks, slices=slices), ["rsi_14"])
 
 
+def _rsi(rows):
+    want = {}
+    for symbol in {r[0] for r in rows}:
+        last = up = down = None
+        for _, t, x, _ in sorted((r for r in rows if r[0] == symbol), key=lambda r: r[1]):
+            want[(symbol, t)] = None
+            if x is None:
+                continue
+            if last is not None:
+                gain, loss = max(x - last, 0.0), max(last - x, 0.0)
+                up = gain if up is None else up * 13 / 14 + gain / 14
+                down = loss if down is None else down * 13 / 14 + loss / 14
+                want[(symbol, t)] = 100 * up / (up + down) if up + down else 50.0
+            last = x
+    return want
+
+
 def test_recurrence_equals_a_loop(spark):
     """Also with missing prices, and with batches smaller than a key."""
     rows = _ticks(seed=5, gaps=0.2)
@@ -106,6 +123,10 @@ def test_recurrence_equals_a_loop(spark):
             for key, value in want.items():
                 assert (value is None) == (got[key] is None)
                 assert value is None or math.isclose(value, got[key], rel_tol=1e-12)
+            strength = {(r["symbol"], r["trade_time"]): r["rsi_14"] for r in indicators.rsi(df, slices=slices).collect()}
+            for key, value in _rsi(rows).items():
+                assert (value is None) == (strength[key] is None), key
+                assert value is None or math.isclose(value, strength[key], rel_tol=1e-9)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
