@@ -27,21 +27,20 @@ def normalised(text: str | None) -> bytes:
 
 
 class Matcher:
-    """An automaton over the windows of test items; words are numbered, unknown ones are 0."""
+    """An automaton over the windows of test items, each written as its words between single blanks."""
 
     def __init__(self, items: Iterable[tuple[str, str]], window: int):
         import ahocorasick
 
-        self.numbers: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        owners: dict[str, set[str]] = {}
         for item, text in items:
-            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in normalised(text).split()]
+            words = normalised(text).split()
             n = min(window, len(words))
             for i in range(len(words) - n + 1 if n else 0):
-                owners.setdefault(tuple(words[i : i + n]), set()).add(item)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                owners.setdefault(spaced(words[i : i + n]), set()).add(item)
+        self.automaton = ahocorasick.Automaton()
         for key, found in owners.items():
-            self.automaton.add_word(key, (len(key), tuple(found)))
+            self.automaton.add_word(key, (key.count(" ") - 1, tuple(found)))
         self.any = bool(owners)
         if self.any:
             self.automaton.make_automaton()
@@ -49,16 +48,22 @@ class Matcher:
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words are hit, and the items whose windows occur."""
         hit, items = np.zeros(len(words) + 1, np.int64), set()
-        number = self.numbers.get
-        ids = tuple([number(w, 0) for w in words])
-        if self.any and any(ids):
-            for end, (n, owners) in self.automaton.iter(ids):
-                hit[end - n + 1] += 1
-                hit[end + 1] -= 1
+        text = spaced(words)
+        found = list(self.automaton.iter(text)) if self.any and words else []
+        if found:
+            blanks = np.flatnonzero(np.array([c == " " for c in text]))  # the n-th follows n words
+            for end, (n, owners) in found:
+                last = int(np.searchsorted(blanks, end))
+                hit[last - n] += 1
+                hit[last] -= 1
                 items.update(owners)
         return np.cumsum(hit[:-1]) > 0, items
 
 
+def spaced(words: list[bytes]) -> str:
+    return (b" " + b" ".join(words) + b" ").decode("utf-8", "surrogatepass")
+
+
 def word_offsets(text: str, words: list[bytes]) -> list[tuple[int, int]]:
     """Where each normalised word stands in the original text: code points, end exclusive."""
     data, out, at, seen, chars = normalised(text), [], 0, 0, 0

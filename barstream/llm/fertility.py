@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+import string
 import unicodedata
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barstream.llm.common import Bounded, double, flag, long, per_process, string, text_rows
+from barstream.llm.common import Bounded, double, flag, long, per_process, text_rows
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -20,7 +22,7 @@ REPEAT_WORDS = 3
 #: relative to its ceiling log2(min(tokens, ENTROPY_TOKENS)).  Fixed values.  A script without an entry takes
 #: "other".  Scripts that the vocabulary hardly knows fall back to bytes as a rule, so their bands are wide.
 BANDS = {
-    "latin": (1.6, 6.5, 0.10, 0.45, 1.0),
+    "latin": (1.6, 6.5, 0.10, 0.68, 1.0),
     "cyrillic": (1.2, 6.5, 0.20, 0.45, 1.0),
     "greek": (0.8, 6.5, 0.60, 0.40, 1.0),
     "han": (0.3, 3.0, 0.90, 0.40, 1.0),
@@ -31,6 +33,7 @@ ENTROPY_TOKENS = 512
 
 # First word of a letter's Unicode name, and its script.
 SCRIPTS = {"LATIN": "latin", "CYRILLIC": "cyrillic", "GREEK": "greek", "CJK": "han", "HIRAGANA": "kana", "KATAKANA": "kana"}
+ASCII_LETTERS = string.ascii_letters.encode()
 
 
 def script_of(letter: str) -> str | None:
@@ -40,74 +43,112 @@ def script_of(letter: str) -> str | None:
     return SCRIPTS.get(unicodedata.name(letter, "").split(" ")[0], "other")
 
 
-def repeated_words(words: list[bytes], width: int = REPEAT_WORDS) -> int:
-    """Words inside windows of ``width`` words that the text has twice or more."""
-    n = len(words) - width + 1
+def repeated_words(ids: np.ndarray, width: int = REPEAT_WORDS) -> int:
+    """Words (given by number) inside windows of ``width`` words that the text has twice or more."""
+    n = len(ids) - width + 1
     if n < 2:
         return 0
-    numbers: dict[bytes, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
-    code = ids[:n]
-    for i in range(1, width):  # pairs are numbered anew at each step, so that codes stay small
-        code = code * len(numbers) + ids[i : i + n]
-        if i < width - 1 and len(numbers) > 2_000_000:
+    code, base = ids[:n], int(ids.max()) + 1
+    for i in range(1, width):
+        if int(code.max()) >= 2**62 // base:
             code = np.unique(code, return_inverse=True)[1]
+        code = code * base + ids[i : i + n]
+    order = np.sort(code)
+    if not (order[1:] == order[:-1]).any():
+        return 0
     _, which, counts = np.unique(code, return_inverse=True, return_counts=True)
-    inside = np.zeros(len(words) + 1, np.int64)
+    inside = np.zeros(len(ids) + 1, np.int64)
     again = np.flatnonzero(counts[which] > 1)
     np.add.at(inside, again, 1)
     np.add.at(inside, again + width, -1)
     return int((np.cumsum(inside) > 0).sum())
 
 
-def base_measures(text: str, words: list[bytes]) -> tuple[int, int, int, int]:
-    """word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def line_and_char_measures(text: str) -> tuple[int, int, int]:
+    """word_chars, n_symbols, n_dup_lines."""
     lines = [line for line in text.split("\n") if line.strip(SPACES)]
-    chars = len(text) - sum(map(text.count, SPACES))
-    return chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words)
+    return len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines))
 
 
-class Fertility:
-    """Token measures of a text under a piece vocabulary with byte fallback, word by word.
+class WordTable(dict):
+    """Words seen in a task: number, and token ids under a piece vocabulary with byte fallback.
 
-    Words are encoded one by one and remembered, as the vocabulary's pieces
-    don't cross white space.
+    Tokens never cross a blank, so a text's tokens are those of its words.
     """
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, size: int = 800_000):
         import sentencepiece
 
+        super().__init__()
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.is_byte = [self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())]
-        self.of_word = Bounded(self._encode)
-        self.script = Bounded(script_of)
-
-    def _encode(self, word: bytes) -> tuple[int, int, tuple[int, ...]]:
-        ids = tuple(self.pieces.encode(word.decode("utf-8", "replace")))
-        return len(ids), sum(self.is_byte[i] for i in ids), ids
-
-    def measure(self, words: list[bytes]) -> tuple[int, int, float]:
+        every = range(self.pieces.get_piece_size())
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in every])
+        self.opens = np.array([self.pieces.id_to_piece(i).startswith("\u2581") for i in every])
+        self.size = size
+        self._reset()
+
+    def _reset(self):
+        self.clear()
+        self.tokens, self.n_tokens = np.empty(1 << 16, np.int32), 0
+        self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each word has."""
+        flat = np.array(self.pieces.encode(" ".join(words)), np.int32)
+        begins = np.flatnonzero(self.opens[flat])
+        if len(begins) == len(words) and begins[0] == 0:
+            return flat, np.diff(np.r_[begins, len(flat)])
+        each = self.pieces.encode(words, num_threads=1)  # a word has the vocabulary's blank sign itself
+        return np.array([i for ids in each for i in ids], np.int32), np.fromiter(map(len, each), np.int64, len(each))
+
+    def _learn(self, words: list[bytes]) -> None:
+        flat, lengths = self._encode([w.decode("utf-8", "replace") for w in words])
+        first, last = len(self), len(self) + len(words)
+        while self.n_tokens + len(flat) > len(self.tokens):
+            self.tokens = np.resize(self.tokens, 2 * len(self.tokens))
+        while last > len(self.starts):
+            size = 2 * len(self.starts)
+            self.starts, self.lengths = np.resize(self.starts, size), np.resize(self.lengths, size)
+        self.tokens[self.n_tokens : self.n_tokens + len(flat)] = flat
+        self.starts[first:last] = self.n_tokens + np.cumsum(lengths) - lengths
+        self.lengths[first:last] = lengths
+        self.n_tokens += len(flat)
+        self.update(zip(words, range(first, last)))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """A number per word, valid until the next call: a full table starts anew."""
+        if len(self) >= self.size:
+            self._reset()
+        if new := [w for w in dict.fromkeys(words) if w not in self]:
+            self._learn(new)
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def measure(self, ids: np.ndarray) -> tuple[int, int, float]:
         """Tokens, byte tokens, and the entropy of the token distribution in bits."""
-        total = by_bytes = 0
-        of_token: dict[int, int] = {}
-        for word, n in Counter(words).items():
-            tokens, fallen, ids = self.of_word[word]
-            total += n * tokens
-            by_bytes += n * fallen
-            for i in ids:
-                of_token[i] = of_token.get(i, 0) + n
+        lengths = self.lengths[ids]
+        total = int(lengths.sum())
         if not total:
             return 0, 0, 0.0
-        counts = np.fromiter(of_token.values(), np.float64, len(of_token))
-        return total, by_bytes, float(math.log2(total) - (counts * np.log2(counts)).sum() / total)
-
-    def main_script(self, words: list[bytes]) -> str:
-        """The script of most letters ("none" without letters; the first in the alphabet of several)."""
-        counts: Counter = Counter()
-        for letter, n in Counter(b"".join(words).decode("utf-8", "replace")).items():
-            if found := self.script[letter]:
+        first = np.repeat(self.starts[ids] - np.cumsum(lengths) + lengths, lengths)
+        tokens = self.tokens[first + np.arange(total)]
+        counts = np.bincount(tokens)
+        counts = counts[counts > 0].astype(np.float64)
+        entropy = math.log2(total) - (counts * np.log2(counts)).sum() / total
+        return total, int(self.is_byte[tokens].sum()), max(0.0, float(entropy))
+
+
+def main_script(text: str, data: bytes, script: Bounded) -> str:
+    """The script of most letters ("none" without letters; the first in the alphabet of several)."""
+    counts: Counter = Counter()
+    if latin := len(data) - len(data.translate(None, ASCII_LETTERS)):
+        counts["latin"] = latin
+    if not text.isascii():
+        distinct = set(text)
+        wide = {c: text.count(c) for c in distinct if c > "\x7f"} if len(distinct) < 200 else Counter(text)
+        for letter, n in wide.items():
+            if letter > "\x7f" and (found := script[letter]):
                 counts[found] += n
-        return min(counts, key=lambda s: (-counts[s], s)) if counts else "none"
+    return min(counts, key=lambda s: (-counts[s], s)) if counts else "none"
 
 
 def within_bands(script: str, chars: int, tokens: int, by_bytes: int, entropy: float, bands=BANDS) -> bool:
@@ -132,14 +173,18 @@ def quality_rules(df: DataFrame, model: str, bands: dict = BANDS, min_words: int
     """
 
     def per_text():
-        fertility = per_process(("fertility", model), lambda: Fertility(model))
+        table = per_process(("words", model), lambda: WordTable(model))
+        scripts = Bounded(script_of)
 
         def one(text):
             text = text or ""
-            words = text.encode("utf-8", "surrogatepass").split()
-            chars, symbols, lines, repeats = base_measures(text, words)
-            tokens, by_bytes, entropy = fertility.measure(words)
-            script = fertility.main_script(words)
+            data = text.encode("utf-8", "surrogatepass")
+            words = data.split()
+            ids = table.numbers(words)
+            chars, symbols, lines = line_and_char_measures(text)
+            repeats = repeated_words(ids)
+            tokens, by_bytes, entropy = table.measure(ids)
+            script = main_script(text, data, scripts)
             failed = len(words) < min_words or 100 * repeats > max_repeat_percent * len(words)
             kept = not failed and within_bands(script, chars, tokens, by_bytes, entropy, bands)
             return len(words), chars, symbols, lines, repeats, failed, kept, script, tokens, by_bytes, entropy
@@ -147,6 +192,6 @@ def quality_rules(df: DataFrame, model: str, bands: dict = BANDS, min_words: int
         return one
 
     counts = [long(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    fields = [*counts, flag("base_failed"), flag("kept"), string("script"), long("n_tokens"), long("n_byte_tokens"), double("token_entropy")]
+    fields = [*counts, flag("base_failed"), flag("kept"), T.StructField("script", T.StringType()), long("n_tokens"), long("n_byte_tokens"), double("token_entropy")]
     out = text_rows(df, ["doc_id"], fields, per_text)
     return out.withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens")))
