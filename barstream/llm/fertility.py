@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barstream.llm.common import Bounded, double, flag, long, per_process, text_rows
+from barstream.llm.vocabularies import PieceTable
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -70,71 +71,15 @@ def line_and_char_measures(text: str) -> tuple[int, int, int]:
     return len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines))
 
 
-class WordTable(dict):
-    """Words seen in a task: number, and token ids under a piece vocabulary with byte fallback.
-
-    Tokens never cross a blank, so a text's tokens are those of its words.
-    """
-
-    def __init__(self, model: str, size: int = 800_000):
-        import sentencepiece
-
-        super().__init__()
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
-        every = range(self.pieces.get_piece_size())
-        self.is_byte = np.array([self.pieces.is_byte(i) for i in every])
-        self.opens = np.array([self.pieces.id_to_piece(i).startswith("\u2581") for i in every])
-        self.size = size
-        self._reset()
-
-    def _reset(self):
-        self.clear()
-        self.tokens, self.n_tokens = np.empty(1 << 16, np.int32), 0
-        self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each word has."""
-        flat = np.array(self.pieces.encode(" ".join(words)), np.int32)
-        begins = np.flatnonzero(self.opens[flat])
-        if len(begins) == len(words) and begins[0] == 0:
-            return flat, np.diff(np.r_[begins, len(flat)])
-        each = self.pieces.encode(words, num_threads=1)  # a word has the vocabulary's blank sign itself
-        return np.array([i for ids in each for i in ids], np.int32), np.fromiter(map(len, each), np.int64, len(each))
-
-    def _learn(self, words: list[bytes]) -> None:
-        flat, lengths = self._encode([w.decode("utf-8", "replace") for w in words])
-        first, last = len(self), len(self) + len(words)
-        while self.n_tokens + len(flat) > len(self.tokens):
-            self.tokens = np.resize(self.tokens, 2 * len(self.tokens))
-        while last > len(self.starts):
-            size = 2 * len(self.starts)
-            self.starts, self.lengths = np.resize(self.starts, size), np.resize(self.lengths, size)
-        self.tokens[self.n_tokens : self.n_tokens + len(flat)] = flat
-        self.starts[first:last] = self.n_tokens + np.cumsum(lengths) - lengths
-        self.lengths[first:last] = lengths
-        self.n_tokens += len(flat)
-        self.update(zip(words, range(first, last)))
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """A number per word, valid until the next call: a full table starts anew."""
-        if len(self) >= self.size:
-            self._reset()
-        if new := [w for w in dict.fromkeys(words) if w not in self]:
-            self._learn(new)
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-    def measure(self, ids: np.ndarray) -> tuple[int, int, float]:
-        """Tokens, byte tokens, and the entropy of the token distribution in bits."""
-        lengths = self.lengths[ids]
-        total = int(lengths.sum())
-        if not total:
-            return 0, 0, 0.0
-        first = np.repeat(self.starts[ids] - np.cumsum(lengths) + lengths, lengths)
-        tokens = self.tokens[first + np.arange(total)]
-        counts = np.bincount(tokens)
-        counts = counts[counts > 0].astype(np.float64)
-        entropy = math.log2(total) - (counts * np.log2(counts)).sum() / total
-        return total, int(self.is_byte[tokens].sum()), max(0.0, float(entropy))
+def token_measures(table: PieceTable, numbers: np.ndarray) -> tuple[int, int, float]:
+    """Tokens, byte tokens, and the entropy of the token distribution in bits."""
+    tokens = table.ids(numbers)
+    if not len(tokens):
+        return 0, 0, 0.0
+    counts = np.bincount(tokens)
+    counts = counts[counts > 0].astype(np.float64)
+    entropy = math.log2(len(tokens)) - (counts * np.log2(counts)).sum() / len(tokens)
+    return len(tokens), int(table.is_byte[tokens].sum()), max(0.0, float(entropy))
 
 
 def main_script(text: str, data: bytes, script: Bounded) -> str:
@@ -173,7 +118,7 @@ def quality_rules(df: DataFrame, model: str, bands: dict = BANDS, min_words: int
     """
 
     def per_text():
-        table = per_process(("words", model), lambda: WordTable(model))
+        table = per_process(("pieces", model), lambda: PieceTable(model))
         scripts = Bounded(script_of)
 
         def one(text):
@@ -183,7 +128,7 @@ def quality_rules(df: DataFrame, model: str, bands: dict = BANDS, min_words: int
             ids = table.numbers(words)
             chars, symbols, lines = line_and_char_measures(text)
             repeats = repeated_words(ids)
-            tokens, by_bytes, entropy = table.measure(ids)
+            tokens, by_bytes, entropy = token_measures(table, ids)
             script = main_script(text, data, scripts)
             failed = len(words) < min_words or 100 * repeats > max_repeat_percent * len(words)
             kept = not failed and within_bands(script, chars, tokens, by_bytes, entropy, bands)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barstream.llm import decontaminate, fertility, minhash, secrets, urls
-from barstream.llm.common import read
+from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, rules, secrets, templates, urls
+from barstream.llm.common import held_out, read, remainder, stored, work_folder
 
 Q, O = {}, {}  # noqa: E741
 
@@ -52,3 +52,42 @@ def op2_fertility(spark, sf_dir, vocabulary="piece_bpe_32k.model"):
 @register("op4_secrets")
 def op4_secrets(spark, sf_dir):
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
+
+
+@register("op5_token_codes")
+def op5_token_codes(spark, sf_dir, vocabulary="word_bpe_49k.json"):
+    folder = work_folder(spark, "tokens")
+    dac.write_tokens(read(spark, sf_dir, "documents"), folder, vocabulary_path(vocabulary), end_id=2)
+    return dac.read_documents(spark, folder)
+
+
+@register("op3_language")
+def op3_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs.where(remainder(F.col("doc_id")) != 2))
+    return language.identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_mixing")
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).drop("ident")
+
+
+@register("op7_rules")
+def op7_rules(spark, sf_dir):
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def quality_scores(docs, labels):
+    """doc_id, held_out, score and predicted of every document, learned from the rows that are not held out."""
+    rows = stored(rules.text_statistics(docs, ["doc_id"]), "statistics")
+    known = labels.where(remainder(F.col("doc_id")) != 2).select("doc_id", "quality")
+    model = rules.fit(rows.join(known, "doc_id"))
+    scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@register("op1_templates")
+def op1_templates(spark, sf_dir):
+    kept = templates.drop_recurring(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
