@@ -12,6 +12,7 @@ from barstream.llm.common import SPACE, stored
 #: Documents in a block of a source's permutation, about.
 BLOCK_DOCS = 1024
 STEPS = 60
+SEED = 17
 
 
 def word_count(text: Column) -> Column:
@@ -20,6 +21,11 @@ def word_count(text: Column) -> Column:
     return F.when(text == "", 0).otherwise(F.size(F.split(text, f"[{SPACE}]+")) - edge)
 
 
+def identity(seed: int = SEED) -> Column:
+    """What orders documents and tells them apart: a hash of doc_id and text."""
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
 def weights_at(shares: dict, exponent: float) -> dict:
     """Shares to the power of the exponent, normalised: 1 keeps them, 0 makes all sources equal."""
     raw = {s: p**exponent for s, p in shares.items()}
@@ -68,7 +74,7 @@ def mix(
     budget_share: float = 1.0,
     entropy_share: float | None = 0.5,
     max_repeats: float | None = 4.0,
-    seed: int = 17,
+    seed: int = SEED,
     n_tokens=None,
     block_docs: int = BLOCK_DOCS,
 ) -> DataFrame:
@@ -93,8 +99,8 @@ def mix(
     columns are not read.  An empty table gives an empty result.
     """
     tokens = word_count(F.col("text")) if n_tokens is None else n_tokens
-    ident = F.xxhash64(F.lit(seed), "doc_id", "text")
-    rows = df.select("doc_id", "source", F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("n_tokens"), ident.alias("ident"))
+    n = F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("n_tokens")
+    rows = df.select("doc_id", "source", n, identity(seed).alias("ident"))
     rows = stored(rows, "sized")
 
     per = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
@@ -126,3 +132,14 @@ def mix(
         "doc_id", "source", "n_tokens", "weight", "block",
         (F.col("whole") + (start < F.col("part")).cast("int")).alias("copies"), rank.alias("last_epoch_rank"), "ident",
     )
+
+
+def realised(df: DataFrame, **parameters) -> DataFrame:
+    """The mixture: all columns of every document, as often as ``mix`` takes it (not at all for 0).
+
+    Rows that agree in doc_id and text are taken equally often.
+    """
+    plan = mix(df, **parameters).where("copies > 0").groupBy("ident").agg(F.max("copies").alias("copies"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    met = df.select(row, identity(parameters.get("seed", SEED)).alias("ident")).join(stored(plan, "plan"), "ident")
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, rules, secrets, templates, urls
-from barstream.llm.common import held_out, read, remainder, stored, work_folder
+from barstream.llm.common import held_out, read, remainder, work_folder
 
 Q, O = {}, {}  # noqa: E741
 
@@ -75,16 +75,11 @@ def op9_mixing(spark, sf_dir):
 
 @register("op7_rules")
 def op7_rules(spark, sf_dir):
-    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
-
-
-def quality_scores(docs, labels):
-    """doc_id, held_out, score and predicted of every document, learned from the rows that are not held out."""
-    rows = stored(rules.text_statistics(docs, ["doc_id"]), "statistics")
-    known = labels.where(remainder(F.col("doc_id")) != 2).select("doc_id", "quality")
-    model = rules.fit(rows.join(known, "doc_id"))
-    scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = rules.fit(docs, labels.where(remainder(F.col("doc_id")) != 2))
+    scored = rules.text_statistics(docs, ["doc_id"]).withColumn("score", model.score())
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
 @register("op1_templates")

@@ -99,28 +99,34 @@ class RuleEnsemble:
         return [f"{w:+.3f} if {words(r)}" for w, r in sorted(self.rules, key=lambda x: -abs(x[0]))]
 
 
-def fit(rows: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO) -> RuleEnsemble:
-    """Learn from rows of doc_id, STATISTICS and a 0/1 label; null and other labels are left out.
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO
+) -> RuleEnsemble:
+    """Learn from the documents that ``labels`` (doc_id and a 0/1 label) names; null and other labels are left out.
 
     Trees over the statistics give candidate rules, one per node; a logistic
-    regression with an L1 penalty weights them and leaves most at 0.  With no
-    labelled row the score is 1/2, with one class only its smoothed share.
+    regression with an L1 penalty weights them and leaves most at 0.  At most
+    about ``fit_rows`` labels are used, chosen by a hash of doc_id; their number
+    bounds what is broadcast.  Without any labelled document the score is 1/2,
+    with one class only its smoothed share.
     """
-    known = rows.where(F.col(label).isin(0, 1)).select("doc_id", *STATISTICS, F.col(label).cast("double").alias("label"))
-    n, ones = known.agg(F.count("*"), F.sum("label")).first()
-    if not n or ones in (0, n):
-        share = ((ones or 0) + 0.5) / (n + 1)
-        return RuleEnsemble(math.log(share / (1 - share)), [])
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
+    n, bits = known.count(), 1 << 30
     if n > fit_rows:
-        bits = 1 << 30
         known = known.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(bits)) < int(bits * fit_rows / n))
-    known = stored(VectorAssembler(inputCols=list(STATISTICS), outputCol="statistics").transform(known), "fit")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = VectorAssembler(inputCols=list(STATISTICS), outputCol="statistics").transform(text_statistics(rows, ["label"]))
+    known = stored(rows, "fit")
+    n, ones = known.agg(F.count("*"), F.sum("label")).first()
+    share = ((ones or 0) + 0.5) / (n + 1)
+    prior = math.log(share / (1 - share))
+    if not n or ones in (0, n):
+        return RuleEnsemble(prior, [])
     forest = RandomForestClassifier(featuresCol="statistics", labelCol="label", numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="onethird")
     paths = (p for tree in forest.fit(known).trees for p in tree_paths(tree.toDebugString))
     rules = list(dict.fromkeys(map(simplified, paths)))
     if not rules:
-        share = ones / n
-        return RuleEnsemble(math.log(share / (1 - share)), [])
+        return RuleEnsemble(prior, [])
     hits = F.array(*[compiled(r).cast("double") for r in rules])
     marked = stored(known.select("label", array_to_vector(hits).alias("hits")), "hits")
     lasso_fit = LogisticRegression(featuresCol="hits", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(marked)
