@@ -22,8 +22,13 @@ def word_count(text: Column) -> Column:
 
 
 def identity(seed: int = SEED) -> Column:
-    """What orders documents and tells them apart: a hash of doc_id and text."""
-    return F.xxhash64(F.lit(seed), "doc_id", "text")
+    """What orders documents and tells them apart: 60 bits of the md5 of seed, doc_id and text (null: empty)."""
+    parts = [F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def block_order(seed: int, block: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), block.cast("string")))
 
 
 def weights_at(shares: dict, exponent: float) -> dict:
@@ -121,7 +126,7 @@ def mix(
     dealt = rows.join(planned, F.col("source").eqNullSafe(F.col("at"))).drop("at")
     dealt = stored(dealt.withColumn("block", F.pmod("ident", F.col("blocks"))), "dealt")
     sums = dealt.groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens"), F.count("*").alias("block_docs"))
-    in_order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 1), "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("source").orderBy(block_order(seed, F.col("block"))).rowsBetween(Window.unboundedPreceding, -1)
     before = [F.coalesce(F.sum(c).over(in_order), F.lit(0)).alias(b) for c, b in (("block_tokens", "before"), ("block_docs", "docs_before"))]
     sums = sums.select(F.col("source").alias("at"), F.col("block").alias("at_block"), *before)
     placed = dealt.join(sums, F.col("source").eqNullSafe(F.col("at")) & (F.col("block") == F.col("at_block")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, rules, secrets, templates, urls
+from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, rules, secrets, sql, templates, urls
 from barstream.llm.common import held_out, read, remainder, work_folder
 
 Q, O = {}, {}  # noqa: E741
@@ -26,20 +26,20 @@ def vocabulary_path(name):
     return public_tokenizers.path(name)
 
 
-@register("op6_minhash")
+@register("op6_minhash", sql.OP6)
 def op6_minhash(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-@register("op8_decontaminate")
+@register("op8_decontaminate", sql.OP8)
 def op8_decontaminate(spark, sf_dir):
     found = decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     n_items = F.size("items").cast("long").alias("n_items")
-    return found.select("doc_id", "n_words", "n_hit", n_items, ids, (F.col("n_hit") > 0).alias("contaminated"), "spans")
+    return found.select("doc_id", "n_words", "n_hit", n_items, ids, (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@register("op10_url_filter")
+@register("op10_url_filter", sql.OP10)
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(read(spark, sf_dir, "pages"))
 
@@ -68,9 +68,9 @@ def op3_language(spark, sf_dir):
     return language.identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@register("op9_mixing")
+@register("op9_mixing", sql.OP9)
 def op9_mixing(spark, sf_dir):
-    return mixing.mix(read(spark, sf_dir, "documents")).drop("ident")
+    return mixing.mix(read(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 9)).drop("ident")
 
 
 @register("op7_rules")
@@ -82,7 +82,7 @@ def op7_rules(spark, sf_dir):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
-@register("op1_templates")
+@register("op1_templates", sql.OP1)
 def op1_templates(spark, sf_dir):
     kept = templates.drop_recurring(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
