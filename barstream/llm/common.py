@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Rows of an Arrow batch that are Python objects at one time.
+SLICE = 500
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -61,7 +65,7 @@ def text_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = per_text()
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, max(b.num_rows, 1), SLICE)):
             new = list(zip(*map(one, batch.column(len(keep)).to_pylist()))) or [()] * len(arrow)
             arrays = [batch.column(i) for i in range(len(keep))]
             arrays += [pa.array(values, field.type) for values, field in zip(new, arrow)]
@@ -113,8 +117,12 @@ class Bounded(dict):
 
 
 def per_process(key: tuple, make: Callable):
-    """An object that a worker process makes once and keeps for its later tasks (tokenizers, automata)."""
-    kept = sys.modules.setdefault("_kept_objects", types.ModuleType("_kept_objects")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    """An object that a worker process keeps for its next tasks: a tokenizer, an automaton, a model.
+
+    One at a time, so that a long-lived worker doesn't gather those of earlier stages.
+    """
+    kept = sys.modules.setdefault("_kept_object", types.ModuleType("_kept_object")).__dict__
+    if kept.get("key") != key:
+        kept.pop("value", None)
+        kept["value"], kept["key"] = make(), key
+    return kept["value"]

@@ -44,7 +44,7 @@ def shingle_sets(df: DataFrame, words: int) -> DataFrame:
 
     def per_text():
         hasher = word_hasher()
-        return lambda text: (shingle_set(text, words, hasher).view("int64").tolist(),)
+        return lambda text: (shingle_set(text, words, hasher).view("int64"),)
 
     fields = [T.StructField("shingles", T.ArrayType(T.LongType()))]
     return text_rows(df, ["doc_id"], fields, per_text).withColumnRenamed("doc_id", "rep")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -14,7 +15,7 @@ class TokenTable(dict):
     at.  Subclasses encode the new words of a text in one call.
     """
 
-    def __init__(self, size: int = 800_000):
+    def __init__(self, size: int = 400_000):
         super().__init__()
         self.size = size
         self._reset()
@@ -96,7 +97,7 @@ class WordBpeTable(TokenTable):
         self.model = self.tokenizer.model
         # Fixed value: the vocabulary's own split, with its white space written out.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t\n\v\f\r \x85\xa0\p{L}\p{N}]+")
-        self.piece_ids: dict[str, list[int]] = {}
+        self.piece_ids: dict[str, array] = {}
         self.letters = byte_letters()
         super().__init__()
 
@@ -104,11 +105,13 @@ class WordBpeTable(TokenTable):
         super()._reset()
         self.piece_ids.clear()
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> array:
         found = self.piece_ids.get(piece)
         if found is None:
+            if len(self.piece_ids) >= self.size // 2:
+                self.piece_ids.clear()
             text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            found = self.piece_ids[piece] = [t.id for t in self.model.tokenize(text)]
+            found = self.piece_ids[piece] = array("i", [t.id for t in self.model.tokenize(text)])
         return found
 
     def _word(self, word: str) -> list[int]:
