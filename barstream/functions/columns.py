@@ -44,9 +44,20 @@ def hash_bucket(*keys: Column | str, seed: int | str = 42, buckets: int = 100) -
     It depends on the key and seed only, never on partitioning, so a retried
     task gives the same answer.  NULL parts count as empty text.
     """
+    return (hash_digest(*keys, seed=seed) % buckets).cast("int")
+
+
+#: Number of values of hash_digest.
+DIGESTS = 2**32
+
+
+def hash_digest(*keys: Column | str, seed: int | str = 42) -> Column:
+    """32 bits of a row key's digest: ``< share * DIGESTS`` picks any share of rows, however small.
+
+    As hash_bucket, but not folded into buckets.
+    """
     parts = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("bigint")
 
 
 def ratio(top: Column, bottom: Column, default: float | None = 0.0) -> Column:

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 NEUTRAL = 0.5
 
 
-def make_scorer(fn: Callable[[str], float], max_chars: int | None = 300, min_chars: int = 5):
+def make_scorer(fn: Callable[[str], float], max_chars: int | None = None, min_chars: int = 5):
     """Arrow UDF around ``fn(text) -> score``.
 
-    Missing or short texts and any error of ``fn`` give 0.5.  ``max_chars``
-    is how much of a text the scorer sees; None passes it whole.
+    Missing or short texts and any error of ``fn`` give 0.5.  Texts are passed
+    whole unless ``max_chars`` says how much of them the scorer sees.
     """
 
     def one(text):

@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstream.functions.columns import hash_bucket
+from barstream.functions.columns import DIGESTS, hash_bucket, hash_digest
 from barstream.operators.slicing import Slices, find_slices, order_axis, windowed
 
 # The model inputs.
@@ -80,7 +80,7 @@ def mark_split(
     of the time axis into the test side, so that training sees no later rows.
     """
     if mode == "hash":
-        picked = hash_bucket(*keys, seed=seed) < round(test * 100)
+        picked = hash_digest(*keys, seed=seed) < test * DIGESTS
     elif mode == "time":
         axis = order_axis(df, time)
         cut = df.select(axis.alias("x")).agg(F.percentile_approx("x", 1.0 - test, 10_000)).scalar()

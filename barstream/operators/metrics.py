@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from barstream.functions.columns import ratio
 from barstream.operators.slicing import find_slices, running_totals
 
+MAX_CLASSES = 1_000
+
 
 def _count(condition: Column) -> Column:
     return F.coalesce(F.count_if(condition), F.lit(0)).cast("double")
@@ -19,23 +21,45 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     return df.agg(F.count("*").alias("n_rows"), F.avg(hit.cast("int")).alias("accuracy"))
 
 
+def _classes(df: DataFrame, label: str, prediction: str) -> list[int]:
+    """All classes that occur as truth or prediction, in order; more than MAX_CLASSES are refused."""
+    both = F.explode(F.array(F.col(label).cast("int"), F.col(prediction).cast("int"))).alias("c")
+    found = [r["c"] for r in df.select(both).where("c IS NOT NULL").distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return sorted(found)
+
+
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] = (0, 1)
+    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] | None = None
 ) -> DataFrame:
-    """A row per true class, a column ``pred_<class>`` per predicted class."""
+    """A row per true class, a column ``pred_<class>`` per predicted class.
+
+    Classes come from the data; with ``classes`` given, ``pred_other`` counts
+    the predictions of any other.  Every class has a row, other true classes
+    and NULL keep theirs.
+    """
     truth, guess = F.col(label).cast("int"), F.col(prediction).cast("int")
-    cells = [F.count_if(guess == c).alias(f"pred_{c}") for c in classes]
-    return df.groupBy(truth.alias("label")).agg(*cells)
+    known = _classes(df, label, prediction) if classes is None else list(classes)
+    cells = [F.count_if(guess == c).alias(f"pred_{c}") for c in known]
+    if classes is not None:
+        cells.append(F.count_if(~guess.isin(known)).alias("pred_other"))
+    found = df.groupBy(truth.alias("label")).agg(*cells)
+    every = df.sparkSession.createDataFrame([(c,) for c in known], "label int")
+    nil = every.join(found, "label", "left_anti").select("label", *[F.lit(0).cast("long").alias(c) for c in found.columns[1:]])
+    return found.union(nil)
 
 
 def classification_report(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] = (0, 1)
+    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] | None = None
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, accuracy, macro and weighted means.
 
-    0/0 counts as 0.  All counts come from one pass over the data; the rows of
-    the report are built from that single result row.
+    0/0 counts as 0.  Classes come from the data unless given.  All counts come
+    from one pass over the data; the rows of the report are built from that
+    single result row.
     """
+    classes = _classes(df, label, prediction) if classes is None else classes
     truth, guess = F.col(label).cast("int"), F.col(prediction).cast("int")
     counts = [F.count("*").cast("double").alias("n"), _count(truth == guess).alias("hits")]
     for c in classes:

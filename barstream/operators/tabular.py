@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstream.functions.columns import hash_bucket, ratio
+from barstream.functions.columns import DIGESTS, hash_digest, ratio
 
 
 def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -25,41 +26,51 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scaled)
 
 
-def _pearson_by_aggregates(rows: DataFrame, columns: list[str]) -> dict:
-    """All pairs in one aggregation.  Not ``corr``, which raises a division by
-    zero for a constant column."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = rows.agg(
-        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs], *[F.stddev_pop(c).alias(f"{c}|") for c in columns]
-    ).first()
-    found = {}
-    for a, b in pairs:
-        spread = (one[f"{a}|"] or 0.0) * (one[f"{b}|"] or 0.0)
-        found[a, b] = found[b, a] = one[f"{a}|{b}"] / spread if spread else None
-    return found
-
-
-def _pearson_by_matrix(rows: DataFrame, columns: list[str]) -> dict:
-    """Products summed per task by MLlib, for more pairs than one generated
-    aggregation handles well."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="_row").transform(rows)
-    matrix = Correlation.corr(vectors, "_row").head()[0].toArray()
-    return {
-        (a, b): None if math.isnan(matrix[i, j]) else float(matrix[i, j])
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    }
+def _centred(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, set[str]]:
+    """Rows with each column's mean taken off, and the constant columns: one aggregation, two numbers a column."""
+    facts = [f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]
+    one = rows.agg(*facts).first()
+    constant = {c for i, c in enumerate(columns) if one[f"lo{i}"] == one[f"hi{i}"]}
+    means = {c: F.col(c) - F.lit(one[f"m{i}"]) for i, c in enumerate(columns) if one[f"m{i}"] is not None}
+    return rows.withColumns(means), constant
+
+
+def _products(rows: DataFrame, left: list[str], right: list[str]) -> dict[tuple[str, str], float]:
+    """Sums of products of centred columns, left x right: tasks sum up their rows as matrices, Spark adds the sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(left), len(right)))
+        for batch in batches:
+            values = np.column_stack([batch.column(i).to_numpy() for i in range(batch.num_columns)])
+            total += values[:, : len(left)].T @ values[:, len(left) :]
+        i, j = np.indices(total.shape)
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "s"])
+
+    wide = rows.select(*[F.col(c).alias(f"l{i}") for i, c in enumerate(left)], *[F.col(c).alias(f"r{i}") for i, c in enumerate(right)])
+    sums = wide.mapInArrow(run, "i bigint, j bigint, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    return {(left[r["i"]], right[r["j"]]): r["s"] for r in sums.collect()}
+
 
+def _pearson(product: float, a: float, b: float) -> float | None:
+    """NULL where a spread is nil."""
+    return max(-1.0, min(1.0, product / math.sqrt(a * b))) if a > 0 and b > 0 else None
 
-def correlations(df: DataFrame, columns: list[str], wide: int = 10) -> DataFrame:
-    """Pearson matrix in long form: (x, y, correlation).
+
+def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+
+
+def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson matrix in long form: (x, y, correlation), by one definition for any number of columns.
 
     Rows with a missing value are left out; a constant column has NULL.  Only
     columns x columns numbers come back from the tasks.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    found = (_pearson_by_aggregates if len(columns) <= wide else _pearson_by_matrix)(rows, list(columns))
-    cells = [(x, y, found[x, y]) for x in columns for y in columns]
+    columns = list(columns)
+    rows, constant = _centred(_complete(df, columns), columns)
+    sums = _products(rows, columns, columns)
+    spread = {c: 0.0 if c in constant else sums.get((c, c), 0.0) for c in columns}
+    cells = [(x, y, _pearson(sums.get((x, y), 0.0), spread[x], spread[y])) for x in columns for y in columns]
     return df.sparkSession.createDataFrame(cells, "x string, y string, correlation double")
 
 
@@ -67,9 +78,17 @@ def select_features(
     df: DataFrame, columns: list[str], label: str, k: int | None = None, threshold: float | None = None
 ) -> DataFrame:
     """(feature, correlation) of the k features nearest to the label by
-    absolute correlation, or of all that reach ``threshold``."""
-    pairs = correlations(df, [*columns, label]).where((F.col("y") == label) & (F.col("x") != label))
-    table = pairs.select(F.col("x").alias("feature"), "correlation")
+    absolute correlation, or of all that reach ``threshold``.
+
+    Each feature meets the label alone, so the work grows with the number of columns.
+    """
+    names = [*columns, label]
+    rows, constant = _centred(_complete(df, names), names)
+    sums = _products(rows, names, [label])
+    squares = rows.agg(*[F.sum(F.col(c) * F.col(c)).alias(f"s{i}") for i, c in enumerate(names)]).first()
+    spread = {c: 0.0 if c in constant else squares[f"s{i}"] or 0.0 for i, c in enumerate(names)}
+    cells = [(c, _pearson(sums.get((c, label), 0.0), spread[c], spread[label])) for c in columns]
+    table = df.sparkSession.createDataFrame(cells, "feature string, correlation double")
     strength = F.abs("correlation")
     if threshold is not None:
         table = table.where(strength >= threshold)
@@ -102,4 +121,5 @@ def downsample(df: DataFrame, keys: list[str], label: str = "label", seed: int =
     ).scalar()
     own = F.when(F.col(label) == 1, facts["pos"]).otherwise(facts["neg"])
     rare = F.least(facts["pos"], facts["neg"])
-    return df.where(hash_bucket(*keys, seed=seed, buckets=10_000) * own < 10_000 * rare)
+    digest = hash_digest(*keys, seed=seed).cast("double")
+    return df.where(digest * own.cast("double") < DIGESTS * rare.cast("double"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,10 +12,10 @@ from pyspark.sql import functions as F
 
 from barstream.functions.columns import strip_blank
 
-# Neutral score, shortest scored text, characters read by default.
+# Neutral score, shortest scored text, characters that the title job reads.
 NEUTRAL = 0.5
 MIN_CHARS = 5
-MAX_CHARS = 300
+TITLE_CHARS = 300
 # A token is one Chinese character or a run of other letters.
 TOKEN = r"[\p{L}&&[^\p{IsHan}]]+|\p{IsHan}"
 BROADCAST_ROWS = 500_000
@@ -66,42 +68,45 @@ def _model_scorer(model: DataFrame):
     return total
 
 
-def _salted_sums(texts: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum of llr per key by a shuffle join, frequent tokens spread over salts."""
-    words = texts.dropDuplicates(keys).select(*keys, F.explode("_tokens").alias("token"))
-    spread = words.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
+def _salted_sums(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """Sum of llr per text (``_text``, its digest) by a shuffle join, frequent tokens spread over salts."""
+    words = texts.dropDuplicates(["_text"]).select("_text", F.explode("_tokens").alias("token"))
+    spread = words.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int"))
     salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(salted, ["token", "_salt"]).groupBy(*keys).agg(F.sum("llr").alias("_sum"))
+    return spread.join(salted, ["token", "_salt"]).groupBy("_text").agg(F.sum("llr").alias("_sum"))
 
 
-def sentiment_score(
-    df: DataFrame,
-    model: DataFrame,
-    keys: str | list[str],
-    text: str = "title",
-    max_chars: int | None = MAX_CHARS,
-    output: str = "sentiment_score",
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Add a score in [0, 1], 1 = positive.
+def sentiment_scorer(
+    model: DataFrame, text: str = "title", max_chars: int | None = None, output: str = "sentiment_score", broadcast_rows: int = BROADCAST_ROWS
+) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds a score in [0, 1], 1 = positive, to a frame of texts.
 
     Missing texts and texts shorter than five characters (blanks at the ends
-    not counted) score 0.5, as do texts without known tokens.  ``max_chars``
-    is how much of a text counts; None reads it whole.
+    not counted) score 0.5, as do texts without known tokens.  Texts are read
+    whole unless ``max_chars`` says how much of them counts.
 
     ``model`` is a stored (token, llr) table.  A vocabulary grows with the
     data, so it is counted first: up to ``broadcast_rows`` tokens are
-    broadcast and texts are scored where they lie, without a shuffle.  A larger
-    one is joined by token; then ``keys`` must determine the text.
+    broadcast, once for all frames that are scored, and texts are scored where
+    they lie.  A larger one is joined by token, each distinct text once.  Either
+    way a text has the same score.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
     read = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
     worth = F.length(strip_blank(text)) >= MIN_CHARS
     scored = F.when(worth, tokens(read))
-    if model.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        summed = df.withColumn("_sum", _model_scorer(model)(scored))
-    else:
-        sums = _salted_sums(df.select(*keys, scored.alias("_tokens")), model, keys)
-        summed = df.join(sums, keys, "left")
     score = F.coalesce(1 / (1 + F.exp(-F.col("_sum"))), F.lit(NEUTRAL))
-    return summed.withColumn(output, score).drop("_sum")
+    if model.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        total = _model_scorer(model)
+        return lambda df: df.withColumn("_sum", total(scored)).withColumn(output, score).drop("_sum")
+
+    def joined(df: DataFrame) -> DataFrame:
+        marked = df.withColumn("_text", F.sha2(text, 256))
+        sums = _salted_sums(marked.where("_text IS NOT NULL").select("_text", scored.alias("_tokens")), model)
+        return marked.join(sums, "_text", "left").withColumn(output, score).drop("_text", "_sum")
+
+    return joined
+
+
+def sentiment_score(df: DataFrame, model: DataFrame, **options) -> DataFrame:
+    """``sentiment_scorer`` for one frame."""
+    return sentiment_scorer(model, **options)(df)

@@ -20,12 +20,14 @@ def build_indicators(spark: SparkSession, prices_path: str, indicators_path: str
 
 
 def train_direction(
-    spark: SparkSession, prices_path: str, indicators_path: str, model_path: str, **params
+    spark: SparkSession, indicators_path: str, model_path: str, **params
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """Fit and store the direction model; returns it with its holdout metrics."""
-    prices = read_table(spark, prices_path).drop("batch_id")
-    slices = find_slices(prices, "symbol", "trade_time")
-    frame = training_frame(prices, read_table(spark, indicators_path), slices=slices)
+    """Fit and store the direction model; returns it with its holdout metrics.
+
+    Indicators hold close and volume, so prices are not joined again.
+    """
+    indicators = read_table(spark, indicators_path)
+    frame = training_frame(None, indicators, slices=find_slices(indicators, "symbol", "trade_time"))
     train, test = split(frame, ["symbol", "trade_time"])
     model = fit_gbt(train, **params)
     save_model(model, model_path)

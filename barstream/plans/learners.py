@@ -26,7 +26,6 @@ from barstream.operators.metrics import (
 )
 from barstream.operators.ranking import latest_per_key
 
-SPREAD_ROWS = 20_000_000
 CLASSIFIERS = {
     "lr": lambda **p: LogisticRegression(**p),
     "dt": lambda **p: DecisionTreeClassifier(**{"seed": 42, **p}),
@@ -54,22 +53,20 @@ def make_pipeline(kind: str, columns, label: str = "label", weight: str | None =
 
 
 @contextmanager
-def training_rows(df: DataFrame, columns: list[str], label: str):
+def training_rows(df: DataFrame, columns: list[str], label: str, partitions: int | None = None):
     """Complete rows of the needed columns, ready for the passes of a learner.
 
-    A small set that sits in a few files is spread over all cores and cached.
-    A large one stays as it is: the learners cache their own encoding of it,
-    and a second copy would only displace that.
+    Rows are dealt by their values to a stated number of partitions (the
+    session's ``spark.sql.shuffle.partitions`` unless given) and sorted there,
+    whatever their number: what a learner samples depends on neither the files
+    nor the cores.
     """
     rows = drop_incomplete(df.select(*columns), columns).withColumn(label, F.col(label).cast("double"))
-    n = rows.count()
-    if not n:
-        raise ValueError("no training rows")
-    if n > SPREAD_ROWS:
-        yield rows
-        return
-    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, *columns).sortWithinPartitions(*columns).persist()
     try:
+        if rows.isEmpty():
+            raise ValueError("no training rows")
         yield rows
     finally:
         rows.unpersist()
@@ -129,23 +126,28 @@ def direction_columns(df: DataFrame, as_of=None, score: str = "score") -> DataFr
     """Predictions in serving form.
 
     ``confidence`` is P(up) also when the direction is DOWN;
-    ``direction_confidence`` is that of the stated direction.
+    ``direction_confidence`` is that of the stated direction.  A NULL score
+    gives NULL in all three.
     """
     up = F.col(score) > 0.5
+    known = F.col(score).isNotNull()
     time = F.current_timestamp() if as_of is None else F.lit(as_of)
     return df.select(
         F.col("symbol").alias("stock_code"),
         time.alias("predict_time"),
-        F.when(up, "UP").otherwise("DOWN").alias("predicted_direction"),
+        F.when(up, "UP").when(known, "DOWN").alias("predicted_direction"),
         F.col(score).alias("confidence"),
         F.when(up, F.col(score)).otherwise(1 - F.col(score)).alias("direction_confidence"),
     )
 
 
 def predict_latest(indicators: DataFrame, model: PipelineModel, as_of=None) -> DataFrame:
-    """Score the newest row of each symbol; keys and scores stay in one plan."""
-    latest = latest_per_key(indicators, "symbol", "trade_time")
-    return direction_columns(score(model, drop_incomplete(latest, FEATURES)), as_of)
+    """A row per symbol: its newest complete row, scored; NULL where no row is complete."""
+    gaps = sum((F.col(c).isNull().cast("int") for c in FEATURES), F.lit(0))
+    latest = latest_per_key(indicators.withColumn("_whole", gaps == 0), "symbol", ["_whole", "trade_time"])
+    filled = latest.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
+    scored = score(model, filled).withColumn("score", F.when(F.col("_whole"), F.col("score")))
+    return direction_columns(scored, as_of)
 
 
 def _validator(df, kind, columns, label, keys, k, grid, metric, weight, params, parallelism):

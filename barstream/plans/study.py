@@ -21,7 +21,7 @@ def _knn_scores(train: DataFrame, test: DataFrame, columns: list[str], label: st
     """Label and share of positive votes per test row."""
     vector = F.array(*[F.col(c).cast("double") for c in columns]).alias("features")
     found = knn(train.select("_id", label, vector), test.select("_id", vector), k, "_id", "features", label)
-    share = F.col("votes") / F.col("neighbours")
+    share = F.try_divide(F.col("votes"), F.col("neighbours"))
     positive = F.when(F.col("prediction") == 1, share).otherwise(1 - share)
     return test.select("_id", label).join(found.select("_id", positive.alias("score")), "_id").select(label, "score")
 

@@ -14,7 +14,8 @@ QUOTE_COLUMNS = {"代码": "code", "最新价": "price", "成交量": "volume",
 NEWS_COLUMNS = {"新闻标题": "title", "新闻内容": "content", "发布时间": "publish_time", "文章来源": "source"}
 CLOSE_OF_DAY = " 15:00:00"
 DEFAULT_SOURCE = "eastmoney"
-# The days of the price history.
+# News per stock and the days of the price history, as the collecting job takes them.
+NEWS_PER_SYMBOL = 30
 HISTORY_START, HISTORY_END = "2025-06-01", "2026-05-31"
 
 
@@ -53,13 +54,14 @@ def normalize_snapshot(
     )
 
 
-def normalize_news(raw: DataFrame, order: str, limit_per_symbol: int = 30) -> DataFrame:
-    """Vendor news to messages: the first 30 per stock in vendor order."""
+def normalize_news(raw: DataFrame, order: str, limit_per_symbol: int | None = None) -> DataFrame:
+    """Vendor news to messages: all, or the first ``limit_per_symbol`` per stock in vendor order."""
     raw = raw.withColumnsRenamed(NEWS_COLUMNS)
     for name in ("content", "source"):
         if name not in raw.columns:
             raw = raw.withColumn(name, F.lit(None).cast("string"))
-    return first_per_key(raw, "symbol", order, limit_per_symbol).select(
+    rows = raw if limit_per_symbol is None else first_per_key(raw, "symbol", order, limit_per_symbol)
+    return rows.select(
         "symbol",
         "title",
         F.coalesce("content", F.lit("")).alias("content"),
@@ -69,9 +71,7 @@ def normalize_news(raw: DataFrame, order: str, limit_per_symbol: int = 30) -> Da
     )
 
 
-def history(
-    df: DataFrame, start: str | date = HISTORY_START, end: str | date = HISTORY_END, time: str = "trade_time"
-) -> DataFrame:
+def history(df: DataFrame, start: str | date, end: str | date, time: str = "trade_time") -> DataFrame:
     """Rows of the days start..end, both included.  Plain comparisons reach the scan."""
     kind = df.schema[time].dataType
     first = F.lit(str(start)).cast(kind)

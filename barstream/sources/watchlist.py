@@ -32,10 +32,11 @@ STOCKS = (
 
 
 def vendor_code(code: str) -> str:
-    """Code with its exchange: Shanghai codes start with 6, the others are Shenzhen."""
-    return f"{'sh' if code.startswith('6') else 'sz'}.{code}"
+    """Code with its exchange by the first digit: 5, 6 and 9 Shanghai, 4 and 8 Beijing, others Shenzhen."""
+    return f"{'sh' if code[0] in '569' else 'bj' if code[0] in '48' else 'sz'}.{code}"
 
 
 def watchlist(spark: SparkSession, stocks=STOCKS) -> DataFrame:
-    """(code, baostock_code, name) rows."""
-    return spark.createDataFrame([(code, vendor_code(code), name) for code, name in stocks], WATCHLIST)
+    """(code, baostock_code, name) rows, from (code, name) or from (code, vendor code, name)."""
+    rows = [s if len(s) == 3 else (s[0], vendor_code(s[0]), s[1]) for s in stocks]
+    return spark.createDataFrame(rows, WATCHLIST)

@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 # Topics and trigger intervals.
 PRICE_TOPIC, NEWS_TOPIC = "stock-prices", "stock-news"
 PRICE_INTERVAL, NEWS_INTERVAL = "10 seconds", "30 seconds"
+# What a micro-batch takes at most unless told otherwise; the rest waits for the next one.
+OFFSETS_PER_TRIGGER, FILES_PER_TRIGGER = 5_000_000, 1_000
 
 
 def _read(spark: SparkSession, fmt: str, topic: str, kafka: dict, path: str | None, options: dict) -> DataFrame:
     if fmt == "kafka":
-        settings = {"subscribe": topic, "startingOffsets": "earliest", **kafka, **options}
+        settings = {"subscribe": topic, "startingOffsets": "earliest", "maxOffsetsPerTrigger": OFFSETS_PER_TRIGGER, **kafka, **options}
         return spark.readStream.format("kafka").options(**settings).load()
-    return spark.readStream.format(fmt).schema("value string").options(**options).load(path)
+    settings = {"maxFilesPerTrigger": FILES_PER_TRIGGER, **options}
+    return spark.readStream.format(fmt).schema("value string").options(**settings).load(path)
 
 
 def read_price_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options) -> DataFrame:
@@ -50,15 +54,13 @@ def append_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        try:
-            if rows.isEmpty():
-                return
-            out = transform(rows) if transform else rows
-            out = out.coalesce(max_files) if max_files else out
-            out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            rows.unpersist()
+        folder = f"{path}/batch_id={batch_id}"
+        out = transform(batch) if transform else batch
+        out = out.coalesce(max_files) if max_files else out
+        out.write.mode("overwrite").parquet(folder)
+        # looked at in the written files, so that no batch is cached or run twice
+        if batch.sparkSession.read.schema(out.schema).parquet(folder).isEmpty():
+            _remove(batch.sparkSession, folder)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
@@ -69,6 +71,26 @@ def append_batches(
     )
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    """A folder, and the one above it if nothing is left there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.delete(path, True)
+    if not len(files.listStatus(path.getParent())):
+        files.delete(path.getParent(), False)
+
+
+def compact_batches(spark: SparkSession, path: str, target: str, day: str, files_per_day: int = 1) -> None:
+    """Rewrite the folders of a stopped or quiet stream as one table of days at ``target``.
+
+    ``day`` names the time column.  Reading ``target`` lists days instead of
+    every batch; ``path`` stays for the stream and its restarts.
+    """
+    rows = read_batches(spark, path).withColumn("day", F.to_date(day))
+    dealt = rows.repartition("day") if files_per_day == 1 else rows.repartition("day", F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_day)))
+    dealt.write.mode("overwrite").partitionBy("day").parquet(target)
+
+
 def run_until_done(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Wait for the query; with a timeout, stop it and return False when it runs out."""
     done = query.awaitTermination(timeout) if timeout else query.awaitTermination()

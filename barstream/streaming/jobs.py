@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barstream.operators.clean import clean_prices, parse_news, parse_prices
-from barstream.operators.text import MAX_CHARS, sentiment_score
+from barstream.operators.text import sentiment_scorer
 from barstream.streaming.io import append_batches
 
 
@@ -31,14 +30,13 @@ def store_news(
     path: str,
     checkpoint: str,
     interval: str | None = None,
-    max_chars: int | None = MAX_CHARS,
+    max_chars: int | None = None,
     ntz: bool = False,
 ) -> StreamingQuery:
-    """Parse, score and append news messages.  ``model`` is a stored token table."""
-    parsed = parse_news(messages, ntz=ntz)
+    """Parse, score and append news messages.
 
-    def scored(batch: DataFrame) -> DataFrame:
-        marked = batch.withColumn("_title", F.sha2(F.coalesce("title", F.lit("")), 256))
-        return sentiment_score(marked, model, "_title", max_chars=max_chars).drop("_title")
-
-    return append_batches(parsed, path, checkpoint, interval, transform=scored)
+    ``model`` is a stored token table; its scorer is made once, before the
+    stream starts.  Titles are read whole; the title job passes TITLE_CHARS.
+    """
+    scored = sentiment_scorer(model, max_chars=max_chars)
+    return append_batches(parse_news(messages, ntz=ntz), path, checkpoint, interval, transform=scored)

@@ -60,11 +60,21 @@ def training_frame_one_input(spark, sf_dir):
     return X.rounded(direction_frame(spark, sf_dir, joined=False))
 
 
-@query("split", f"WITH {S.tab_class()} SELECT *, {S.bucket(S.LINE_KEY, 100)} < 20 AS is_test FROM tab")
+@query("split", f"WITH {S.tab_class()} SELECT *, {S.digest(S.LINE_KEY)} < 0.2 * 4294967296 AS is_test FROM tab")
 def split(spark, sf_dir):
     return FE.mark_split(X.tab_class(spark, sf_dir), X.LINE_KEYS)
 
 
+@query("split_small", f"WITH {S.tab_class()} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {S.digest(S.LINE_KEY)} < 0.004 * 4294967296 AS is_test FROM tab")
+def split_small(spark, sf_dir):
+    return FE.mark_split(X.tab_class(spark, sf_dir), X.LINE_KEYS, test=0.004).select(*X.LINE_KEYS, "is_test")
+
+
+@query("label_drop_unlabelled", f"WITH {LABELLED} SELECT symbol, trade_time, close, future_close, CASE WHEN future_close > close THEN 1 ELSE 0 END AS label FROM labelled WHERE future_close IS NOT NULL")
+def label_drop_unlabelled(spark, sf_dir):
+    return FE.label_direction(X.ticks(spark, sf_dir).select("symbol", "trade_time", "close"), drop_unlabelled=True)
+
+
 @query("folds", f"WITH {S.tab_class()} SELECT *, CAST({S.bucket(S.LINE_KEY, 5)} AS INTEGER) AS fold FROM tab")
 def folds(spark, sf_dir):
     return FE.add_folds(X.tab_class(spark, sf_dir), X.LINE_KEYS)
@@ -90,6 +100,19 @@ def confusion_matrix(spark, sf_dir):
     return M.confusion_matrix(predicted(spark, sf_dir))
 
 
+THREE = S.tab_class() + """, pred AS (
+  SELECT CASE WHEN l_quantity > 40 THEN 2 ELSE label END AS label, CASE WHEN l_discount >= 0.06 THEN 2 WHEN l_tax > 0.05 THEN 1 ELSE 0 END AS prediction FROM tab)"""
+
+
+@query("confusion_matrix_multi", f"""WITH {THREE} SELECT label, count(*) FILTER (prediction = 0) AS pred_0,
+  count(*) FILTER (prediction = 1) AS pred_1, count(*) FILTER (prediction = 2) AS pred_2 FROM pred GROUP BY label""")
+def confusion_matrix_multi(spark, sf_dir):
+    rows = X.tab_class(spark, sf_dir)
+    guess = F.when(F.col("l_discount") >= 0.06, 2).when(F.col("l_tax") > 0.05, 1).otherwise(0)
+    truth = F.when(F.col("l_quantity") > 40, 2).otherwise(F.col("label"))
+    return M.confusion_matrix(rows.select(truth.alias("label"), guess.alias("prediction")))
+
+
 @query(
     "classification_report",
     f"""WITH {PREDICTED}, c AS (
@@ -167,6 +190,23 @@ def correlations(spark, sf_dir):
     return X.rounded(T.correlations(X.tab_class(spark, sf_dir), NAMES))
 
 
+WIDE_COLUMNS = {f"{c}_{n}": f"{c} * {f}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") for n, f in (("a", "1"), ("b", "l_quantity"), ("c", "(l_tax - 0.03)"))}
+WIDE_TAB = S.tab_class() + ", wide AS (SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE_COLUMNS.items()) + ", 3.3::DOUBLE AS level FROM tab)"
+
+
+@query(
+    "correlations_wide",
+    f"WITH {WIDE_TAB} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS x, '{b}' AS y, " + ("NULL::DOUBLE" if "level" in (a, b) else f"round(corr({a}, {b}), 6) + 0.0") + " AS correlation"
+        + ("" if "level" in (a, b) else " FROM wide") for a in [*WIDE_COLUMNS, "level"] for b in [*WIDE_COLUMNS, "level"]
+    ),
+)
+def correlations_wide(spark, sf_dir):
+    """Thirteen columns, one of them constant."""
+    rows = X.tab_class(spark, sf_dir).select(*[F.expr(f"CAST({e} AS DOUBLE)").alias(n) for n, e in WIDE_COLUMNS.items()], F.lit(3.3).alias("level"))
+    return X.rounded(T.correlations(rows, [*WIDE_COLUMNS, "level"]))
+
+
 @query(
     "select_features",
     f"WITH {S.tab_class(X.SEPARABLE)}, c AS (" + " UNION ALL ".join(
@@ -193,11 +233,19 @@ def row_weights(spark, sf_dir):
 @query("downsample", f"""SELECT doc_id, label FROM (
     SELECT doc_id, quality AS label, count(*) OVER (PARTITION BY quality) AS own FROM labels),
   (SELECT least(count(*) FILTER (quality = 1), count(*) FILTER (quality = 0)) AS rare FROM labels)
-  WHERE {S.bucket("concat_ws('|', '42', doc_id)", 10000)} * own < 10000 * rare""")
+  WHERE {S.digest("concat_ws('|', '42', doc_id)")}::DOUBLE * own < 4294967296.0 * rare""")
 def downsample(spark, sf_dir):
     return T.downsample(X.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), ["doc_id"])
 
 
+@query("downsample_rare", f"""WITH m AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_orderkey % 997 = 0 AS INTEGER) AS label FROM lineitem)
+  SELECT m.* FROM m, (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM m)
+  WHERE {S.digest(S.LINE_KEY)}::DOUBLE * CASE WHEN label = 1 THEN p ELSE n END < 4294967296.0 * least(p, n)""")
+def downsample_rare(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "lineitem").select(*X.LINE_KEYS, (F.col("l_orderkey") % 997 == 0).cast("int").alias("label"))
+    return T.downsample(rows, X.LINE_KEYS)
+
+
 @query(
     "knn",
     """WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -212,54 +260,111 @@ def knn(spark, sf_dir):
     return nearest(v, v, k=5, key="vec_id", vector="embedding")
 
 
-def _holdout(kind, spark, sf_dir, **params):
-    """Fit on the training side, score the test side of the separable frame."""
-    train, test = FE.split(X.tab_class(spark, sf_dir, X.SEPARABLE), X.LINE_KEYS)
+# Frames whose labels a learner must get exactly, so that its predictions can be compared row by row.
+CUT = "l_quantity > 25"
+WIDE = "l_quantity <= 15 OR l_quantity >= 36"
+TEST_SIDE = f"SELECT * FROM tab WHERE {S.digest(S.LINE_KEY)} < 0.2 * 4294967296"
+HOLDOUT = f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, label AS prediction FROM ({TEST_SIDE})"
+
+
+@query(
+    "knn_split",
+    """WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    n AS (SELECT q.vec_id, t.label FROM v q, v t WHERE q.vec_id % 10 = 0 AND t.vec_id % 10 <> 0
+      QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY
+        list_sum(list_transform(list_zip(q.e, t.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), t.vec_id) <= 5)
+    SELECT vec_id, label AS prediction, count(*) AS votes, CAST(sum(count(*)) OVER (PARTITION BY vec_id) AS BIGINT) AS neighbours FROM n GROUP BY vec_id, label
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY count(*) DESC, label) = 1""",
+)
+def knn_split(spark, sf_dir):
+    """Every tenth vector against the others."""
+    v = X.table(spark, sf_dir, "embeddings")
+    test = F.col("vec_id") % 10 == 0
+    return nearest(v.where(~test), v.where(test), k=5, key="vec_id", vector="embedding")
+
+
+def _holdout(kind, frame, **params):
+    """Fit on the training side, predict the test side."""
+    train, test = FE.split(frame, X.LINE_KEYS)
     scored = L.score(L.fit_classifier(kind, train, X.FEATURES, **params), test)
-    return scored.select(*X.LINE_KEYS, "label", "prediction", "score")
+    return scored.select(*X.LINE_KEYS, "label", "prediction")
 
 
-@query("classifier_lr")
+@query("classifier_lr", f"WITH {S.tab_class(CUT)} {HOLDOUT.replace('FROM tab', f'FROM (SELECT * FROM tab WHERE {WIDE}) tab')}")
 def classifier_lr(spark, sf_dir):
-    return _holdout("lr", spark, sf_dir, maxIter=20)
+    """Quantities on both sides of a gap."""
+    return _holdout("lr", X.tab_class(spark, sf_dir, CUT).where(WIDE))
 
 
-@query("classifier_dt")
+@query("classifier_dt", f"WITH {S.tab_class(CUT)} {HOLDOUT}")
 def classifier_dt(spark, sf_dir):
-    return _holdout("dt", spark, sf_dir, maxDepth=5)
+    return _holdout("dt", X.tab_class(spark, sf_dir, CUT), maxBins=64)
 
 
-@query("classifier_rf")
+@query("classifier_rf", f"WITH {S.tab_class(CUT)} {HOLDOUT}")
 def classifier_rf(spark, sf_dir):
-    return _holdout("rf", spark, sf_dir, numTrees=20, maxDepth=5)
+    return _holdout("rf", X.tab_class(spark, sf_dir, CUT), maxBins=64, featureSubsetStrategy="all")
 
 
-@query("cross_validate")
+@query("cross_validate", f"WITH {S.tab_class(CUT)} SELECT 'accuracy' AS metric, avg(CAST(label = CAST({CUT} AS INTEGER) AS DOUBLE)) AS mean, 0.0::DOUBLE AS deviation FROM tab")
 def cross_validate(spark, sf_dir):
-    return L.cross_validate(X.tab_class(spark, sf_dir, X.SEPARABLE), "lr", X.FEATURES, X.LINE_KEYS, k=3, maxIter=10)
+    return L.cross_validate(X.tab_class(spark, sf_dir, CUT), "dt", X.FEATURES, X.LINE_KEYS, maxBins=64)
 
 
-@query("tune")
+@query("tune", f"WITH {S.tab_class(CUT + ' AND l_tax > 0.04')} SELECT 'maxDepth=4' AS params, 'recall' AS metric, avg(CAST({CUT} AND l_tax > 0.04 AS DOUBLE)) AS mean FROM tab WHERE label = 1")
 def tune(spark, sf_dir):
-    frame = X.tab_class(spark, sf_dir, X.SEPARABLE)
-    return L.tune(frame, "dt", X.FEATURES, X.LINE_KEYS, {"maxDepth": [2, 5]}, k=3)[1]
+    """The best of two depths: one cut can't give a label of two conditions."""
+    frame = X.tab_class(spark, sf_dir, CUT + " AND l_tax > 0.04")
+    return L.tune(frame, "dt", X.FEATURES, X.LINE_KEYS, {"maxDepth": [1, 4]}, maxBins=64)[1].limit(1)
+
 
+PARTS = """parts AS (SELECT p_partkey, p_size, p_retailprice, CAST(p_size > 25 AS INTEGER) AS label FROM part WHERE p_size <= 18 OR p_size >= 33)"""
 
-@query("model_study")
+
+@query("model_study", f"""WITH {PARTS}, held AS (SELECT * FROM parts WHERE {S.digest("concat_ws('|', '42', p_partkey)")} < 0.2 * 4294967296)
+  SELECT model, avg(CAST(label = CAST(p_size > 25 AS INTEGER) AS DOUBLE)) AS accuracy, avg(CAST(p_size > 25 AS DOUBLE)) FILTER (label = 1) AS recall,
+    0.0::DOUBLE AS miss_rate, 1.0::DOUBLE AS auc FROM held, (SELECT unnest(['lr', 'knn', 'dt', 'rf']) AS model) GROUP BY model""")
 def model_study(spark, sf_dir):
-    """Three learners on the same split, best recall first."""
-    return study(X.tab_class(spark, sf_dir, X.SEPARABLE), X.FEATURES, X.LINE_KEYS, kinds=("lr", "dt", "rf"), params={"lr": {"maxIter": 20}})
+    """The four learners on the same split of a frame that all of them can tell apart."""
+    part = X.table(spark, sf_dir, "part").where("p_size <= 18 OR p_size >= 33")
+    frame = part.select("p_partkey", "p_size", "p_retailprice", (F.col("p_size") > 25).cast("int").alias("label"))
+    params = {"dt": {"maxBins": 64}, "rf": {"maxBins": 64, "featureSubsetStrategy": "all"}}
+    return X.rounded(study(frame, ["p_size", "p_retailprice"], ["p_partkey"], params=params))
 
 
-@query("gbt_predictions")
+@query("gbt_predictions", f"""WITH {S.TICKS} SELECT symbol AS stock_code, '2024-02-01T00:00:00' AS predict_time, TRUE AS agrees
+  FROM ticks GROUP BY symbol""")
 def gbt_predictions(spark, sf_dir):
+    """The direction model at its own settings; SQL sees one row per symbol, and that direction and confidences agree."""
     prices = X.ticks(spark, sf_dir)
-    slices = find_slices(prices, "symbol", "trade_time")
-    indicators = indicator_table(prices, slices)
-    train, _ = FE.split(FE.training_frame(None, indicators, slices=slices), ["symbol", "trade_time"])
+    indicators = read_table(spark, _stored_indicators(spark, prices))
+    train, _ = FE.split(FE.training_frame(None, indicators), ["symbol", "trade_time"])
     path = work_dir(spark, "direction_model")
-    L.save_model(L.fit_gbt(train, maxIter=20), path)
-    return L.predict_latest(indicators, L.load_model(path), "2024-02-01T00:00:00")
+    L.save_model(L.fit_gbt(train), path)
+    out = L.predict_latest(indicators, L.load_model(path), "2024-02-01T00:00:00")
+    up = F.col("predicted_direction") == "UP"
+    good = (up == (F.col("confidence") > 0.5)) & F.col("confidence").between(0, 1) & (F.col("direction_confidence") >= 0.5)
+    return out.select("stock_code", "predict_time", good.alias("agrees"))
+
+
+def _stored_indicators(spark, prices):
+    path = work_dir(spark, "indicators")
+    overwrite_table(indicator_table(prices, find_slices(prices, "symbol", "trade_time")), path)
+    return path
+
+
+@query("predict_every_symbol", f"""WITH {S.TICKS}, last AS (SELECT symbol, arg_max(volume, trade_time) AS newest FROM ticks GROUP BY symbol)
+  SELECT symbol AS stock_code, newest % 7 <> 0 AS has_newest, TRUE AS predicted FROM last""")
+def predict_every_symbol(spark, sf_dir):
+    """Symbols whose newest row has a gap are predicted from the row before it."""
+    prices = X.ticks(spark, sf_dir)
+    newest = prices.groupBy("symbol").agg(F.max_by("volume", "trade_time").alias("newest"), F.max("trade_time").alias("at"))
+    rows = indicator_table(prices, find_slices(prices, "symbol", "trade_time")).join(newest, "symbol")
+    gap = (F.col("trade_time") == F.col("at")) & (F.col("newest") % 7 == 0)
+    frame = rows.withColumn("sma_20", F.when(~gap, F.col("sma_20"))).withColumn("label", (F.col("close") > 250).cast("int"))
+    model = L.fit_classifier("dt", frame, FE.FEATURES)
+    out = L.predict_latest(frame, model, "2024-02-01T00:00:00").join(newest, F.col("symbol") == F.col("stock_code"))
+    return out.select("stock_code", (F.col("newest") % 7 != 0).alias("has_newest"), F.col("predicted_direction").isNotNull().alias("predicted"))
 
 
 @query(
@@ -286,11 +391,11 @@ def sentiment_model(spark, sf_dir):
     return X.rounded(fit_sentiment(_labelled(spark, sf_dir)))
 
 
-def _scored(spark, sf_dir, max_chars):
+def _scored(spark, sf_dir, max_chars, **options):
     docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_dir(spark, "sentiment_model")
     overwrite_table(fit_sentiment(_labelled(spark, sf_dir)), path)
-    out = sentiment_score(docs, read_table(spark, path), "doc_id", text="text", max_chars=max_chars)
+    out = sentiment_score(docs, read_table(spark, path), text="text", max_chars=max_chars, **options)
     return X.rounded(out.drop("text"))
 
 
@@ -300,6 +405,12 @@ def sentiment(spark, sf_dir):
     return _scored(spark, sf_dir, None)
 
 
+@query("sentiment_join", f"WITH {S.MODEL}, {S.scored('text')} SELECT doc_id, {S.r('sentiment_score')} FROM sentiment")
+def sentiment_join(spark, sf_dir):
+    """Whole texts, with the token table joined instead of broadcast."""
+    return _scored(spark, sf_dir, None, broadcast_rows=0)
+
+
 @query("sentiment_title_limit", f"WITH {S.MODEL}, {S.scored('substring(text, 1, 300)')} SELECT doc_id, {S.r('sentiment_score')} FROM sentiment")
 def sentiment_title_limit(spark, sf_dir):
     """The scorer's 300-character limit for titles, which is part of its definition."""

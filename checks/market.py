@@ -355,7 +355,7 @@ def normalize_news(spark, sf_dir):
         "symbol", F.col("title").alias("新闻标题"), F.col("content").alias("新闻内容"),
         F.date_format("publish_time", "yyyy-MM-dd HH:mm:ss").alias("发布时间"), F.col("source").alias("文章来源"), "doc_id",
     )
-    return N.normalize_news(raw, order="doc_id")
+    return N.normalize_news(raw, "doc_id", N.NEWS_PER_SYMBOL)
 
 
 @query(

@@ -60,6 +60,10 @@ SMA = TICKS + """, sma AS (
 LINE_KEY = "concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 
+def digest(key: str) -> str:
+    return f"CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT)"
+
+
 def bucket(key: str, buckets: int) -> str:
     return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {buckets})"
 

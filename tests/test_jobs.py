@@ -25,7 +25,7 @@ def test_from_messages_to_served_tables(spark, tmp_path, monkeypatch):
     assert io.run_until_done(store_prices(messages, paths["prices"], paths["checkpoint"]), 120)
 
     jobs.build_indicators(spark, paths["prices"], paths["indicators"])
-    model, measured = jobs.train_direction(spark, paths["prices"], paths["indicators"], paths["model"], maxIter=5)
+    model, measured = jobs.train_direction(spark, paths["indicators"], paths["model"], maxIter=5)
     assert measured["metrics"].first()["accuracy"] > 0.7
     assert sum(r["pred_0"] + r["pred_1"] for r in measured["confusion"].collect()) == measured["metrics"].first()["n_rows"]
 

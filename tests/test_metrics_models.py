@@ -55,10 +55,9 @@ def test_tabular(spark):
     df = spark.createDataFrame([(1.0, 5.0, 0), (2.0, 5.0, 0), (3.0, 5.0, 1), (None, 5.0, 0)], "a double, b double, label int")
     rows = T.standardize(df, ["a", "b"]).collect()
     assert math.isclose(rows[0]["a"], -math.sqrt(1.5)) and rows[3]["a"] is None and rows[0]["b"] == 0.0
-    for wide in (10, 1):
-        cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, ["a", "b", "label"], wide).collect()}
-        assert math.isclose(cells[("a", "a")], 1.0) and cells[("a", "label")] == cells[("label", "a")]
-        assert math.isclose(cells[("a", "label")], math.sqrt(3) / 2) and cells[("a", "b")] is None
+    cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, ["a", "b", "label"]).collect()}
+    assert math.isclose(cells[("a", "a")], 1.0) and cells[("a", "label")] == cells[("label", "a")]
+    assert math.isclose(cells[("a", "label")], math.sqrt(3) / 2) and cells[("a", "b")] is None
     picked = T.select_features(df, ["a", "b"], "label", threshold=0.5).collect()
     assert [r["feature"] for r in picked] == ["a"]
     weights = {r["label"]: r["weight"] for r in T.class_weights(df).collect()}
@@ -92,6 +91,36 @@ def test_knn_equals_brute_force(spark, block):
     assert few.agg(F.max("votes")).first()[0] <= 3 and few.count() == len(asked)
 
 
+def test_knn_odd_vectors_and_own_votes(spark):
+    schema = "id bigint, features array<double>, label int"
+    train = spark.createDataFrame([(i, [float(i), 0.0], i % 2) for i in range(8)], schema)
+    test = spark.createDataFrame([(3, [3.0, 0.0]), (10, None), (11, [1.0]), (12, [1.0, None]), (13, [1.0, 2.0, 3.0])], "id bigint, features array<double>")
+    got = {r["id"]: (r["prediction"], r["votes"]) for r in knn(train, test, k=2, others_only=True).collect()}
+    assert got == {3: (0, 2), 10: (None, 0), 11: (None, 0), 12: (None, 0), 13: (None, 0)}
+    with pytest.raises(ValueError):
+        knn(train.union(spark.createDataFrame([(9, [1.0], 1)], schema)), test)
+
+
+def test_knn_compares_few_pairs_of_clustered_data(spark, monkeypatch):
+    """Ten times the rows make far fewer than a hundred times the compared pairs."""
+    from barstream.operators import neighbors
+
+    asked = {}
+
+    def counted(left, placed, sizes, *rest, real=neighbors._in_blocks):
+        for r in left.groupBy("_cell").count().collect():
+            asked[n] = asked.get(n, 0) + r["count"] * sizes[r["_cell"]]
+        return real(left, placed, sizes, *rest)
+
+    monkeypatch.setattr(neighbors, "_in_blocks", counted)
+    rng = np.random.default_rng(2)
+    for n in (400, 4000):
+        points = rng.integers(0, 20, (n, 1)) * 100.0 + rng.normal(0, 1, (n, 2))
+        frame = spark.createDataFrame([(i, p.tolist(), i % 2) for i, p in enumerate(points)], "id bigint, features array<double>, label int")
+        assert knn(frame, frame, k=3).count() == n
+    assert asked[4000] < 60 * asked[400] and asked[4000] < 4000**2 / 15
+
+
 @pytest.fixture(scope="module")
 def separable(spark):
     df = spark.range(3000).select(
@@ -149,3 +178,55 @@ def test_direction_keeps_p_up_as_confidence(spark):
     assert [rows[k]["predicted_direction"] for k in "abc"] == ["UP", "DOWN", "DOWN"]
     assert rows["c"]["confidence"] == 0.2 and rows["c"]["direction_confidence"] == 0.8
     assert rows["a"]["predict_time"] is not None
+
+
+@pytest.mark.parametrize("columns", [3, 10, 11, 14])
+def test_correlations_know_no_width(spark, columns):
+    """Constant, tiny and ordinary columns have the same cells in any company."""
+    rng = np.random.default_rng(1)
+    names = [f"c{i}" for i in range(columns)]
+    values = rng.normal(0, 1, (400, columns))
+    values[:, 0], values[:, 1] = 7.1, values[:, 2] * 1e-9 + rng.normal(0, 1e-9, 400)
+    df = spark.createDataFrame(values.tolist(), ", ".join(f"{n} double" for n in names))
+    cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, names).collect()}
+    want = np.corrcoef(values[:, 1:].T)
+    assert all(cells["c0", n] is None for n in names)
+    assert all(math.isclose(cells[f"c{i}", f"c{j}"], want[i - 1, j - 1], abs_tol=1e-9) for i in range(1, columns) for j in range(1, columns))
+    nearest = T.select_features(df, names[:1] + names[2:], "c1").collect()
+    assert nearest[0]["feature"] == "c2" and nearest[-1]["correlation"] is None
+
+
+@pytest.mark.parametrize("test", [0.004, 0.025, 0.2])
+def test_split_takes_small_shares(spark, test):
+    from barstream.operators.features import mark_split
+
+    n = mark_split(spark.range(200_000), ["id"], test).where("is_test").count()
+    assert abs(n - 200_000 * test) < 5 * math.sqrt(200_000 * test)
+
+
+def test_downsample_of_very_rare_rows(spark):
+    df = spark.range(1_000_000).withColumn("label", (F.col("id") < 20).cast("int"))
+    out = {r["label"]: r["count"] for r in T.downsample(df, ["id"]).groupBy("label").count().collect()}
+    assert out[1] == 20 and 5 <= out[0] <= 45
+
+
+def test_classes_come_from_the_data(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1), (2, 2), (2, 1)], "label int, prediction int")
+    matrix = {r["label"]: r for r in M.confusion_matrix(df).collect()}
+    assert sorted(matrix) == [0, 1, 2] and (matrix[1]["pred_0"], matrix[2]["pred_1"], matrix[2]["pred_2"]) == (0, 1, 1)
+    report = {r["name"]: r for r in M.classification_report(df).collect()}
+    assert report["1"]["support"] == 0 and report["accuracy"]["precision"] == 0.5 and report["weighted avg"]["recall"] == 0.5
+    given = {r["label"]: r for r in M.confusion_matrix(df, classes=(0, 1)).collect()}
+    assert (given[2]["pred_1"], given[2]["pred_other"], given[1]["pred_0"]) == (1, 1, 0)
+
+
+def test_every_symbol_is_predicted(spark):
+    from barstream.operators.features import FEATURES
+    from barstream.plans import learners as L
+
+    rows = [(s, t, *[float(t + len(s))] * 5, int(t >= 10)) for s in ("a", "bb") for t in range(20)]
+    rows += [("bb", 99, None, *[1.0] * 4, 0), ("ccc", 1, *[None] * 5, 0)]
+    df = spark.createDataFrame(rows, "symbol string, trade_time int, " + ", ".join(f"{c} double" for c in FEATURES) + ", label int")
+    got = {r["stock_code"]: r for r in L.predict_latest(df, L.fit_classifier("dt", df, FEATURES), "now").collect()}
+    assert sorted(got) == ["a", "bb", "ccc"] and got["ccc"]["predicted_direction"] is None
+    assert got["bb"]["predicted_direction"] == got["a"]["predicted_direction"] == "UP"

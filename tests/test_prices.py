@@ -179,7 +179,7 @@ def test_normalisers(spark):
     assert [(r["symbol"], r["price"], r["trade_time"]) for r in got] == [("000001", 9.0, "2024-01-01T10:00:00")]
 
     news = spark.createDataFrame([("a", f"t{i}", "2024-01-01 00:00:00", i) for i in range(40)], "symbol string, `新闻标题` string, `发布时间` string, o int")
-    out = N.normalize_news(news, "o").collect()
+    out = N.normalize_news(news, "o", 30).collect()
     assert len(out) == 30 and {r["source"] for r in out} == {"eastmoney"} and {r["content"] for r in out} == {""}
 
 

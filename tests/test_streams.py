@@ -99,7 +99,7 @@ def test_news_stream(spark, tmp_path):
     stream = io.read_news_stream(spark, "text", str(tmp_path / "in"))
     assert io.run_until_done(store_news(stream, model, str(tmp_path / "out"), str(tmp_path / "checkpoint")), 120)
     got = io.read_batches(spark, str(tmp_path / "out")).orderBy("publish_time").collect()
-    want = sentiment_score(spark.createDataFrame([(i, n["title"]) for i, n in enumerate(news)], "id int, title string"), model, "id").orderBy("id").collect()
+    want = sentiment_score(spark.createDataFrame([(i, n["title"]) for i, n in enumerate(news)], "id int, title string"), model).orderBy("id").collect()
     assert [r["sentiment_score"] for r in got] == [r["sentiment_score"] for r in want]
     assert len(got) == 5
 
@@ -125,5 +125,5 @@ def test_kafka_settings():
             return self.seen
 
     prices = io.read_price_stream(Reader(), **{"kafka.bootstrap.servers": "b:9092"})
-    assert prices == {"format": "kafka", "subscribe": "stock-prices", "startingOffsets": "earliest", "failOnDataLoss": "false", "kafka.bootstrap.servers": "b:9092"}
+    assert prices == {"format": "kafka", "subscribe": "stock-prices", "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": 5_000_000, "kafka.bootstrap.servers": "b:9092"}
     assert "failOnDataLoss" not in io.read_news_stream(Reader())

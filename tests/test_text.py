@@ -53,7 +53,7 @@ def test_model_counts(spark, model):
 @pytest.mark.parametrize("max_chars", [300, None])
 def test_scores(spark, model, broadcast_rows, max_chars):
     df = spark.createDataFrame(TITLES, "id int, title string")
-    out = sentiment_score(df, model, "id", max_chars=max_chars, broadcast_rows=broadcast_rows)
+    out = sentiment_score(df, model, max_chars=max_chars, broadcast_rows=broadcast_rows)
     got = {r["id"]: r["sentiment_score"] for r in out.collect()}
     assert len(got) == len(TITLES)
     for key, text in TITLES:
@@ -63,13 +63,18 @@ def test_scores(spark, model, broadcast_rows, max_chars):
     assert (got[10] == 0.5) == (max_chars == 300)
 
 
-def test_copies_of_a_title_share_one_key(spark, model):
+def test_keys_play_no_part(spark, model):
+    """Copies, texts under one key and NULL keys: scores by text, on both sides of the switch."""
     df = spark.createDataFrame([("k", "bad bad news")] * 50 + [("z", "good news")], "id string, title string")
     for rows in (1000, 2):
-        out = sentiment_score(df, model, "id", broadcast_rows=rows).collect()
+        out = sentiment_score(df, model, broadcast_rows=rows).collect()
         assert len(out) == 51
         assert len({r["sentiment_score"] for r in out if r["id"] == "k"}) == 1
         assert math.isclose(out[0]["sentiment_score"], _expected(model, out[0]["title"]))
+    odd = spark.createDataFrame([(None, "good news"), ("k", "bad loss"), ("k", "good day"), (None, None)], "id string, title string")
+    both = [sorted((r["title"] or "", r["sentiment_score"]) for r in sentiment_score(odd, model, broadcast_rows=n).collect()) for n in (1000, 2)]
+    assert [t for t, _ in both[0]] == [t for t, _ in both[1]] and all(math.isclose(a, b) for (_, a), (_, b) in zip(*both))
+    assert all(math.isclose(s, _expected(model, t or None)) for t, s in both[0])
 
 
 def test_tokens(spark):
@@ -84,9 +89,9 @@ def test_scorer_hook(spark):
         return len(text) / 1000
 
     df = spark.createDataFrame([("a" * 400,), ("boom boom",), ("abc",), (None,), ("  ab   ",)], "t string")
-    got = [r[0] for r in df.select(make_scorer(fragile)("t")).collect()]
+    got = [r[0] for r in df.select(make_scorer(fragile, max_chars=300)("t")).collect()]
     assert got == [0.3, 0.5, 0.5, 0.5, 0.5]
-    assert df.select(make_scorer(fragile, max_chars=None)("t")).first()[0] == 0.4
+    assert df.select(make_scorer(fragile)("t")).first()[0] == 0.4
 
 
 def test_time_patterns(spark):
