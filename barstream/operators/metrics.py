@@ -107,12 +107,12 @@ def _score_levels(
     spot; a group with many distinct scores is cut into slices of the axis.
     """
     rows = df.withColumn("_score", F.col(score).cast("double"))
-    slices = find_slices(rows.select(group, "_score"), group, "_score", rows_per_task)
     levels = rows.groupBy(group, "_score").agg(
         _count(F.col(label) == 1).alias("_pos"),
         _count(F.col(label) == 0).alias("_neg"),
         *[column.alias(name) for name, column in sums.items()],
     )
+    slices = find_slices(levels.select(group, "_score"), group, "_score", rows_per_task)  # heat is many levels, not many rows
     return running_totals(levels, ["_neg"], group, "_score", slices)
 
 

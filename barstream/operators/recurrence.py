@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barstream.operators.slicing import Slices, _attach, _key_table, find_slices, slice_sizes
+from barstream.operators.slicing import Slices, _attach, _key_table, slice_sizes
 
 
 @dataclass(frozen=True)
@@ -239,9 +239,13 @@ def smooth(
     slices: Slices | None = None,
 ) -> DataFrame:
     """Add one double column per step.  Rows with a NULL input get NULL and
-    leave the state as it is."""
+    leave the state as it is.
+
+    Hot keys are sliced if ``slices`` (from find_slices) says where; without it
+    no job runs while the frame is built.
+    """
     order = [order] if isinstance(order, str) else list(order)
-    slices = slices or find_slices(df, key, order[0])
+    slices = slices or Slices(key, order[0])
     made = [T.StructField(s.name, T.DoubleType()) for s in steps]
     if not slices.hot:
         return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(

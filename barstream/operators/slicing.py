@@ -180,9 +180,12 @@ def windowed(
     """Add window columns whose frames reach ``before`` / ``after`` rows.
 
     ``build`` gets the window (per key, in order) and returns named columns.
+    Hot keys are sliced if ``slices`` (from find_slices, once per table) says
+    where; without it this is the plain window, and no job runs while the
+    frame is built.
     """
     order = [order] if isinstance(order, str) else list(order)
-    slices = slices or find_slices(df, key, order[0])
+    slices = slices or Slices(key, order[0])
     if not slices.hot:
         return df.withColumns(build(Window.partitionBy(key).orderBy(*order)))
     sliced = slices.assign(df)
@@ -204,7 +207,7 @@ def running_totals(
     (key, order) must be unique.  Hot keys: running sums per slice plus the
     totals of the slices before it.
     """
-    slices = slices or find_slices(df, key, order)
+    slices = slices or Slices(key, order)
     upto = lambda w: {
         f"{c}_upto": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns
     }

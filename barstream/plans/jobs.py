@@ -16,7 +16,8 @@ from barstream.sources.tables import overwrite_table, read_table, write_jdbc
 
 def build_indicators(spark: SparkSession, prices_path: str, indicators_path: str) -> None:
     """Recompute the indicator table from the clean prices."""
-    overwrite_table(indicator_table(read_table(spark, prices_path)), indicators_path)
+    prices = read_table(spark, prices_path)
+    overwrite_table(indicator_table(prices, find_slices(prices, "symbol", "trade_time")), indicators_path)
 
 
 def train_direction(

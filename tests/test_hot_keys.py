@@ -175,3 +175,19 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "symbol string, trade_time timestamp, close double, volume bigint")
     for out in (indicators.sma(df), indicators.ema(df, 12), indicators.macd(df), indicators.rsi(df), features.label_direction(df)):
         assert out.count() == 0
+
+
+def test_building_starts_no_job(spark):
+    """Without slices the window and recurrence operators only describe what to do."""
+    df = spark.createDataFrame(_ticks(seed=2), "symbol string, trade_time timestamp, close double, volume bigint")
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        for build in (indicators.sma, lambda d: indicators.ema(d, 12), indicators.macd, indicators.rsi, indicators.boll):
+            build(df)
+        from barstream.operators.features import label_direction
+
+        label_direction(df)
+        assert not context.statusTracker().getJobIdsForGroup("building")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
