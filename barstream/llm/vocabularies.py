@@ -7,6 +7,9 @@ from itertools import chain
 
 import numpy as np
 
+#: Most pieces of words that a table of the second kind remembers; they outlive its words.
+PIECES = 400_000
+
 
 class TokenTable(dict):
     """Words seen by a worker process: number, and token ids.
@@ -47,7 +50,7 @@ class TokenTable(dict):
         """A number per word, valid until the next call: a full table starts anew."""
         if len(self) >= self.size:
             self._reset()
-        if new := [w for w in dict.fromkeys(words) if w not in self]:
+        if new := [w for w in set(words) if w not in self]:
             self._learn(new)
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
@@ -101,14 +104,10 @@ class WordBpeTable(TokenTable):
         self.letters = byte_letters()
         super().__init__()
 
-    def _reset(self):
-        super()._reset()
-        self.piece_ids.clear()
-
     def _piece(self, piece: str) -> array:
         found = self.piece_ids.get(piece)
         if found is None:
-            if len(self.piece_ids) >= self.size // 2:
+            if len(self.piece_ids) >= PIECES:
                 self.piece_ids.clear()
             text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
             found = self.piece_ids[piece] = array("i", [t.id for t in self.model.tokenize(text)])
