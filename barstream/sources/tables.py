@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +14,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 
     Below ``spark.checkpoint.dir`` (the folder all executors share) when the
-    session names one; a temporary folder otherwise, in local mode only.
+    session names one; below the warehouse otherwise, in local mode only.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        return os.path.join(tempfile.mkdtemp(prefix="barstream-"), name)
+        shared = spark.conf.get("spark.sql.warehouse.dir", None)
     return f"{shared.rstrip('/')}/barstream/{uuid.uuid4().hex}/{name}"
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barstream.sources.tables import to_messages
+
 # Topics and trigger intervals.
 PRICE_TOPIC, NEWS_TOPIC = "stock-prices", "stock-news"
 PRICE_INTERVAL, NEWS_INTERVAL = "10 seconds", "30 seconds"
@@ -71,6 +73,21 @@ def append_batches(
     )
 
 
+def append_messages(
+    stream: DataFrame, target: str, checkpoint: str, fmt: str = "kafka", key: str | None = None, interval: str | None = None, **options
+) -> StreamingQuery:
+    """Send a stream's rows as JSON messages to a topic (``kafka``) or a folder (``text``, ``parquet``, ``json``).
+
+    The sinks' own logs keep a restart from sending a batch twice to files; a
+    topic may get one again.
+    """
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    writer = to_messages(stream, key).writeStream.format(fmt).option("checkpointLocation", checkpoint).trigger(**trigger)
+    if fmt == "kafka":
+        return writer.options(topic=target, **options).start()
+    return writer.options(**options).start(target)
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     """A folder, and the one above it if nothing is left there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

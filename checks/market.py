@@ -173,6 +173,13 @@ def daily_bars(spark, sf_dir):
     return B.daily_bars(X.ticks(spark, sf_dir))
 
 
+@query("daily_bars_ignore_zero", f"""WITH {S.BARS.replace("min(low)", "min(nullif(CASE WHEN volume % 3 <> 0 THEN low ELSE 0.0 END, 0.0))")} SELECT * FROM bars""")
+def daily_bars_ignore_zero(spark, sf_dir):
+    """Every third low is a filled-in zero."""
+    zeroed = X.ticks(spark, sf_dir).withColumn("low", F.when(F.col("volume") % 3 != 0, F.col("low")).otherwise(0.0))
+    return B.daily_bars(zeroed, ignore_zero=True)
+
+
 @query(
     "kline_latest",
     f"""WITH {S.BARS} SELECT stock_code, strftime(start_time, '%Y-%m-%dT%H:%M:%S') AS time, open_price AS open,

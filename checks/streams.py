@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from barstream.operators.text import fit_sentiment
 from barstream.sources.tables import read_table, overwrite_table, to_messages, work_dir
-from barstream.streaming.io import read_batches, read_news_stream, read_price_stream, run_until_done
+from barstream.operators.clean import parse_prices
+from barstream.streaming.io import append_messages, compact_batches, read_batches, read_news_stream, read_price_stream, run_until_done
 from barstream.streaming.jobs import store_news, store_prices
 from checks import fixtures as X
 from checks import sql as S
@@ -57,6 +58,26 @@ def stream_clean_prices(spark, sf_dir):
     return read_batches(spark, f"{root}/out")
 
 
+@query("stream_messages", f"WITH {S.UNIQUE} SELECT symbol, trade_time, open, high, low, close, volume, data_type FROM uniq")
+def stream_messages(spark, sf_dir):
+    """Messages parsed and sent on as messages."""
+    root = work_dir(spark, "sent_messages")
+    X.unique_ticks(spark, sf_dir).select(_value()).write.parquet(f"{root}/in")
+    parsed = parse_prices(read_price_stream(spark, "parquet", f"{root}/in"), ntz=True)
+    _run(append_messages(parsed, f"{root}/out", f"{root}/checkpoint", "text"))
+    return parse_prices(spark.read.text(f"{root}/out"), ntz=True).select(*X.TICK)
+
+
+@query("stream_compacted", STREAMED)
+def stream_compacted(spark, sf_dir):
+    """Batch folders rewritten as days."""
+    root = work_dir(spark, "compacted_stream")
+    _message_files(spark, sf_dir, f"{root}/in")
+    _run(store_prices(read_price_stream(spark, "parquet", f"{root}/in", maxFilesPerTrigger=1), f"{root}/out", f"{root}/checkpoint", ntz=True))
+    compact_batches(spark, f"{root}/out", f"{root}/days", "trade_time")
+    return spark.read.parquet(f"{root}/days").drop("day")
+
+
 @query("stream_restart", STREAMED)
 def stream_restart(spark, sf_dir):
     """Stop after the first files; more files and copies arrive; start again."""

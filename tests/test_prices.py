@@ -238,7 +238,7 @@ def test_work_dir_uses_the_shared_folder():
         def get(self, key, default):
             return self.settings.get(key.replace(".", "_"), default)
 
-    assert "barstream-" in work_dir(Session(), "x")
+    assert work_dir(Session(spark_sql_warehouse_dir="file:/w"), "x").startswith("file:/w/barstream/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(Session("spark://host:7077"), "x")
     shared = Session(spark_checkpoint_dir="hdfs://n/shared/")
