@@ -11,28 +11,40 @@ from pyspark.sql import functions as F
 NEUTRAL = 0.5
 
 
-def make_scorer(fn: Callable[[str], float], max_chars: int | None = None, min_chars: int = 5):
-    """Arrow UDF around ``fn(text) -> score``.
-
-    Missing or short texts and any error of ``fn`` give 0.5.  Texts are passed
-    whole unless ``max_chars`` says how much of them the scorer sees.
+def make_scorer(fn: Callable, max_chars: int | None = None, min_chars: int = 5, batches: bool = False):
+    """Arrow UDF around a scorer of texts.
+
+    ``fn(text) -> score``, or with ``batches`` ``fn(Series of texts) -> Series
+    of scores``, which is called once per batch.  Missing or short texts are
+    not passed on and score 0.5, as does a text (or a batch) on which ``fn``
+    raises.  Texts are passed whole unless ``max_chars`` says how much of them
+    the scorer sees.
     """
 
     def one(text):
-        if text is None or len(text.strip()) < min_chars:
-            return NEUTRAL
         try:
-            return float(fn(text if max_chars is None else text[:max_chars]))
+            return float(fn(text))
         except Exception:
             return NEUTRAL
 
+    def many(texts: pd.Series) -> pd.Series:
+        try:
+            return fn(texts).astype("float64")
+        except Exception:
+            return pd.Series(NEUTRAL, index=texts.index)
+
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return texts.map(one).astype("float64")
+        worth = texts[texts.notna() & (texts.str.strip().str.len() >= min_chars)]
+        read = worth if max_chars is None else worth.str.slice(0, max_chars)
+        out = pd.Series(NEUTRAL, index=texts.index)
+        if len(read):
+            out[read.index] = many(read) if batches else read.map(one)
+        return out
 
     return score
 
 
-def register_scorer(spark: SparkSession, name: str, fn: Callable[[str], float], **limits):
+def register_scorer(spark: SparkSession, name: str, fn: Callable, **limits):
     """Register ``fn`` for SQL under ``name`` and return the UDF."""
     return spark.udf.register(name, make_scorer(fn, **limits))

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import ratio
+from barstream.operators.ranking import latest_per_key
 from barstream.operators.recurrence import Smooth, smooth
 from barstream.operators.slicing import Slices, windowed
 
 KEY, TIME = "symbol", "trade_time"
+SPANS = (5, 10, 20)
 
 
 def _order(order):
@@ -18,7 +20,7 @@ def _order(order):
 
 def sma(
     df: DataFrame,
-    spans: tuple[int, ...] = (5, 10, 20),
+    spans: tuple[int, ...] = SPANS,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
@@ -32,6 +34,12 @@ def sma(
     return windowed(df, build, key, order, before=max(spans) - 1, slices=slices)
 
 
+def newest_indicators(prices: DataFrame) -> DataFrame:
+    """Each symbol's newest row of the indicator table, averaged over its newest rows alone."""
+    rows = latest_per_key(prices, KEY, TIME, n=max(SPANS))
+    return latest_per_key(indicator_table(rows), KEY, TIME)
+
+
 def indicator_table(prices: DataFrame, slices: Slices | None = None, order: str | list[str] = TIME) -> DataFrame:
     """The stored indicator table: symbol, time, close, volume and three SMAs."""
     extra = [c for c in _order(order) if c != TIME]

@@ -423,7 +423,7 @@ def sentiment_title_limit(spark, sf_dir):
       ELSE round((length(text) - length(replace(text, 'e', ''))) / length(text)::DOUBLE, 6) END AS score FROM documents""",
 )
 def scorer_udf(spark, sf_dir):
-    share = register_scorer(spark, "e_share", lambda text: text.count("e") / len(text), max_chars=None)
+    share = register_scorer(spark, "e_share", lambda texts: texts.str.count("e") / texts.str.len(), batches=True)
     docs = X.table(spark, sf_dir, "documents")
     return X.rounded(docs.select("doc_id", share("text").alias("score")))
 

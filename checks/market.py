@@ -9,7 +9,6 @@ from barstream.operators import bars as B
 from barstream.operators import dashboard as D
 from barstream.operators import indicators as I
 from barstream.operators.clean import clean_prices, parse_prices
-from barstream.operators.ranking import latest_per_key
 from barstream.sources import normalize as N
 from barstream.sources.tables import read_table, overwrite_table, register_views, sql_indicators, to_messages, work_dir
 from checks import fixtures as X
@@ -217,7 +216,7 @@ def candles(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trade_time DESC) = 1""",
 )
 def latest_indicator(spark, sf_dir):
-    return X.rounded(latest_per_key(_table(spark, sf_dir), "symbol", "trade_time"))
+    return X.rounded(I.newest_indicators(X.ticks(spark, sf_dir)))
 
 
 LATEST = """SELECT * FROM predictions QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY predict_time DESC) = 1"""

@@ -94,6 +94,14 @@ def test_scorer_hook(spark):
     assert df.select(make_scorer(fragile)("t")).first()[0] == 0.4
 
 
+def test_batch_scorer(spark):
+    df = spark.createDataFrame([("good day",), ("abc",), (None,), ("boom today",)], "t string")
+    share = make_scorer(lambda texts: texts.str.count("o") / 10, batches=True)
+    assert [r[0] for r in df.select(share("t")).collect()] == [0.2, 0.5, 0.5, 0.3]
+    broken = make_scorer(lambda texts: 1 / 0, batches=True)
+    assert {r[0] for r in df.select(broken("t")).collect()} == {0.5}
+
+
 def test_time_patterns(spark):
     texts = ["2024-01-05 10:00:00", "2024-01-05T10:00:00", "2024-01-05T10:00:00.123456", "junk", "", None, "2024-13-01 00:00:00"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
