@@ -53,17 +53,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def text_rows(
-    df: DataFrame, keep: list[str], fields: list[T.StructField], per_text: Callable[[], Callable], text: str = "text"
+    df: DataFrame, keep: list[str], fields: list[T.StructField], per_text: Callable[[], Callable], text: str = "text", kept: tuple | None = None
 ) -> DataFrame:
     """Columns computed from whole texts, batch by batch, beside the kept columns.
 
     ``per_text()`` runs once per task and returns a function from a text (or
-    None) to a tuple of the new columns' values.
+    None) to a tuple of the new columns' values.  ``kept`` is the key of the
+    object that it keeps by per_process, if any.
     """
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     arrow = [pa.field(f.name, _arrow(f.dataType)) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_begins(kept)
         one = per_text()
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, max(b.num_rows, 1), SLICE)):
             new = list(zip(*map(one, batch.column(len(keep)).to_pylist()))) or [()] * len(arrow)
@@ -116,13 +118,27 @@ class Bounded(dict):
         return value
 
 
+def _kept() -> dict:
+    return sys.modules.setdefault("_kept_object", types.ModuleType("_kept_object")).__dict__
+
+
 def per_process(key: tuple, make: Callable):
     """An object that a worker process keeps for its next tasks: a tokenizer, an automaton, a model.
 
-    One at a time, so that a long-lived worker doesn't gather those of earlier stages.
+    One at a time; a task that asks for none lets it go (see task_begins), so
+    that a long-lived worker doesn't gather those of earlier stages.
     """
-    kept = sys.modules.setdefault("_kept_object", types.ModuleType("_kept_object")).__dict__
+    kept = _kept()
     if kept.get("key") != key:
         kept.pop("value", None)
         kept["value"], kept["key"] = make(), key
     return kept["value"]
+
+
+def task_begins(key: tuple | None = None) -> None:
+    """Let go of what earlier tasks kept, unless it is this, and of memory that Arrow holds in reserve."""
+    kept = _kept()
+    if kept.get("key") != key:
+        kept.pop("value", None)
+        kept.pop("key", None)
+    pa.default_memory_pool().release_unused()

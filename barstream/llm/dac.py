@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barstream.llm.common import per_process
+from barstream.llm.common import per_process, task_begins
 from barstream.llm.vocabularies import WordBpeTable
 
 MAGIC = b"DAC1"
@@ -112,6 +112,7 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int, shards
     ordered = rows.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_begins(("word bpe", tokenizer))
         table = per_process(("word bpe", tokenizer), lambda: WordBpeTable(tokenizer))
         shard, segment, base = TaskContext.get().partitionId(), 0, 0
         doc_ids, ids, ends = [], [], []
@@ -155,6 +156,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian u32) of every written document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_begins()
         for batch in batches:
             for start, doc_ids, ends, codes in zip(*(batch.column(c).to_pylist() for c in ("start", "doc_ids", "ends", "codes"))):
                 ids = Codes(codes).all().astype("<u4")

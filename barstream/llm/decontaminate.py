@@ -141,5 +141,5 @@ def _scan(df: DataFrame, found: Broadcast, window: int, keep: list[str], first:
     longs = T.ArrayType(T.LongType())
     fields = [long("n_words"), T.StructField("hit_words", longs), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", longs)]
     if first:
-        return text_rows(df, keep, fields, per_text)
-    return text_rows(df.withColumn("packed", F.struct("text", "hit_words", "items")), keep, fields, per_text, text="packed")
+        return text_rows(df, keep, fields, per_text, kept=("matcher", name))
+    return text_rows(df.withColumn("packed", F.struct("text", "hit_words", "items")), keep, fields, per_text, text="packed", kept=("matcher", name))

@@ -138,5 +138,5 @@ def quality_rules(df: DataFrame, model: str, bands: dict = BANDS, min_words: int
 
     counts = [long(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     fields = [*counts, flag("base_failed"), flag("kept"), T.StructField("script", T.StringType()), long("n_tokens"), long("n_byte_tokens"), double("token_entropy")]
-    out = text_rows(df, ["doc_id"], fields, per_text)
+    out = text_rows(df, ["doc_id"], fields, per_text, kept=("pieces", model))
     return out.withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens")))

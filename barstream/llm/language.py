@@ -169,4 +169,4 @@ def identify(df: DataFrame, model: Model) -> DataFrame:
     one; only doc_id and text are read.
     """
     sent, name = df.sparkSession.sparkContext.broadcast(model.state()), uuid.uuid4().hex
-    return text_rows(df, ["doc_id"], [string("lang_pred"), double("score")], lambda: per_process(("language", name), lambda: Model(*sent.value)).predict)
+    return text_rows(df, ["doc_id"], [string("lang_pred"), double("score")], lambda: per_process(("language", name), lambda: Model(*sent.value)).predict, kept=("language", name))

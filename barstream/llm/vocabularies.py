@@ -8,7 +8,7 @@ from itertools import chain
 import numpy as np
 
 #: Most pieces of words that a table of the second kind remembers; they outlive its words.
-PIECES = 400_000
+PIECES = 250_000
 
 
 class TokenTable(dict):
@@ -18,7 +18,7 @@ class TokenTable(dict):
     at.  Subclasses encode the new words of a text in one call.
     """
 
-    def __init__(self, size: int = 400_000):
+    def __init__(self, size: int = 250_000):
         super().__init__()
         self.size = size
         self._reset()
