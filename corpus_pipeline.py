@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,17 +16,34 @@ QUALITY = 0.7
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 
 
+#: Rows of the batches that go to Python, in place of Spark's 10,000: whole texts are long.
+BATCH_ROWS = 1_000
+
+
+def _staged(stage):
+    """A stage under the pipeline's setting for batches."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """Every column of a document in one, beside its id and text, so that no name can clash."""
     return docs.select(F.struct("*").alias("row"), "doc_id", "text")
 
 
+@_staged
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from all labels."""
     model = rules.fit(docs, read(spark, sf_dir, "labels"))
     return rules.text_statistics(_packed(docs), ["row"]).where(model.score() >= QUALITY).select("row.*")
 
 
+@_staged
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, a similarity of 0.8.
 
@@ -34,17 +53,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+@_staged
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of a benchmark item."""
     found = decontaminate.find_items(_packed(docs), read(spark, sf_dir, "benchmark"), keep=["row"])
     return found.where("n_hit = 0").select("row.*")
 
 
+@_staged
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents of large ones may go, of small ones recur."""
     return mixing.realised(docs)
 
 
+@_staged
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids written as directly addressable codes, and what the files hold of each document."""
     folder = work_folder(spark, "tokens")
