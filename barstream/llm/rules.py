@@ -110,7 +110,7 @@ def fit(
     bounds what is broadcast.  Without any labelled document the score is 1/2,
     with one class only its smoothed share.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("label"))
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("label")).distinct()
     n, bits = known.count(), 1 << 30
     if n > fit_rows:
         known = known.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(bits)) < int(bits * fit_rows / n))

@@ -29,15 +29,21 @@ def plain_lines(text: Column) -> Column:
 
 
 def _matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is among stored keys."""
+    """Rows whose key (8 bytes) is among stored keys."""
     small = keys.count() <= BROADCAST_KEYS
     return rows.join(F.broadcast(keys) if small else keys, on)
 
 
-def recurring_lines(
+def recurring_lines(df: DataFrame, **parameters) -> DataFrame:
+    """(doc_id, text_hash, line_no, template) of every line that has a recurring template."""
+    lines, keys = _grown(df, **parameters)
+    return lines.join(keys, "line_key").drop("line_key")
+
+
+def _grown(
     df: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED
-) -> DataFrame:
-    """(doc_id, text_hash, line_no, template) of every line that has a recurring template.
+) -> tuple[DataFrame, DataFrame]:
+    """Lines (doc_id, text_hash, line_no, line_key), and (line_key, template) of those with a recurring template.
 
     The tree: lines go to leaves by token count and their first ``depth``
     tokens, tokens with a digit being fields.  In a leaf, the token at a later
@@ -77,7 +83,7 @@ def recurring_lines(
     docs = of_docs.select("template_key", "doc_id", "text_hash").distinct().groupBy("template_key").count()
     often = stored(docs.where(F.col("count") >= min_docs).select("template_key"), "often")
     keys = stored(named.join(often, "template_key").select("line_key", "template"), "keys")
-    return _matching(lines.select("doc_id", "text_hash", "line_no", "line_key"), keys, "line_key").drop("line_key")
+    return lines.select("doc_id", "text_hash", "line_no", "line_key"), keys
 
 
 def drop_recurring(df: DataFrame, **parameters) -> DataFrame:
@@ -89,7 +95,8 @@ def drop_recurring(df: DataFrame, **parameters) -> DataFrame:
     doc_id and text are one document, and each comes back.  Null doc_ids are
     allowed.  Other columns are not read.
     """
-    found = recurring_lines(df, **parameters)
+    lines, keys = _grown(df, **parameters)
+    found = _matching(lines, keys.select("line_key"), "line_key")
     of_doc = stored(found.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("dropped")), "dropped")
     rows = df.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     of_doc = of_doc.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "dropped")
