@@ -40,6 +40,25 @@ def recurring_lines(df: DataFrame, **parameters) -> DataFrame:
     return lines.join(keys, "line_key").drop("line_key")
 
 
+def _generalised(line: str, places: Column, depth: int) -> Column:
+    """The template of a line: tokens beyond the leading ones and the given places (or null) become fields."""
+    fixed = F.coalesce(places, F.array().cast("array<int>"))
+    parts = F.transform(F.split(line, " "), lambda t, i: F.when((i < depth) | F.array_contains(fixed, i), t).otherwise(FIELD))
+    return F.array_join(parts, " ").alias("template")
+
+
+def _mostly_fixed(named: DataFrame, min_fixed: float) -> DataFrame:
+    share = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD)) / F.size(F.split("template", " "))
+    return named.where(share >= min_fixed).withColumn("template_key", F.xxhash64("template"))
+
+
+def _recurring(pairs: DataFrame, named: DataFrame, min_docs: int) -> DataFrame:
+    """(template_key) of the templates that enough documents have."""
+    of_docs = pairs.select("line_key", "doc_id", "text_hash").join(named.select("line_key", "template_key"), "line_key")
+    docs = of_docs.select("template_key", "doc_id", "text_hash").distinct().groupBy("template_key").count()
+    return docs.where(F.col("count") >= min_docs).select("template_key")
+
+
 def _grown(
     df: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED
 ) -> tuple[DataFrame, DataFrame]:
@@ -51,6 +70,12 @@ def _grown(
     place becomes a field.  A template recurs if ``min_docs`` documents have it
     and ``min_fixed`` of its tokens are fixed.
 
+    In a large leaf the values of a field pass ``min_docs`` too.  So a line
+    whose template does not recur is tried again with that count doubled, again
+    and again, until all its later places are fields; such a template recurs by
+    the documents of these lines alone.  The registered SQL has only the first
+    step; the two differ where a field has values of ``min_docs`` pairs and more.
+
     Only leaves met by several documents go past the first pass, each distinct
     line of theirs once, so that neither a frequent line nor a frequent leaf is
     gathered anywhere.
@@ -70,19 +95,28 @@ def _grown(
 
     later = distinct.select("line_key", "leaf", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
     later = later.where((F.col("place") >= depth) & (F.col("token") != FIELD))
-    fixed = stored(later.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).drop("n"), "fixed")
-    places = later.join(fixed, ["leaf", "place", "token"]).groupBy("line_key", "leaf").agg(F.collect_list("place").alias("places"))
+    support = later.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
+    rung = F.length(F.bin(F.floor(F.col("n") / min_docs).cast("long"))).alias("rung")
+    fixed = stored(support.select("leaf", "place", "token", rung), "fixed")
+    places = later.join(fixed, ["leaf", "place", "token"]).groupBy("line_key", "leaf").agg(F.collect_list(F.struct("place", "rung")).alias("places"))
     places = stored(places, "places")
-    token = lambda t, i: F.when((i < depth) | F.array_contains(F.coalesce("places", F.array().cast("array<int>")), i), t).otherwise(FIELD)
-    parts = F.transform(F.split("line", " "), token)
-    named = distinct.join(places, ["line_key", "leaf"], "left").select("line_key", F.array_join(parts, " ").alias("template"))
-    share = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD)) / F.size(F.split("template", " "))
-    named = stored(named.where(share >= min_fixed).withColumn("template_key", F.xxhash64("template")), "named")
-
-    of_docs = pairs.select("line_key", "doc_id", "text_hash").join(named.select("line_key", "template_key"), "line_key")
-    docs = of_docs.select("template_key", "doc_id", "text_hash").distinct().groupBy("template_key").count()
-    often = stored(docs.where(F.col("count") >= min_docs).select("template_key"), "often")
-    keys = stored(named.join(often, "template_key").select("line_key", "template"), "keys")
+    named = distinct.join(places, ["line_key", "leaf"], "left").select("line_key", "places", _generalised("line", F.col("places.place"), depth))
+    named = stored(_mostly_fixed(named, min_fixed), "named")
+
+    often = stored(_recurring(pairs, named, min_docs), "often")
+    fine = named.join(often, "template_key").select("line_key", "template")
+
+    left = named.join(often, "template_key", "left_anti")
+    rungs = F.col("places.rung")
+    steps = F.filter(F.array_append(F.array_distinct(rungs), F.array_max(rungs) + 1), lambda r: r > F.array_min(rungs))
+    steps = left.withColumnRenamed("template", "finest").withColumn("rung", F.explode(steps))
+    high = F.transform(F.filter("places", lambda p: p["rung"] >= F.col("rung")), lambda p: p["place"])
+    coarse = _mostly_fixed(steps.select("line_key", "rung", _generalised("finest", high, depth)), min_fixed)
+    columns = ["line_key", "rung", "template", "template_key"]
+    coarse = stored(left.withColumn("rung", F.lit(0)).select(columns).unionByName(coarse.select(columns)), "coarse")
+    again = stored(_recurring(pairs, coarse, min_docs), "again")
+    coarse = coarse.join(again, "template_key").groupBy("line_key").agg(F.min_by("template", "rung").alias("template"))
+    keys = stored(fine.unionByName(coarse), "keys")
     return lines.select("doc_id", "text_hash", "line_no", "line_key"), keys
 
 
