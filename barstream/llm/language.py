@@ -16,7 +16,7 @@ from barstream.llm.common import double, per_process, stored, string, text_rows
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
-#: Most words, and most n-grams of each order, that a model keeps: it bounds what is broadcast.
+#: Most words, and most n-grams of each order, that a model keeps of each language: it bounds what is broadcast.
 VOCABULARY, GRAMS = 40_000, 20_000
 SMOOTHING = 0.5
 #: An n-gram's evidence counts this much of a word's, once more for every order given up.
@@ -80,16 +80,22 @@ def _count_rows(counts: dict[str, Counter]) -> pa.RecordBatch:
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The terms of the highest total counts: as many steps of an eighth of an octave, from the top, as hold ``most`` terms."""
-    totals = stored(counts.groupBy("term").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")), "totals")
-    step = F.floor(F.log2("total") * 8).cast("int")
-    held, least = 0, None
-    for row in sorted(totals.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
-        held += row["count"]
-        if held > most:
-            break
-        least = row["step"]
-    return totals.where(step >= least) if least is not None else totals.limit(0)
+    """The terms of the highest counts of each language: as many steps of an eighth of an octave, from the top, as hold ``most`` of its terms."""
+    totals = stored(counts.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")), "totals")
+    step = lambda n: F.floor(F.log2(n) * 8).cast("int")
+    held, least, full = Counter(), {}, set()
+    for row in sorted(counts.groupBy("lang", step(F.col("n")).alias("step")).count().collect(), key=lambda r: -r["step"]):
+        lang = row["lang"]
+        held[lang] += row["count"]
+        if held[lang] > most:
+            full.add(lang)
+        if lang not in full:
+            least[lang] = row["step"]
+    if not least:
+        return totals.limit(0)
+    steps = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+    kept = lambda e: F.coalesce(step(e["value"]) >= F.try_element_at(steps, e["key"]), F.lit(False))
+    return totals.where(F.exists(F.map_entries("by_lang"), kept))
 
 
 class Model:
@@ -148,7 +154,8 @@ def fit(df: DataFrame, vocabulary: int = VOCABULARY, grams: int = GRAMS) -> Mode
     """A model of all rows with a ``lang``: whole texts are counted on the executors.
 
     What reaches the driver is bounded by ``vocabulary`` words and ``grams``
-    n-grams of each order, the most frequent ones of all languages together.
+    n-grams of each order for each language, its most frequent ones, so that
+    no language takes another's place.
     """
     words = stored(word_counts(df), "words")
     tables, totals = {}, {}
