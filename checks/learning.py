@@ -296,6 +296,12 @@ def classifier_lr(spark, sf_dir):
     return _holdout("lr", X.tab_class(spark, sf_dir, CUT).where(WIDE))
 
 
+@query("classifier_lr_whole")
+def classifier_lr_whole(spark, sf_dir):
+    """All quantities, those at the class border too; what is predicted there is the fit's, so there is no SQL."""
+    return _holdout("lr", X.tab_class(spark, sf_dir, CUT))
+
+
 @query("classifier_dt", f"WITH {S.tab_class(CUT)} {HOLDOUT}")
 def classifier_dt(spark, sf_dir):
     return _holdout("dt", X.tab_class(spark, sf_dir, CUT), maxBins=64)
@@ -314,8 +320,14 @@ def cross_validate(spark, sf_dir):
 @query("tune", f"WITH {S.tab_class(CUT + ' AND l_tax > 0.04')} SELECT 'maxDepth=4' AS params, 'recall' AS metric, avg(CAST({CUT} AND l_tax > 0.04 AS DOUBLE)) AS mean FROM tab WHERE label = 1")
 def tune(spark, sf_dir):
     """The best of two depths: one cut can't give a label of two conditions."""
+    return tune_grid(spark, sf_dir).limit(1)
+
+
+@query("tune_grid")
+def tune_grid(spark, sf_dir):
+    """Both depths."""
     frame = X.tab_class(spark, sf_dir, CUT + " AND l_tax > 0.04")
-    return L.tune(frame, "dt", X.FEATURES, X.LINE_KEYS, {"maxDepth": [1, 4]}, maxBins=64)[1].limit(1)
+    return L.tune(frame, "dt", X.FEATURES, X.LINE_KEYS, {"maxDepth": [1, 4]}, maxBins=64)[1]
 
 
 PARTS = """parts AS (SELECT p_partkey, p_size, p_retailprice, CAST(p_size > 25 AS INTEGER) AS label FROM part WHERE p_size <= 18 OR p_size >= 33)"""
@@ -326,7 +338,16 @@ PARTS = """parts AS (SELECT p_partkey, p_size, p_retailprice, CAST(p_size > 25 A
     0.0::DOUBLE AS miss_rate, 1.0::DOUBLE AS auc FROM held, (SELECT unnest(['lr', 'knn', 'dt', 'rf']) AS model) GROUP BY model""")
 def model_study(spark, sf_dir):
     """The four learners on the same split of a frame that all of them can tell apart."""
-    part = X.table(spark, sf_dir, "part").where("p_size <= 18 OR p_size >= 33")
+    return _studied(X.table(spark, sf_dir, "part").where("p_size <= 18 OR p_size >= 33"))
+
+
+@query("model_study_whole")
+def model_study_whole(spark, sf_dir):
+    """All sizes of parts."""
+    return _studied(X.table(spark, sf_dir, "part"))
+
+
+def _studied(part):
     frame = part.select("p_partkey", "p_size", "p_retailprice", (F.col("p_size") > 25).cast("int").alias("label"))
     params = {"dt": {"maxBins": 64}, "rf": {"maxBins": 64, "featureSubsetStrategy": "all"}}
     return X.rounded(study(frame, ["p_size", "p_retailprice"], ["p_partkey"], params=params))
@@ -336,15 +357,21 @@ def model_study(spark, sf_dir):
   FROM ticks GROUP BY symbol""")
 def gbt_predictions(spark, sf_dir):
     """The direction model at its own settings; SQL sees one row per symbol, and that direction and confidences agree."""
+    out = gbt_latest(spark, sf_dir)
+    up = F.col("predicted_direction") == "UP"
+    good = (up == (F.col("confidence") > 0.5)) & F.col("confidence").between(0, 1) & (F.col("direction_confidence") >= 0.5)
+    return out.select("stock_code", "predict_time", good.alias("agrees"))
+
+
+@query("gbt_latest")
+def gbt_latest(spark, sf_dir):
+    """The predictions themselves."""
     prices = X.ticks(spark, sf_dir)
     indicators = read_table(spark, _stored_indicators(spark, prices))
     train, _ = FE.split(FE.training_frame(None, indicators), ["symbol", "trade_time"])
     path = work_dir(spark, "direction_model")
     L.save_model(L.fit_gbt(train), path)
-    out = L.predict_latest(indicators, L.load_model(path), "2024-02-01T00:00:00")
-    up = F.col("predicted_direction") == "UP"
-    good = (up == (F.col("confidence") > 0.5)) & F.col("confidence").between(0, 1) & (F.col("direction_confidence") >= 0.5)
-    return out.select("stock_code", "predict_time", good.alias("agrees"))
+    return L.predict_latest(indicators, L.load_model(path), "2024-02-01T00:00:00")
 
 
 def _stored_indicators(spark, prices):
