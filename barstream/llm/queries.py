@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, rules, secrets, sql, templates, urls
+from barstream.llm import dac, decontaminate, fertility, language, minhash, mixing, product_codes, rules, secrets, sql, templates, token_counts, urls, vector_file
 from barstream.llm.common import held_out, read, remainder, work_folder
 
 Q, O = {}, {}  # noqa: E741
@@ -86,3 +86,18 @@ def op7_rules(spark, sf_dir):
 def op1_templates(spark, sf_dir):
     kept = templates.drop_recurring(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("op11_product_codes", sql.OP11)
+def op11_product_codes(spark, sf_dir):
+    return product_codes.product_codes(read(spark, sf_dir, "embeddings"))
+
+
+@register("op12_token_counts")
+def op12_token_counts(spark, sf_dir, vocabulary="piece_bpe_32k.model"):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary_path(vocabulary))
+
+
+@register("op13_clusters", sql.OP13)
+def op13_clusters(spark, sf_dir):
+    return vector_file.centroid_clusters(read(spark, sf_dir, "embeddings"))

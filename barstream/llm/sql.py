@@ -1,6 +1,6 @@
 """The same results as SQL text for another engine, where SQL can express them."""
 
-from barstream.llm import mixing, templates, urls
+from barstream.llm import mixing, templates, urls, vectors
 
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -147,3 +147,61 @@ SELECT page_id, host, path, r[1] AS rule, coalesce(r[2], CASE WHEN n_strict > 0
        n_strict, n_soft
 FROM counted
 """
+
+# Components as integers; sums of their products are exact in doubles.
+_INTEGERS = "list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024))"
+_USABLE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT abs(CAST(x AS DOUBLE)) < {limit})) = 0".format(limit=vectors.LIMIT)
+_NEAR = "list_inner_product(list_transform(list_zip({a}, {b}), lambda z: z[1] - z[2]), list_transform(list_zip({a}, {b}), lambda z: z[1] - z[2]))"
+_MEANS = "list(floor((s - ((s % n) + n) % n) / n) ORDER BY pos)"  # s less its remainder: exact
+
+
+def _refined(name: str, assigned: str, old: str, keys: str) -> str:
+    """The entries of ``old`` after one round over (keys, v) rows."""
+    on = " AND ".join(f"o.{k} = m.{k}" for k in keys.split(", "))
+    return f"""{name} AS (
+  SELECT {", ".join(f"o.{k}" for k in keys.split(", "))}, coalesce(m.c, o.c) AS c FROM {old} o LEFT JOIN (
+    SELECT {keys}, {_MEANS} AS c FROM (
+      SELECT {keys}, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+        SELECT {keys}, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM {assigned}) GROUP BY {keys}, pos)
+    GROUP BY {keys}) m ON {on})"""
+
+
+def _op11(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    d = _NEAR.format(a="p.v", b="b.c")
+    nearest = lambda n: f"""a{n} AS (
+  SELECT p.vec_id, p.label, p.part, any_value(p.v) AS v, arg_min(b.entry, ({d}, b.entry)) AS entry, min({d}) AS error
+  FROM parts p JOIN b{n} b USING (part) GROUP BY p.vec_id, p.label, p.part)"""
+    steps = [f"""
+WITH kept AS (SELECT vec_id, label, {_INTEGERS} AS v FROM embeddings WHERE embedding IS NOT NULL AND {_USABLE}),
+parts AS (SELECT vec_id, label, part, v[CAST(part * len(v) / {parts} AS BIGINT) + 1 : CAST((part + 1) * len(v) / {parts} AS BIGINT)] AS v FROM kept, (SELECT unnest(range({parts})) AS part)),
+b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS c FROM parts QUALIFY entry < {entries})"""]
+    for n in range(rounds):
+        steps += [nearest(n), _refined(f"b{n + 1}", f"a{n}", f"b{n}", "part, entry")]
+    steps.append(nearest(rounds))
+    return ",\n".join(steps) + f""",
+book AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, entry)) AS h FROM b{rounds}),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded, book
+"""
+
+
+def _op13(dims: int = 64, k: int = 8, rounds: int = 10) -> str:
+    d = _NEAR.format(a="p.v", b="b.c")
+    nearest = lambda n: f"""a{n} AS (
+  SELECT p.vec_id, any_value(p.v) AS v, arg_min(b.entry, ({d}, b.entry)) AS entry, min({d}) AS distance
+  FROM kept p, b{n} b GROUP BY p.vec_id)"""
+    steps = [f"""
+WITH kept AS (SELECT vec_id, {_INTEGERS} AS v FROM embeddings WHERE len(embedding) = {dims} AND {_USABLE}),
+b0 AS (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS entry, v AS c FROM kept QUALIFY entry < {k})"""]
+    for n in range(rounds):
+        steps += [nearest(n), _refined(f"b{n + 1}", f"a{n}", f"b{n}", "entry")]
+    steps.append(nearest(rounds))
+    return ",\n".join(steps) + f"""
+SELECT vec_id, CAST(entry AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY entry) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN b{rounds} USING (entry)
+"""
+
+
+OP11, OP13 = _op11(), _op13()
