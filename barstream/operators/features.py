@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import DIGESTS, hash_bucket, hash_digest
-from barstream.operators.slicing import Slices, order_axis, windowed
+from barstream.operators.slicing import Ordered, order_axis, order_table, windowed
 
 # The model inputs.
 FEATURES = ("close", "volume", "sma_5", "sma_10", "sma_20")
@@ -15,18 +15,17 @@ KEYS = ("symbol", "trade_time")
 
 
 def label_direction(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     horizon: int = 5,
     drop_unlabelled: bool = False,
     order: str | list[str] = "trade_time",
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add future_close and label: 1 if the close ``horizon`` rows on is higher.
 
     The last rows of a symbol have no future and get 0 unless dropped.
     """
     lead = lambda w: {"future_close": F.lead("close", horizon).over(w)}
-    out = windowed(df, lead, "symbol", order, after=horizon, slices=slices)
+    out = windowed(df, lead, "symbol", order, after=horizon)
     out = out.withColumn("label", F.when(F.col("future_close") > F.col("close"), 1).otherwise(0))
     return out.where("future_close IS NOT NULL") if drop_unlabelled else out
 
@@ -41,9 +40,9 @@ def training_frame(
     indicators: DataFrame,
     horizon: int = 5,
     drop_unlabelled: bool = False,
-    slices: Slices | None = None,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Keys, features and label.
+    """Keys, features and label; the rows are put in order and stored for it (see order_table).
 
     Prices and indicators are joined on symbol and time; keys that occur twice
     multiply.  Indicators already hold close and volume, so ``prices=None``
@@ -55,7 +54,7 @@ def training_frame(
         left = prices.select(*KEYS, "close", "volume")
         right = indicators.select(*KEYS, "sma_5", "sma_10", "sma_20")
         joined = left.join(right, list(KEYS), "inner")
-    labelled = label_direction(joined, horizon, drop_unlabelled, slices=slices)
+    labelled = label_direction(order_table(joined, "symbol", "trade_time", rows_per_part), horizon, drop_unlabelled)
     return drop_incomplete(labelled.select(*KEYS, *FEATURES, "label"), (*FEATURES, "label"))
 
 

@@ -1,4 +1,8 @@
-"""Technical indicators per symbol, in time order."""
+"""Technical indicators per symbol, in time order.
+
+Every function takes a frame, or an ordered table (``slicing.order_table``) in
+which no symbol is too large for a task; such a table has its own key and order.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import functions as F
 from barstream.functions.columns import ratio
 from barstream.operators.ranking import latest_per_key
 from barstream.operators.recurrence import Smooth, smooth
-from barstream.operators.slicing import Slices, windowed
+from barstream.operators.slicing import Ordered, windowed
 
 KEY, TIME = "symbol", "trade_time"
 SPANS = (5, 10, 20)
@@ -19,19 +23,18 @@ def _order(order):
 
 
 def sma(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     spans: tuple[int, ...] = SPANS,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add ``sma_<n>``: mean of this row and the n-1 before it.
 
     Early rows average what exists.  All spans share one exchange and sort.
     """
     build = lambda w: {f"sma_{n}": F.avg(column).over(w.rowsBetween(1 - n, 0)) for n in spans}
-    return windowed(df, build, key, order, before=max(spans) - 1, slices=slices)
+    return windowed(df, build, key, order, before=max(spans) - 1)
 
 
 def newest_indicators(prices: DataFrame) -> DataFrame:
@@ -40,21 +43,22 @@ def newest_indicators(prices: DataFrame) -> DataFrame:
     return latest_per_key(indicator_table(rows), KEY, TIME)
 
 
-def indicator_table(prices: DataFrame, slices: Slices | None = None, order: str | list[str] = TIME) -> DataFrame:
+def indicator_table(prices: DataFrame | Ordered, order: str | list[str] = TIME) -> DataFrame:
     """The stored indicator table: symbol, time, close, volume and three SMAs."""
+    if isinstance(prices, Ordered):
+        return sma(prices).select(KEY, TIME, "close", "volume", *[f"sma_{n}" for n in SPANS])
     extra = [c for c in _order(order) if c != TIME]
     base = prices.select(KEY, TIME, "close", "volume", *extra)
-    return sma(base, order=order, slices=slices).drop(*extra)
+    return sma(base, order=order).drop(*extra)
 
 
 def boll(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     n: int = 20,
     width: float = 2.0,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add boll_mid, boll_upper, boll_lower: mean and +/- width population deviations."""
 
@@ -62,7 +66,7 @@ def boll(
         frame = w.rowsBetween(1 - n, 0)
         return {"boll_mid": F.avg(column).over(frame), "_dev": F.stddev_pop(column).over(frame)}
 
-    out = windowed(df, build, key, order, before=n - 1, slices=slices)
+    out = windowed(df, build, key, order, before=n - 1)
     return out.withColumns(
         {
             "boll_upper": F.col("boll_mid") + width * F.col("_dev"),
@@ -72,28 +76,26 @@ def boll(
 
 
 def ema(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     n: int,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
-    slices: Slices | None = None,
     name: str | None = None,
 ) -> DataFrame:
     """Add ``ema_<n>`` with weight 2/(n+1), started at the first value."""
     step = Smooth(name or f"ema_{n}", ((column, 1.0),), 2.0 / (n + 1))
-    return smooth(df, [step], key, order, slices)
+    return smooth(df, [step], key, order)
 
 
 def macd(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     fast: int = 12,
     slow: int = 26,
     signal: int = 9,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add dif, dea and macd = 2 * (dif - dea).  One shuffle for all three averages."""
     steps = [
@@ -101,18 +103,17 @@ def macd(
         Smooth("_slow", ((column, 1.0),), 2.0 / (slow + 1)),
         Smooth("dea", (("_fast", 1.0), ("_slow", -1.0)), 2.0 / (signal + 1)),
     ]
-    out = smooth(df, steps, key, order, slices)
+    out = smooth(df, steps, key, order)
     dif = F.col("_fast") - F.col("_slow")
     return out.withColumns({"dif": dif, "macd": 2 * (dif - F.col("dea"))}).drop("_fast", "_slow")
 
 
 def rsi(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     n: int = 14,
     column: str = "close",
     key: str = KEY,
     order: str | list[str] = TIME,
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add ``rsi_<n>`` (Wilder smoothing, weight 1/n, started at the first change).
 
@@ -125,4 +126,4 @@ def rsi(
     ]
     up, down = F.col("_up"), F.col("_down")
     value = F.when(up.isNotNull(), ratio(100 * up, up + down, 50.0))
-    return smooth(df, steps, key, order, slices).withColumn(f"rsi_{n}", value).drop("_up", "_down")
+    return smooth(df, steps, key, order).withColumn(f"rsi_{n}", value).drop("_up", "_down")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import ratio
-from barstream.operators.slicing import find_slices, running_totals
+from barstream.operators.slicing import ROWS_PER_PART, order_table, running_totals
 
 MAX_CLASSES = 1_000
 
@@ -104,7 +104,7 @@ def _score_levels(
     the negatives up to this score.
 
     Equal scores are merged map-side, so a score shared by many rows is no hot
-    spot; a group with many distinct scores is cut into slices of the axis.
+    spot; a group with many distinct scores is cut into parts of the axis.
     """
     rows = df.withColumn("_score", F.col(score).cast("double"))
     levels = rows.groupBy(group, "_score").agg(
@@ -112,8 +112,10 @@ def _score_levels(
         _count(F.col(label) == 0).alias("_neg"),
         *[column.alias(name) for name, column in sums.items()],
     )
-    slices = find_slices(levels.select(group, "_score"), group, "_score", rows_per_task)  # heat is many levels, not many rows
-    return running_totals(levels, ["_neg"], group, "_score", slices)
+    limit = rows_per_task or ROWS_PER_PART
+    biggest = levels.groupBy(group).count().agg(F.max("count")).first()[0] or 0  # heat is many levels, not many rows
+    rows = order_table(levels, group, "_score", limit) if biggest > limit else levels
+    return running_totals(rows, ["_neg"], group, "_score")
 
 
 def _auc() -> Column:

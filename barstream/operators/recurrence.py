@@ -5,9 +5,10 @@ sorted by the JVM (which spills) and streamed through an Arrow function that
 keeps only the running state: its memory does not grow with the key.  Within a
 batch the recurrence is an associative scan over numpy arrays.
 
-Hot keys are cut into slices.  Each slice is scanned from state zero to get its
-end state; because the recurrence is linear, the true state entering each slice
-follows from those few numbers, and a second scan starts from it.
+Of an ordered table (see slicing) each part is scanned by itself.  A key that
+lies in several parts is scanned from state zero first, for its end states;
+because the recurrence is linear, the true state entering each part follows
+from those few numbers, and a second scan starts from it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barstream.operators.slicing import Slices, _attach, _key_table, slice_sizes
+from barstream.operators.slicing import Ordered, attach
+from barstream.sources.tables import overwrite_table, work_dir
 
 
 @dataclass(frozen=True)
@@ -215,14 +217,12 @@ def _entering_states(key: str, steps: list[Smooth]):
     return run
 
 
-def _previous_values(sliced: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
-    """Last values of the slice before, per slice (bounded like the slices)."""
-    newest = F.struct(*order) if len(order) > 1 else F.col(order[0])
+def _previous_values(cut: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Last values of a key's part before, per part (bounded like the runs)."""
     per_key = Window.partitionBy("_key").orderBy("_at")
     return (
-        sliced.where("_slice >= 0")
-        .groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at"))
-        .agg(*[F.max_by(F.col(c).cast("double"), newest).alias(c) for c in columns])
+        cut.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at"))
+        .agg(*[F.max_by(F.col(c).cast("double"), "_row").alias(c) for c in columns])
         .select("_key", "_at", *[F.lag(c).over(per_key).alias(f"_prev_{c}") for c in columns])
     )
 
@@ -231,69 +231,65 @@ def _with(schema: T.StructType, fields: list[T.StructField]) -> T.StructType:
     return T.StructType(list(schema.fields) + fields)
 
 
-def smooth(
-    df: DataFrame,
-    steps: list[Smooth],
-    key: str,
-    order: str | list[str],
-    slices: Slices | None = None,
-) -> DataFrame:
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    overwrite_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def smooth(df: DataFrame | Ordered, steps: list[Smooth], key: str, order: str | list[str]) -> DataFrame:
     """Add one double column per step.  Rows with a NULL input get NULL and
     leave the state as it is.
 
-    Hot keys are sliced if ``slices`` (from find_slices) says where; without it
-    no job runs while the frame is built.
+    On an ordered table no key is hot, and its own key and order hold; on any
+    other frame no job runs while the frame is built.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    slices = slices or Slices(key, order[0])
     made = [T.StructField(s.name, T.DoubleType()) for s in steps]
-    if not slices.hot:
+    if not isinstance(df, Ordered):
+        order = [order] if isinstance(order, str) else list(order)
         return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(
             _smooth_rows([key], steps, False, ()), _with(df.schema, made)
         )
 
-    inputs, moving = _inputs(steps), _moving(steps)
+    key, inputs, moving = df.key, _inputs(steps), _moving(steps)
     whole = F.lit(True)
     for c in inputs:
         whole = whole & F.col(c).isNotNull()
-    sliced = slices.assign(df.where(whole))
-    sizes = slice_sizes(sliced, key)
+    given = df.rows.where(whole)
     ids, size, warm = [key, "_slice"], len(steps), _warm_rows(steps)
     carries, previous = [f"_carry_{i}" for i in range(size)], [f"_prev_{c}" for c in moving]
-
-    def placed(rows: DataFrame) -> DataFrame:
-        rows = rows.repartition(*ids)
-        if moving:
-            rows = _attach(rows, _previous_values(sliced, key, order, moving), key, "left", on_slice=True)
-        return rows
-
-    # end states from zero, or from nothing where a key begins
-    facts = []
-    for value, run in sizes.items():
-        before = 0
-        for number, n in run:
-            facts.append((value, number, n, None if before < warm else 0.0))
-            before += n
-    small = _key_table(df, key, facts, "_at int, _rows bigint, _zero double")
-    slim = sliced.where("_slice >= 0").select(*dict.fromkeys([*ids, *order, *inputs]))
-    ready = _attach(placed(slim), small, key, "left", on_slice=True)
-    # sort last: the optimizer drops a sort that lies below a join
-    ready = ready.select("*", *[F.col("_zero").alias(c) for c in carries]).sortWithinPartitions(*ids, *order)
+    in_order = lambda rows: rows.repartition(df.parts, "_slice").sortWithinPartitions("_row")
+
+    # the parts of cut keys, with the rows that count; a key's first part starts from nothing, the others from zero
+    cut = attach(given, df.runs.select("_key", "_at"), key, "inner")
+    counts = cut.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at")).agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.when(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) >= warm, F.lit(0.0))
+    facts = _stored(counts.withColumn("_zero", zero), "parts")
+
+    slim = attach(cut.select(*dict.fromkeys([*ids, "_row", *inputs])), facts, key, "inner")
+    if moving:
+        before = _stored(_previous_values(cut, key, moving), "previous")
+        slim = attach(slim, before, key, "left")
+    ready = in_order(slim.select("*", *[F.col("_zero").alias(c) for c in carries]))
     ends_schema = _with(
-        T.StructType([df.schema[key], T.StructField("_slice", T.IntegerType())]),
+        T.StructType([df.rows.schema[key], T.StructField("_slice", T.IntegerType())]),
         [T.StructField(f"_end_{i}", T.DoubleType()) for i in range(size)],
     )
-    ends = ready.mapInArrow(_end_states(ids, steps), ends_schema)
-    ends = _attach(ends, small, key, "inner", on_slice=True).drop("_zero")
-
+    ends = attach(ready.mapInArrow(_end_states(ids, steps), ends_schema), facts, key, "inner").select(
+        key, F.col("_slice"), *[f"_end_{i}" for i in range(size)], "_rows"
+    )
     carry_schema = T.StructType(
-        [T.StructField("_key", df.schema[key].dataType), T.StructField("_at", T.IntegerType())]
+        [T.StructField("_key", df.rows.schema[key].dataType), T.StructField("_at", T.IntegerType())]
         + [T.StructField(c, T.DoubleType()) for c in carries]
     )
     entering = ends.groupBy(key).applyInPandas(_entering_states(key, steps), carry_schema)
-    entering = entering.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in carries})  # pandas has no NULL double
-    rows = _attach(placed(sliced), entering, key, "left", on_slice=True).sortWithinPartitions(*ids, *order)
-    helpers = {"_slice", *carries, *previous}
-    done = rows.mapInArrow(_smooth_rows(ids, steps, True, helpers), _with(df.schema, made))
-    missing = df.where(~whole).select("*", *[F.lit(None).cast("double").alias(s.name) for s in steps])
+    entering = _stored(entering.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in carries}), "carries")  # pandas has no NULL double
+    rows = attach(given, entering, key, "left")
+    if moving:
+        rows = attach(rows, before, key, "left")
+    helpers = {"_slice", "_row", *carries, *previous}
+    plain = T.StructType([df.rows.schema[c] for c in df.columns])
+    done = in_order(rows).mapInArrow(_smooth_rows(ids, steps, True, helpers), _with(plain, made))
+    missing = df.rows.where(~whole).select(*df.columns, *[F.lit(None).cast("double").alias(s.name) for s in steps])
     return done.unionByName(missing)

@@ -1,29 +1,30 @@
-"""Ordered per-key work when one key holds a large part of the rows.
-
-``Window.partitionBy(symbol)`` puts every row of a symbol into one task.  Here
-the rows of a hot symbol are cut into slices along time, each about
-``rows_per_task`` rows, and the window runs per (symbol, slice).  The few rows
-a frame needs from the neighbour slices are copied into it first, so the
-results are the same as those of the plain window.
-
-The cut points become literals in the plan: a task that is run again after the
-loss of an executor cuts at the same places.
+"""Ordered per-key work, cut into parts of equal size whatever the keys are.
+
+``Window.partitionBy(symbol)`` puts every row of a symbol into one task.
+``order_table`` sorts a table by key and order instead, by ranges, and stores
+it with every row's place: a key that holds a third of the rows lies in a third
+of the parts, and rows with one and the same time are cut as well.  Windows
+then run per (part, key); the few rows that a frame needs from the parts before
+or after are copied in first, so that results are those of the plain window.
+
+What a part needs to know of the others is in ``runs``, one row for every part
+of a key that lies in several: at most two rows a part.  It is a stored table;
+nothing of it goes through the driver, and neither keys nor parts are capped.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_TASK = 4_000_000
-# Bounds what the driver holds: at most this many hot keys, twice as many slices.
-MAX_SLICES = 50_000
+from barstream.sources.tables import overwrite_table, work_dir
+
+ROWS_PER_PART = 2_000_000
 
 
 def order_axis(df: DataFrame, name: str) -> Column:
@@ -42,186 +43,130 @@ def order_axis(df: DataFrame, name: str) -> Column:
 
 
 @dataclass(frozen=True)
-class Slices:
-    """Hot keys of a table and where to cut them.  Empty when no key is hot."""
+class Ordered:
+    """A stored table in the order of ``key`` and ``order``.
+
+    ``rows`` has its columns, ``_slice`` (the part) and ``_row`` (the place in
+    the whole order).  ``runs`` has ``_key``, ``_at`` (a part), ``_first`` and
+    ``_last`` (places) of every part of a key that lies in several parts; a
+    key's rows in a part have consecutive places.
+    """
 
+    rows: DataFrame
+    runs: DataFrame
     key: str
-    order: str
-    hot: tuple = ()
-    cuts: tuple = ()
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add ``_slice``: -1 for rows of ordinary keys, else the slice number.
-
-        Slice numbers grow with the order column within a key.
-        """
-        if not self.hot:
-            return df.withColumn("_slice", F.lit(-1))
-        placed = _place(df, self.key, self.order, self.hot)
-        if not self.cuts:
-            return placed.withColumn("_slice", F.when(F.col("_x") < 0, -1).otherwise(0)).drop("_x")
-        edges = [-math.inf, *self.cuts, math.inf]
-        cut = Bucketizer(splits=edges, inputCol="_x", outputCol="_cut").transform(placed)
-        number = F.when(F.col("_x") < 0, -1).otherwise(F.col("_cut").cast("int"))
-        return cut.withColumn("_slice", number).drop("_x", "_cut")
-
-
-def _key_table(df: DataFrame, key: str, rows: list, rest: str) -> DataFrame:
-    """Small driver-built table with a ``_key`` column of the key's type."""
-    schema = T.StructType([T.StructField("_key", df.schema[key].dataType)])
-    schema = T.StructType(schema.fields + T._parse_datatype_string(rest).fields)
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def _attach(df: DataFrame, small: DataFrame, key: str, how: str, on_slice: bool = False) -> DataFrame:
-    """Join a table of at most 2 * MAX_SLICES rows by key (NULL keys match)."""
-    condition = df[key].eqNullSafe(small["_key"])
-    if on_slice:
-        condition = condition & (df["_slice"] == small["_at"])
-    return df.join(F.broadcast(small), condition, how).drop("_key", "_at")
+    order: tuple[str, ...]
+    parts: int
 
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.rows.columns if c not in ("_slice", "_row")]
 
-def _place(df: DataFrame, key: str, order: str, hot: tuple) -> DataFrame:
-    """Add ``_x``: hot keys lie side by side on one axis, others at -1."""
-    small = _key_table(df, key, list(hot), "_rank double, _low double, _span double")
-    share = F.least((order_axis(df, order) - F.col("_low")) / F.col("_span"), F.lit(0.999999999))
-    x = F.col("_rank") + F.coalesce(share, F.lit(0.0))
-    return (
-        _attach(df, small, key, "left")
-        .withColumn("_x", F.coalesce(x, F.lit(-1.0)))
-        .drop("_rank", "_low", "_span")
-    )
 
+def _part_of(row: str) -> Column:
+    return F.shiftright(row, 33).cast("int")
 
-def find_slices(df: DataFrame, key: str, order: str, rows_per_task: int | None = None) -> Slices:
-    """Find hot keys and their cut points.
 
-    One aggregation of the key and order columns with map-side combine; only
-    when a key exceeds ``rows_per_task`` a quantile sketch of the hot rows
-    follows.  Pass the result to several operators on the same table to pay
-    for it once.
+def order_table(df: DataFrame, key: str, order: str | list[str], rows_per_part: int | None = None) -> Ordered:
+    """Sort a table into parts of about ``rows_per_part`` rows and store it; once for all operators on it.
+
+    One count, one shuffle by ranges of (key, order, content).  Rows that agree
+    in key and order are put in order by a hash of their columns, equal rows by
+    where they come from, so any of them can be cut apart.  NULL keys and NULL
+    times come first.
     """
-    limit = rows_per_task or ROWS_PER_TASK
-    axis = order_axis(df, order)
-    sizes = df.groupBy(key).agg(
-        F.count("*").alias("n"), F.min(axis).alias("low"), F.max(axis).alias("high")
-    )
-    total, biggest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if not biggest or biggest <= limit:
-        return Slices(key, order)
-    # fewer than MAX_SLICES keys can have more than total / MAX_SLICES rows
-    limit = max(limit, -(-total // MAX_SLICES))
-    big = sizes.where(F.col("n") > limit).collect()
-    big.sort(key=lambda r: (-r["n"], str(r[key])))
-    if not big:
-        return Slices(key, order)
-    hot = tuple(
-        (r[key], float(i), r["low"] or 0.0, (r["high"] or 0.0) - (r["low"] or 0.0) + 1e-9 or 1.0)
-        for i, r in enumerate(big)
-    )
-    count = sum(-(-r["n"] // limit) for r in big)
-    x = _place(df.select(key, order), key, order, hot).where("_x >= 0")
-    cuts = x.approxQuantile("_x", [i / count for i in range(1, count)], 1 / (8 * count))
-    return Slices(key, order, hot, tuple(sorted(set(cuts))))
-
-
-def slice_sizes(sliced: DataFrame, key: str) -> dict:
-    """Rows per slice of every hot key, in slice order (bounded by MAX_SLICES)."""
-    rows = sliced.where("_slice >= 0").groupBy(key, "_slice").count().collect()
-    sizes: dict = {}
-    for r in sorted(rows, key=lambda r: r["_slice"]):
-        sizes.setdefault(r[key], []).append((r["_slice"], r["count"]))
-    return sizes
-
-
-def _neighbours(sizes: dict, reach: int, step: int) -> list:
-    """(key, from slice, to slice, rows between) wherever a frame can reach."""
-    found = []
-    for key, slices in sizes.items():
-        run = slices[::step]
-        for i, (source, _) in enumerate(run):
-            between = 0
-            for target, rows in run[i + 1 :]:
-                if between >= reach:
-                    break
-                found.append((key, source, target, between))
-                between += rows
-    return found
-
-
-def _copies(sliced: DataFrame, key: str, order: list[str], sizes: dict, reach: int, forward: bool) -> DataFrame:
-    """The last (or first) ``reach`` rows of slices, moved to their neighbours."""
-    ends = [F.desc(c) if forward else F.asc(c) for c in order]
-    edge = Window.partitionBy(key, "_slice").orderBy(*ends)
-    rows = (
-        sliced.where("_slice >= 0")
-        .withColumn("_edge", F.row_number().over(edge))
-        .where(F.col("_edge") <= reach)
-    )
-    targets = _neighbours(sizes, reach, 1 if forward else -1)
-    small = _key_table(sliced, key, targets, "_at int, _to int, _between bigint")
-    return (
-        _attach(rows, small, key, "inner", on_slice=True)
-        .where(F.col("_edge") + F.col("_between") <= reach)
-        .withColumn("_slice", F.col("_to"))
-        .drop("_edge", "_to", "_between")
-    )
+    spark, columns = df.sparkSession, df.columns
+    order = [order] if isinstance(order, str) else list(order)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // (rows_per_part or ROWS_PER_PART)))
+    ties = df.withColumns({"_tie": F.xxhash64(*[F.col(f"`{c}`") for c in columns]), "_from": F.monotonically_increasing_id()})
+    by = [key, *order, "_tie", "_from"]
+    placed = ties.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_tie", "_from")
+    numbered = placed.withColumn("_row", F.monotonically_increasing_id())  # the part, then the place in it
+    numbered = numbered.withColumn("_slice", _part_of("_row"))
+    name = f"ordered_{uuid.uuid4().hex}"
+    numbered.write.bucketBy(parts, "_slice").option("path", work_dir(spark, name)).saveAsTable(name)
+    rows = spark.table(name)
+
+    per = rows.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at")).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
+    per = per.withColumn("_of", F.count("*").over(Window.partitionBy("_key"))).where("_of > 1").drop("_of")
+    path = work_dir(spark, "runs")
+    overwrite_table(per, path)
+    return Ordered(rows, spark.read.schema(per.schema).parquet(path), key, tuple(order), parts)
+
+
+def attach(df: DataFrame, small: DataFrame, key: str, how: str) -> DataFrame:
+    """Join runs (at most two rows a part) by key, NULL keys too, and part."""
+    condition = df[key].eqNullSafe(small["_key"]) & (df["_slice"] == small["_at"])
+    return df.join(F.broadcast(small), condition, how).drop("_key", "_at")
+
+
+def _copies(table: Ordered, reach: int, forward: bool) -> DataFrame:
+    """The last (or first) ``reach`` rows of the runs before (or after), with the part that needs them as ``_slice``.
+
+    Edge rows of a key are numbered towards the parts that need them; a part
+    needs the ``reach`` numbers below its own.  Those lie in at most two blocks
+    of ``reach`` numbers, so the match is a join by equal key and block.
+    """
+    towards = Window.partitionBy("_key").orderBy(F.asc("_at") if forward else F.desc("_at"))
+    size = F.least(F.col("_last") - F.col("_first") + 1, F.lit(reach))
+    runs = table.runs.withColumn("_size", size)
+    runs = runs.withColumn("_start", F.sum("_size").over(towards.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size"))
+    near = F.col("_row") - F.col("_last") + F.col("_size") if forward else F.col("_first") + F.col("_size") - F.col("_row")
+    edge = attach(table.rows, runs, table.key, "inner").where(near > 0)
+    edge = edge.withColumn("_number", F.col("_start") + near).withColumn("_block", F.floor((F.col("_number") - 1) / reach))
+    edge = edge.drop("_first", "_last", "_size", "_start", "_slice")
+    lowest = F.greatest(F.col("_start") - reach, F.lit(0))
+    blocks = F.array_distinct(F.array(F.floor(lowest / reach), F.floor((F.col("_start") - 1) / reach)))
+    asking = runs.where("_start > 0").select("_key", F.col("_at").alias("_slice"), lowest.alias("_above"), F.col("_start").alias("_upto"), F.explode(blocks).alias("_in"))
+    same = edge[table.key].eqNullSafe(asking["_key"]) & (edge["_block"] == asking["_in"])
+    met = edge.join(asking, same & (F.col("_number") > F.col("_above")) & (F.col("_number") <= F.col("_upto")))
+    return met.select(*table.rows.columns)
 
 
 def windowed(
-    df: DataFrame,
+    df: DataFrame | Ordered,
     build: Callable[[WindowSpec], dict[str, Column]],
     key: str,
     order: str | list[str],
     before: int = 0,
     after: int = 0,
-    slices: Slices | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach ``before`` / ``after`` rows.
 
     ``build`` gets the window (per key, in order) and returns named columns.
-    Hot keys are sliced if ``slices`` (from find_slices, once per table) says
-    where; without it this is the plain window, and no job runs while the
-    frame is built.
+    On an ordered table (see order_table) no key is hot, and its own key and
+    order hold; on any other frame this is the plain window, and no job runs
+    while the frame is built.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    slices = slices or Slices(key, order[0])
-    if not slices.hot:
+    if not isinstance(df, Ordered):
+        order = [order] if isinstance(order, str) else list(order)
         return df.withColumns(build(Window.partitionBy(key).orderBy(*order)))
-    sliced = slices.assign(df)
-    sizes = slice_sizes(sliced, key)
-    rows = sliced.withColumn("_copy", F.lit(False))
+    rows = df.rows
     for reach, forward in ((before, True), (after, False)):
         if reach:
-            extra = _copies(sliced, key, order, sizes, reach, forward)
-            rows = rows.unionByName(extra.withColumn("_copy", F.lit(True)))
-    window = Window.partitionBy(key, "_slice").orderBy(*order)
-    return rows.withColumns(build(window)).where(~F.col("_copy")).drop("_slice", "_copy")
+            rows = rows.unionByName(_copies(df, reach, forward).repartition(df.parts, "_slice"))
+    window = Window.partitionBy("_slice", df.key).orderBy("_row")
+    # a copied row's place lies in another part; null-safe, as a filter below the union would hide the buckets
+    own = _part_of("_row").eqNullSafe(F.col("_slice"))
+    return rows.withColumns(build(window)).where(own).drop("_slice", "_row")
 
 
-def running_totals(
-    df: DataFrame, columns: list[str], key: str, order: str, slices: Slices | None = None
-) -> DataFrame:
+def running_totals(df: DataFrame | Ordered, columns: list[str], key: str, order: str) -> DataFrame:
     """Add ``<column>_upto``: the sum of the column up to and with this row.
 
-    (key, order) must be unique.  Hot keys: running sums per slice plus the
-    totals of the slices before it.
+    (key, order) must be unique.  An ordered table has running sums per part,
+    plus the totals of a key's parts before it.
     """
-    slices = slices or Slices(key, order)
-    upto = lambda w: {
+    upto = lambda w: {
         f"{c}_upto": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns
     }
-    if not slices.hot:
+    if not isinstance(df, Ordered):
         return df.withColumns(upto(Window.partitionBy(key).orderBy(order)))
-    sliced = slices.assign(df)
     earlier = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        sliced.where("_slice >= 0")
-        .groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at"))
-        .agg(*[F.sum(c).alias(c) for c in columns])
-        .select("_key", "_at", *[F.sum(c).over(earlier).alias(f"_{c}_base") for c in columns])
-    )
-    local = sliced.withColumns(upto(Window.partitionBy(key, "_slice").orderBy(order)))
-    joined = _attach(local, totals, key, "left", on_slice=True)
+    cut = attach(df.rows, df.runs.select("_key", "_at"), df.key, "inner")
+    totals = cut.groupBy(F.col(df.key).alias("_key"), F.col("_slice").alias("_at")).agg(*[F.sum(c).alias(c) for c in columns])
+    totals = totals.select("_key", "_at", *[F.sum(c).over(earlier).alias(f"_{c}_base") for c in columns])
+    joined = attach(df.rows.withColumns(upto(Window.partitionBy("_slice", df.key).orderBy("_row"))), totals, df.key, "left")
     fixed = {f"{c}_upto": F.col(f"{c}_upto") + F.coalesce(F.col(f"_{c}_base"), F.lit(0)) for c in columns}
-    return joined.withColumns(fixed).drop("_slice", *[f"_{c}_base" for c in columns])
+    return joined.withColumns(fixed).drop("_slice", "_row", *[f"_{c}_base" for c in columns])

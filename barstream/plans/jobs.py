@@ -9,7 +9,7 @@ from barstream.operators.bars import daily_bars
 from barstream.operators.dashboard import serve_news
 from barstream.operators.features import training_frame, split
 from barstream.operators.indicators import indicator_table
-from barstream.operators.slicing import find_slices
+from barstream.operators.slicing import order_table
 from barstream.plans.learners import evaluate, fit_gbt, load_model, predict_latest, save_model, score
 from barstream.sources.tables import overwrite_table, read_table, write_jdbc
 
@@ -17,7 +17,7 @@ from barstream.sources.tables import overwrite_table, read_table, write_jdbc
 def build_indicators(spark: SparkSession, prices_path: str, indicators_path: str) -> None:
     """Recompute the indicator table from the clean prices."""
     prices = read_table(spark, prices_path)
-    overwrite_table(indicator_table(prices, find_slices(prices, "symbol", "trade_time")), indicators_path)
+    overwrite_table(indicator_table(order_table(prices, "symbol", "trade_time")), indicators_path)
 
 
 def train_direction(
@@ -28,7 +28,7 @@ def train_direction(
     Indicators hold close and volume, so prices are not joined again.
     """
     indicators = read_table(spark, indicators_path)
-    frame = training_frame(None, indicators, slices=find_slices(indicators, "symbol", "trade_time"))
+    frame = training_frame(None, indicators)
     train, test = split(frame, ["symbol", "trade_time"])
     model = fit_gbt(train, **params)
     save_model(model, model_path)

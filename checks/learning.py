@@ -11,7 +11,7 @@ from barstream.operators import metrics as M
 from barstream.operators import tabular as T
 from barstream.operators.indicators import indicator_table
 from barstream.operators.neighbors import knn as nearest
-from barstream.operators.slicing import find_slices
+from barstream.operators.slicing import order_table
 from barstream.operators.text import fit_sentiment, sentiment_score
 from barstream.plans import learners as L
 from barstream.plans.study import study
@@ -39,15 +39,18 @@ frame AS (SELECT symbol, trade_time, close, volume, sma_5, sma_10, sma_20,
 FRAME_COLUMNS = f"symbol, trade_time, close, volume, {S.r('sma_5')}, {S.r('sma_10')}, {S.r('sma_20')}, label"
 
 
+def _ordered(prices):
+    return order_table(prices, "symbol", "trade_time")
+
+
 def direction_frame(spark, sf_dir, joined=True):
     prices = X.ticks(spark, sf_dir)
-    slices = find_slices(prices, "symbol", "trade_time")
-    return FE.training_frame(prices if joined else None, indicator_table(prices, slices), slices=slices)
+    return FE.training_frame(prices if joined else None, indicator_table(_ordered(prices)))
 
 
 @query("label_direction", f"WITH {LABELLED} SELECT symbol, trade_time, close, future_close, CASE WHEN future_close > close THEN 1 ELSE 0 END AS label FROM labelled")
 def label_direction(spark, sf_dir):
-    return FE.label_direction(X.ticks(spark, sf_dir).select("symbol", "trade_time", "close"))
+    return FE.label_direction(_ordered(X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")))
 
 
 @query("training_frame", f"WITH {LABELLED} SELECT {FRAME_COLUMNS} FROM frame")
@@ -72,7 +75,7 @@ def split_small(spark, sf_dir):
 
 @query("label_drop_unlabelled", f"WITH {LABELLED} SELECT symbol, trade_time, close, future_close, CASE WHEN future_close > close THEN 1 ELSE 0 END AS label FROM labelled WHERE future_close IS NOT NULL")
 def label_drop_unlabelled(spark, sf_dir):
-    return FE.label_direction(X.ticks(spark, sf_dir).select("symbol", "trade_time", "close"), drop_unlabelled=True)
+    return FE.label_direction(_ordered(X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")), drop_unlabelled=True)
 
 
 @query("folds", f"WITH {S.tab_class()} SELECT *, CAST({S.bucket(S.LINE_KEY, 5)} AS INTEGER) AS fold FROM tab")
@@ -376,7 +379,7 @@ def gbt_latest(spark, sf_dir):
 
 def _stored_indicators(spark, prices):
     path = work_dir(spark, "indicators")
-    overwrite_table(indicator_table(prices, find_slices(prices, "symbol", "trade_time")), path)
+    overwrite_table(indicator_table(_ordered(prices)), path)
     return path
 
 
@@ -386,7 +389,7 @@ def predict_every_symbol(spark, sf_dir):
     """Symbols whose newest row has a gap are predicted from the row before it."""
     prices = X.ticks(spark, sf_dir)
     newest = prices.groupBy("symbol").agg(F.max_by("volume", "trade_time").alias("newest"), F.max("trade_time").alias("at"))
-    rows = indicator_table(prices, find_slices(prices, "symbol", "trade_time")).join(newest, "symbol")
+    rows = indicator_table(_ordered(prices)).join(newest, "symbol")
     gap = (F.col("trade_time") == F.col("at")) & (F.col("newest") % 7 == 0)
     frame = rows.withColumn("sma_20", F.when(~gap, F.col("sma_20"))).withColumn("label", (F.col("close") > 250).cast("int"))
     model = L.fit_classifier("dt", frame, FE.FEATURES)

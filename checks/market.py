@@ -9,6 +9,7 @@ from barstream.operators import bars as B
 from barstream.operators import dashboard as D
 from barstream.operators import indicators as I
 from barstream.operators.clean import clean_prices, parse_prices
+from barstream.operators.slicing import order_table
 from barstream.sources import normalize as N
 from barstream.sources.tables import read_table, overwrite_table, register_views, sql_indicators, to_messages, work_dir
 from checks import fixtures as X
@@ -27,8 +28,14 @@ def query(name, oracle=None):
     return add
 
 
+def _ordered(spark, sf_dir, *columns):
+    """Prices in order, cut into parts of equal size."""
+    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close", *columns)
+    return order_table(prices, "symbol", "trade_time")
+
+
 def _table(spark, sf_dir):
-    return I.indicator_table(X.ticks(spark, sf_dir))
+    return I.indicator_table(_ordered(spark, sf_dir, "volume"))
 
 
 SMA_COLUMNS = f"symbol, trade_time, close, volume, {S.r('sma_5')}, {S.r('sma_10')}, {S.r('sma_20')}"
@@ -68,7 +75,7 @@ RUNNING = "WINDOW w AS (PARTITION BY symbol ORDER BY trade_time ROWS UNBOUNDED P
     f"WITH {S.TICKS} SELECT symbol, trade_time, {S.r(_fold('close', 12), 'ema_12')} FROM ticks {RUNNING}",
 )
 def ema(spark, sf_dir):
-    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")
+    prices = _ordered(spark, sf_dir)
     return X.rounded(I.ema(prices, 12).drop("close"))
 
 
@@ -80,7 +87,7 @@ def ema(spark, sf_dir):
     SELECT symbol, trade_time, {S.r('dif')}, {S.r('dea')}, {S.r('2 * (dif - dea)', 'macd')} FROM b""",
 )
 def macd(spark, sf_dir):
-    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")
+    prices = _ordered(spark, sf_dir)
     return X.rounded(I.macd(prices).drop("close"))
 
 
@@ -99,7 +106,7 @@ def _wilder(x):
     FROM d LEFT JOIN s USING (symbol, trade_time)""",
 )
 def rsi(spark, sf_dir):
-    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")
+    prices = _ordered(spark, sf_dir)
     return X.rounded(I.rsi(prices).drop("close"))
 
 
@@ -111,7 +118,7 @@ def rsi(spark, sf_dir):
     SELECT symbol, trade_time, {S.r('m', 'boll_mid')}, {S.r('m + 2 * s', 'boll_upper')}, {S.r('m - 2 * s', 'boll_lower')} FROM b""",
 )
 def boll(spark, sf_dir):
-    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close")
+    prices = _ordered(spark, sf_dir)
     return X.rounded(I.boll(prices).drop("close"))
 
 

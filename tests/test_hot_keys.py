@@ -1,7 +1,8 @@
-"""A key that holds a large part of the rows: sliced results equal the plain ones."""
+"""A key that holds a large part of the rows: results over parts equal the plain ones."""
 
 import math
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barstream.operators import features, indicators, metrics
 from barstream.operators.recurrence import Smooth, linear_scan, smooth, transition
-from barstream.operators.slicing import find_slices, running_totals, windowed
+from barstream.operators.slicing import order_table, running_totals, windowed
 
 START = datetime(2024, 1, 1)
 
@@ -48,42 +49,66 @@ def _same(a, b, columns, keys=("symbol", "trade_time")):
             assert x is None or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9), (key, x, y)
 
 
-@pytest.mark.parametrize("rows_per_task", [7, 25, 100])
-def test_slices_are_bounded_ordered_and_complete(ticks, rows_per_task):
-    slices = find_slices(ticks, "symbol", "trade_time", rows_per_task)
-    assert [h[0] for h in slices.hot][0] == "hot"
-    out = slices.assign(ticks)
-    assert out.count() == ticks.count()
-    hot = out.where("_slice >= 0").groupBy("symbol", "_slice").agg(
-        F.count("*").alias("n"), F.min("trade_time").alias("a"), F.max("trade_time").alias("b")
-    ).orderBy("symbol", "_slice").collect()
-    assert max(r["n"] for r in hot) <= 2 * rows_per_task + 2
-    for x, y in zip(hot, hot[1:]):
-        if x["symbol"] == y["symbol"]:
-            assert x["b"] < y["a"]
-
-
-@pytest.mark.parametrize("rows_per_task", [3, 25])
-def test_windows_over_slices(ticks, rows_per_task):
-    slices = find_slices(ticks, "symbol", "trade_time", rows_per_task)
-    assert slices.hot
-    _same(indicators.sma(ticks), indicators.sma(ticks, slices=slices), ["sma_5", "sma_10", "sma_20"])
-    _same(indicators.boll(ticks), indicators.boll(ticks, slices=slices), ["boll_mid", "boll_upper", "boll_lower"])
-    a, b = features.label_direction(ticks), features.label_direction(ticks, slices=slices)
+@pytest.mark.parametrize("rows_per_part", [25, 100])
+def test_parts_are_bounded_ordered_and_complete(ticks, rows_per_part):
+    table = order_table(ticks, "symbol", "trade_time", rows_per_part)
+    rows = [r.asDict() for r in table.rows.orderBy("_row").collect()]
+    assert len(rows) == ticks.count() and table.columns == ticks.columns
+    want = sorted(_ticks(), key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r["symbol"], r["trade_time"]) for r in rows] == [r[:2] for r in want]
+    assert [r["_slice"] for r in rows] == sorted(r["_slice"] for r in rows)
+    sizes = Counter(r["_slice"] for r in rows)
+    assert max(sizes.values()) <= 2 * rows_per_part + 2
+    # every part of every key that lies in several, and no other
+    places = {}
+    for r in rows:
+        places.setdefault((r["symbol"], r["_slice"]), []).append(r["_row"])
+    cut = {k for k, n in Counter(k for k, _ in places).items() if n > 1}
+    runs = {(r["_key"], r["_at"]): (r["_first"], r["_last"]) for r in table.runs.collect()}
+    assert runs == {k: (v[0], v[-1]) for k, v in places.items() if k[0] in cut} and "hot" in cut
+    assert all(v == list(range(v[0], v[-1] + 1)) for v in places.values())
+
+
+@pytest.mark.parametrize("rows_per_part", [12, 60])
+def test_windows_over_parts(ticks, rows_per_part):
+    table = order_table(ticks, "symbol", "trade_time", rows_per_part)
+    _same(indicators.sma(ticks), indicators.sma(table), ["sma_5", "sma_10", "sma_20"])
+    _same(indicators.boll(ticks), indicators.boll(table), ["boll_mid", "boll_upper", "boll_lower"])
+    a, b = features.label_direction(ticks), features.label_direction(table)
     _same(a, b, ["future_close", "label"])
     w = lambda w: {"back": F.lag("close", 4).over(w), "on": F.lead("close", 3).over(w)}
     plain = ticks.withColumns(w(Window.partitionBy("symbol").orderBy("trade_time")))
-    _same(plain, windowed(ticks, w, "symbol", "trade_time", before=4, after=3, slices=slices), ["back", "on"])
+    _same(plain, windowed(table, w, "symbol", "trade_time", before=4, after=3), ["back", "on"])
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 60])
-def test_recurrences_over_slices(ticks, rows_per_task):
-    slices = find_slices(ticks, "symbol", "trade_time", rows_per_task)
-    assert slices.hot
-    _same(indicators.ema(ticks, 12), indicators.ema(ticks, 12, slices=slices), ["ema_12"])
-    _same(indicators.ema(ticks, 400), indicators.ema(ticks, 400, slices=slices), ["ema_400"])
-    _same(indicators.macd(ticks), indicators.macd(ticks, slices=slices), ["dif", "dea", "macd"])
-    _same(indicators.rsi(ticks), indicators.rsi(ticks, slices=slices), ["rsi_14"])
+@pytest.mark.parametrize("rows_per_part", [25])
+def test_recurrences_over_parts(ticks, rows_per_part):
+    table = order_table(ticks, "symbol", "trade_time", rows_per_part)
+    _same(indicators.ema(ticks, 12), indicators.ema(table, 12), ["ema_12"])
+    _same(indicators.ema(ticks, 400), indicators.ema(table, 400), ["ema_400"])
+    _same(indicators.macd(ticks), indicators.macd(table), ["dif", "dea", "macd"])
+    _same(indicators.rsi(ticks), indicators.rsi(table), ["rsi_14"])
+
+
+def test_a_million_rows_of_one_time_spread_over_tasks(spark):
+    """One symbol, one time, equal and unequal closes: parts of equal size, and each row averaged once."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("x").alias("symbol"), F.lit(START).alias("trade_time"), (F.col("id") % 3).cast("double").alias("close"))
+    table = order_table(df, "symbol", "trade_time", 50_000)
+    sizes = [r["count"] for r in table.rows.groupBy("_slice").count().collect()]
+    assert sum(sizes) == n and len(sizes) >= 16 and max(sizes) <= 100_000
+    got = indicators.sma(table, spans=(2,)).agg(F.count("*"), F.sum("sma_2")).first()
+    firsts = {0: n - 2 * (n // 3), 1: n // 3, 2: n // 3}  # rows of one close lie together: each mean but three is the close itself
+    total = sum(k * v for k, v in firsts.items())
+    assert got[0] == n and abs(got[1] - total) <= 3
+
+
+def test_windows_on_ordered_tables_exchange_no_rows(ticks):
+    """The stored parts are read as they lie; only copied edge rows and runs are exchanged."""
+    table = order_table(ticks, "symbol", "trade_time", 25)
+    wanted = [indicators.boll(table), running_totals(table, ["volume"], "symbol", "trade_time")]
+    for plan in (df._jdf.queryExecution().executedPlan().toString() for df in wanted):
+        assert "Bucketed: true" in plan and "hashpartitioning(_slice" not in plan.replace("REPARTITION_BY_NUM", "").split("Union")[0]
 
 
 def _rsi(rows):
@@ -117,13 +142,13 @@ def test_recurrence_equals_a_loop(spark):
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
-        for slices in (None, find_slices(df, "symbol", "trade_time", 30)):
-            got = {(r["symbol"], r["trade_time"]): r["ema_12"] for r in indicators.ema(df, 12, slices=slices).collect()}
+        for table in (df, order_table(df, "symbol", "trade_time", 30)):
+            got = {(r["symbol"], r["trade_time"]): r["ema_12"] for r in indicators.ema(table, 12).collect()}
             assert got.keys() == want.keys()
             for key, value in want.items():
                 assert (value is None) == (got[key] is None)
                 assert value is None or math.isclose(value, got[key], rel_tol=1e-12)
-            strength = {(r["symbol"], r["trade_time"]): r["rsi_14"] for r in indicators.rsi(df, slices=slices).collect()}
+            strength = {(r["symbol"], r["trade_time"]): r["rsi_14"] for r in indicators.rsi(table).collect()}
             for key, value in _rsi(rows).items():
                 assert (value is None) == (strength[key] is None), key
                 assert value is None or math.isclose(value, strength[key], rel_tol=1e-9)
@@ -131,15 +156,15 @@ def test_recurrence_equals_a_loop(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
-def test_running_totals_and_auc_over_slices(spark):
+def test_running_totals_and_auc_over_parts(spark):
     rng = random.Random(3)
     rows = [("a" if rng.random() < 0.8 else "b", round(rng.random(), 2), rng.randint(0, 1)) for _ in range(900)]
     df = spark.createDataFrame(rows, "model string, score double, label int")
     levels = df.groupBy("model", "score").agg(F.sum("label").alias("n"))
-    slices = find_slices(levels, "model", "score", 10)
-    assert slices.hot
+    table = order_table(levels, "model", "score", 10)
+    assert table.runs.count()
     plain = running_totals(levels, ["n"], "model", "score")
-    _same(plain, running_totals(levels, ["n"], "model", "score", slices), ["n_upto"], ("model", "score"))
+    _same(plain, running_totals(table, ["n"], "model", "score"), ["n_upto"], ("model", "score"))
     exact = {r["model"]: r["auc"] for r in metrics.auc(df, by="model", rows_per_task=10).collect()}
     for model in "ab":
         pos = [s for m, s, y in rows if m == model and y == 1]
@@ -148,11 +173,9 @@ def test_running_totals_and_auc_over_slices(spark):
         assert math.isclose(exact[model], wins / len(pos) / len(neg), rel_tol=1e-12)
 
 
-def test_key_that_cannot_be_cut_by_time(spark):
-    """All rows at one time: one slice, nothing lost."""
+def test_rows_of_one_time_go_by_the_further_columns(spark):
     df = spark.createDataFrame([("x", START, float(i), i) for i in range(50)], "symbol string, trade_time timestamp, close double, volume bigint")
-    slices = find_slices(df, "symbol", "trade_time", 10)
-    out = indicators.sma(df, order=["trade_time", "volume"], slices=slices)
+    out = indicators.sma(order_table(df, "symbol", ["trade_time", "volume"], 10))
     got = [r["sma_5"] for r in out.orderBy("volume").collect()]
     assert got == [sum(range(max(0, i - 4), i + 1)) / min(i + 1, 5) for i in range(50)]
 
@@ -175,10 +198,13 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "symbol string, trade_time timestamp, close double, volume bigint")
     for out in (indicators.sma(df), indicators.ema(df, 12), indicators.macd(df), indicators.rsi(df), features.label_direction(df)):
         assert out.count() == 0
+    table = order_table(df, "symbol", "trade_time")
+    for out in (indicators.sma(table), indicators.ema(table, 12), indicators.macd(table), indicators.rsi(table), features.label_direction(table)):
+        assert out.count() == 0
 
 
 def test_building_starts_no_job(spark):
-    """Without slices the window and recurrence operators only describe what to do."""
+    """On plain frames the window and recurrence operators only describe what to do."""
     df = spark.createDataFrame(_ticks(seed=2), "symbol string, trade_time timestamp, close double, volume bigint")
     context = spark.sparkContext
     context.setJobGroup("building", "building")
