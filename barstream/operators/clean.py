@@ -67,9 +67,11 @@ def clean_prices(
 
     An invalid first arrival therefore removes a later valid row of its key.
     Batches keep the first row by ``arrival`` (dropped from the result).
-    Streams keep whichever row comes first and remember every key; with
-    ``dedup_window`` (such as "1 day") keys are remembered only that long past
-    the newest time seen.
+    Streams keep whichever row comes first and remember every key.  With
+    ``dedup_window`` (such as "1 day") a key is forgotten, and its state freed,
+    once its time lies that long before the newest time of the batches before
+    the last; rows that arrive later than that are dropped, as they could not
+    be told from copies (``streaming.io.late_rows`` counts them).
     """
     if df.isStreaming:
         if dedup_window:

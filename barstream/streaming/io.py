@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +118,44 @@ def run_until_done(query: StreamingQuery, timeout: float | None = None) -> bool:
     return True
 
 
+@contextmanager
+def bounded_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their state in RocksDB, on disk, with a log of changes per batch."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """(batch_id, late): rows that each batch of a query dropped for coming after its watermark.
+
+    From the query's newest progress reports
+    (``spark.sql.streaming.numRecentProgressUpdates``); batches without late
+    rows are left out.
+    """
+    found: dict[int, int] = {}
+    for report in query.recentProgress:
+        late = sum(op.numRowsDroppedByWatermark for op in report.stateOperators)
+        if late:
+            found[report.batchId] = found.get(report.batchId, 0) + late
+    return spark.createDataFrame(sorted(found.items()), "batch_id bigint, late bigint")
+
+
+def kept_keys(query: StreamingQuery) -> int:
+    """Rows in a query's state after its last batch."""
+    reports = query.recentProgress
+    return sum(op.numRowsTotal for op in reports[-1].stateOperators) if reports else 0
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """The table written by append_batches."""
     return spark.read.option("basePath", path).parquet(path).drop("batch_id")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from barstream.operators.clean import clean_prices, parse_news, parse_prices
 from barstream.operators.text import sentiment_scorer
-from barstream.streaming.io import append_batches
+from barstream.streaming.io import append_batches, bounded_state
 
 
 def store_prices(
@@ -19,9 +21,14 @@ def store_prices(
     accept_snapshots: bool = False,
     ntz: bool = False,
 ) -> StreamingQuery:
-    """Parse, clean and append price messages."""
-    parsed = parse_prices(messages, accept_snapshots, ntz=ntz)
-    return append_batches(clean_prices(parsed, dedup_window=dedup_window), path, checkpoint, interval)
+    """Parse, clean and append price messages.
+
+    With a ``dedup_window`` keys are forgotten that long past the newest time,
+    so the state stays as large as the window's keys, and lies in RocksDB.
+    """
+    clean = clean_prices(parse_prices(messages, accept_snapshots, ntz=ntz), dedup_window=dedup_window)
+    with bounded_state(messages.sparkSession) if dedup_window else nullcontext():
+        return append_batches(clean, path, checkpoint, interval)
 
 
 def store_news(

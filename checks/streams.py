@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barstream.operators.text import fit_sentiment
 from barstream.sources.tables import read_table, overwrite_table, to_messages, work_dir
 from barstream.operators.clean import parse_prices
-from barstream.streaming.io import append_messages, compact_batches, read_batches, read_news_stream, read_price_stream, run_until_done
+from barstream.streaming.io import append_messages, compact_batches, late_rows, read_batches, read_news_stream, read_price_stream, run_until_done
 from barstream.streaming.jobs import store_news, store_prices
 from checks import fixtures as X
 from checks import sql as S
@@ -96,17 +96,58 @@ def stream_restart(spark, sf_dir):
     return read_batches(spark, f"{root}/out")
 
 
-@query("stream_dedup_window", STREAMED)
-def stream_dedup_window(spark, sf_dir):
-    """Keys forgotten once they are older than the window past the newest time."""
+# Messages by arrival: three days a file; clicks once more in the next file, every fiftieth row four files late.
+BLOCK = "CAST(date_diff('day', DATE '2024-01-01', CAST(trade_time AS DATE)) // 3 AS INTEGER)"
+ARRIVED = f"""{S.UNIQUE}, sent AS (
+  SELECT *, {BLOCK} AS file FROM uniq WHERE arrival % 50 <> 0
+  UNION ALL SELECT *, {BLOCK} + 1 FROM uniq WHERE arrival % 50 <> 0 AND event_type = 'click'
+  UNION ALL SELECT *, {BLOCK} + 4 FROM uniq WHERE arrival % 50 = 0),
+numbered AS (SELECT *, dense_rank() OVER (ORDER BY file) AS batch FROM sent),
+tops AS (SELECT batch, max(trade_time) AS top FROM numbered GROUP BY batch),
+marks AS (
+  SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 2 DAY AS mark FROM tops),
+met AS (SELECT n.*, coalesce(trade_time <= mark, FALSE) AS late FROM numbered n JOIN marks USING (batch))"""
+
+
+def _arriving(spark, sf_dir, path):
+    """Those messages, a file a batch, in the order of their times of writing."""
+    rows = X.unique_ticks(spark, sf_dir)
+    block = F.floor(F.date_diff("trade_time", F.lit("2024-01-01")) / 3).cast("int")
+    kept = rows.where("arrival % 50 <> 0")
+    sent = kept.withColumn("file", block)
+    sent = sent.unionByName(kept.where("event_type = 'click'").withColumn("file", block + 1))
+    sent = sent.unionByName(rows.where("arrival % 50 = 0").withColumn("file", block + 4))
+    sent.select(_value(), "file").repartition("file").write.partitionBy("file").parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.globStatus(hadoop.Path(f"{path}/file=*/*.parquet")):
+        number = int(status.getPath().getParent().getName().split("=")[1])
+        files.setTimes(status.getPath(), 1_700_000_000_000 + 1_000 * number, -1)
+
+
+def _deduplicated(spark, sf_dir):
+    """The stream's folder and the finished query: keys are kept for two days past the newest time."""
     root = work_dir(spark, "windowed_stream")
-    _message_files(spark, sf_dir, f"{root}/in")
-    messages = read_price_stream(spark, "parquet", f"{root}/in")
-    _run(store_prices(messages, f"{root}/out", f"{root}/checkpoint", dedup_window="60 days"))
-    out = read_batches(spark, f"{root}/out")
+    _arriving(spark, sf_dir, f"{root}/in")
+    messages = read_price_stream(spark, "parquet", f"{root}/in/*", maxFilesPerTrigger=1)
+    stream = store_prices(messages, f"{root}/out", f"{root}/checkpoint", dedup_window="2 days")
+    _run(stream)
+    return f"{root}/out", stream
+
+
+@query("stream_dedup_window", f"WITH {ARRIVED} SELECT DISTINCT * FROM ({S.CLEAN} FROM met WHERE NOT late AND close > 0 AND volume >= 0)")
+def stream_dedup_window(spark, sf_dir):
+    """Keys forgotten once they are older than the window past the newest time; what comes later than that is dropped."""
+    out = read_batches(spark, _deduplicated(spark, sf_dir)[0])
     return out.withColumn("trade_time", F.col("trade_time").cast("timestamp_ntz"))
 
 
+@query("stream_late_rows", f"WITH {ARRIVED}, ids AS (SELECT DISTINCT batch FROM numbered) SELECT CAST(batch - 1 AS BIGINT) AS batch_id, count(*) FILTER (late) AS late FROM met GROUP BY batch HAVING count(*) FILTER (late) > 0")
+def stream_late_rows(spark, sf_dir):
+    """Rows that came too late, by the batch that dropped them."""
+    return late_rows(spark, _deduplicated(spark, sf_dir)[1])
+
+
 @query(
     "stream_news_sentiment",
     f"""WITH {S.MODEL}, {S.scored('text')}

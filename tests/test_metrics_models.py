@@ -101,6 +101,42 @@ def test_knn_odd_vectors_and_own_votes(spark):
         knn(train.union(spark.createDataFrame([(9, [1.0], 1)], schema)), test)
 
 
+def test_knn_fetches_few_pairs_in_many_dimensions(spark):
+    """Among 64 random numbers no cell falls away, but the approximations leave few exact distances, and the right ones."""
+    import numpy as np
+    from barstream.operators import neighbors
+
+    n, k = 1200, 5
+    x = np.random.default_rng(4).normal(0, 1, (n, 64)).round(3)
+    x[100] = x[7]  # equal vectors
+    frame = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "id int, features array<double>, label int")
+    points = frame.select(F.col("id").alias("_point"), F.col("features").alias("_vec"))
+    pairs = neighbors.candidates(points, points.withColumnRenamed("_point", "_query"), 64, k, 400, False)
+    found = {(r["_query"], r["_point"]) for r in pairs.collect()}
+    assert len(found) < 0.02 * n * n
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    nearest = np.lexsort((np.broadcast_to(np.arange(n), d.shape), d), axis=1)[:, :k]
+    assert all((q, int(p)) in found for q in range(n) for p in nearest[q])
+
+
+@pytest.mark.parametrize("scale, shift", [(1e-9, 0.0), (1e6, 0.0), (1e-3, 1e6)])
+def test_knn_bounds_hold_at_any_scale(scale, shift):
+    import numpy as np
+    import pyarrow as pa
+    from barstream.operators import neighbors
+
+    rng = np.random.default_rng(1)
+    y, x = rng.normal(0, scale, (300, 8)) + shift, rng.normal(0, scale, (50, 8)) + shift
+    grid = neighbors.Grid(y[:40])
+    codes, off = grid.code(y)
+    column = lambda m, t: pa.array(m.tolist(), pa.list_(t))
+    queries = pa.table([pa.array(range(50)), column(x, pa.float64())], names=["_query", "_vec"])
+    points = pa.table([pa.array(range(300)), column(codes.view(np.int8), pa.int8()), pa.array(off)], names=["_point", "_codes", "_off"])
+    for r in neighbors._compare(grid, 300, 8, False)(queries, points).to_pylist():
+        exact = float(np.sqrt(((x[r["_query"]] - y[r["_point"]]) ** 2).sum()))
+        assert r["_low"] <= exact <= r["_high"]
+
+
 def test_knn_compares_few_pairs_of_clustered_data(spark, monkeypatch):
     """Ten times the rows make far fewer than a hundred times the compared pairs."""
     from barstream.operators import neighbors

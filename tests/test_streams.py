@@ -127,3 +127,18 @@ def test_kafka_settings():
     prices = io.read_price_stream(Reader(), **{"kafka.bootstrap.servers": "b:9092"})
     assert prices == {"format": "kafka", "subscribe": "stock-prices", "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": 5_000_000, "kafka.bootstrap.servers": "b:9092"}
     assert "failOnDataLoss" not in io.read_news_stream(Reader())
+
+
+def test_dedup_window_frees_its_state(spark):
+    """Keys that the window has left are gone from the state, and what comes late is counted."""
+    from barstream.streaming.io import kept_keys, late_rows, read_batches
+    from checks import streams
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    folder, query = streams._deduplicated(spark, "/root/testdata/sf0.001")
+    keys = read_batches(spark, folder).select("symbol", "trade_time").distinct().count()
+    assert 0 < kept_keys(query) < 0.35 * keys
+    late = late_rows(spark, query).collect()
+    dropped = sum(op.numRowsDroppedByWatermark for report in query.recentProgress for op in report.stateOperators)
+    assert late and sum(r["late"] for r in late) == dropped
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == provider
