@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import ratio
@@ -40,16 +40,28 @@ def confusion_matrix(
     and NULL keep theirs.
     """
     truth, guess = F.col(label).cast("int"), F.col(prediction).cast("int")
-    known = _classes(df, label, prediction) if classes is None else list(classes)
+    if classes is None:
+        return _matrix_of_pairs(df.sparkSession, df.groupBy(truth.alias("t"), guess.alias("g")).count())
+    known = list(classes)
     cells = [F.count_if(guess == c).alias(f"pred_{c}") for c in known]
-    if classes is not None:
-        cells.append(F.count_if(~guess.isin(known)).alias("pred_other"))
+    cells.append(F.count_if(~guess.isin(known)).alias("pred_other"))
     found = df.groupBy(truth.alias("label")).agg(*cells)
     every = df.sparkSession.createDataFrame([(c,) for c in known], "label int")
     nil = every.join(found, "label", "left_anti").select("label", *[F.lit(0).cast("long").alias(c) for c in found.columns[1:]])
     return found.union(nil)
 
 
+def _matrix_of_pairs(spark: SparkSession, pairs: DataFrame) -> DataFrame:
+    """The matrix out of (truth, prediction, count), of at most MAX_CLASSES classes: the rows are read once."""
+    found = {(r["t"], r["g"]): r["count"] for r in pairs.limit((MAX_CLASSES + 1) ** 2 + 1).collect()}
+    known = sorted({c for pair in found for c in pair if c is not None})
+    if len(known) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    every = known + [None] * any(t is None for t, _ in found)
+    cells = [(t, *[found.get((t, g), 0) for g in known]) for t in every]
+    return spark.createDataFrame(cells, ", ".join(["label int", *[f"`pred_{c}` bigint" for c in known]]))
+
+
 def classification_report(
     df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] | None = None
 ) -> DataFrame:

@@ -80,14 +80,13 @@ def select_features(
     """(feature, correlation) of the k features nearest to the label by
     absolute correlation, or of all that reach ``threshold``.
 
-    Each feature meets the label alone, so the work grows with the number of columns.
+    Each feature meets the label alone, in one aggregation; a constant column has NULL.
     """
-    names = [*columns, label]
-    rows, constant = _centred(_complete(df, names), names)
-    sums = _products(rows, names, [label])
-    squares = rows.agg(*[F.sum(F.col(c) * F.col(c)).alias(f"s{i}") for i, c in enumerate(names)]).first()
-    spread = {c: 0.0 if c in constant else squares[f"s{i}"] or 0.0 for i, c in enumerate(names)}
-    cells = [(c, _pearson(sums.get((c, label), 0.0), spread[c], spread[label])) for c in columns]
+    rows = _complete(df, [*columns, label])
+    facts = [f.alias(f"{n}{i}") for i, c in enumerate([*columns, label]) for n, f in (("lo", F.min(c)), ("hi", F.max(c)))]
+    one = rows.agg(*facts, *[F.corr(c, label).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    varied = [one[f"lo{i}"] is not None and one[f"lo{i}"] < one[f"hi{i}"] for i in range(len(columns) + 1)]
+    cells = [(c, one[f"c{i}"] if varied[i] and varied[-1] else None) for i, c in enumerate(columns)]
     table = df.sparkSession.createDataFrame(cells, "feature string, correlation double")
     strength = F.abs("correlation")
     if threshold is not None:

@@ -131,3 +131,19 @@ def test_fixed_text_rounds_by_exact_value(spark):
         got = [r[0] for r in df.select(fixed_text("v", digits)).collect()]
         step = Decimal(1).scaleb(-digits)
         assert got == [str(Decimal(v).quantize(step, ROUND_HALF_UP)) for v in values]
+
+
+def test_a_bad_text_spoils_no_other(spark):
+    """A batch scorer that raises is asked again text by text; failures are counted."""
+    from barstream.functions.scorers import make_scorer
+
+    def share(texts):
+        if texts.str.contains("boom").any():
+            raise ValueError("boom")
+        return texts.str.count("e") / texts.str.len()
+
+    errors = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([("eeeee",), ("boom boom",), ("eeaaaaaaaa",), (None,), ("e",)], "text string").coalesce(1)
+    score = make_scorer(share, batches=True, errors=errors)
+    got = [r[0] for r in df.select(score("text")).collect()]
+    assert got == [1.0, 0.5, 0.2, 0.5, 0.5] and errors.value == 1
