@@ -12,8 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barstream.llm.common import per_process, task_begins
-from barstream.llm.vocabularies import WordBpeTable
+from barstream.llm.common import SLICE, per_process, task_begins
+from barstream.llm.vocabularies import PIECES, WORDS, WordBpeTable
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
@@ -93,7 +93,10 @@ class Codes:
         return out
 
 
-def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int, shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> None:
+def write_tokens(
+    df: DataFrame, folder: str, tokenizer: str, end_id: int, shards: int | None = None, segment_ids: int = SEGMENT_IDS,
+    remembered: tuple[int, int] = (WORDS, PIECES),
+) -> None:
     """Encode whole texts in ascending doc_id order and write them below ``folder``.
 
     ``tokenizer`` is a tokenizers file that drops white space; ``end_id``
@@ -102,6 +105,9 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int, shards
     documents, counted from its start) and codes.  Whole documents stay in one
     segment.  Shards are ranges of doc_id, so their order is that of documents.
 
+    ``remembered`` bounds the words and the pieces of words whose ids a worker
+    keeps (each twice, see Recent): fewer take less memory and more time.
+
     Null and empty texts have the end id alone.  Null doc_ids come first;
     repeated doc_ids are ordered by a hash of their texts, so equal rows may
     stand in any order.  Other columns are not read.
@@ -113,10 +119,10 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int, shards
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task_begins(("word bpe", tokenizer))
-        table = per_process(("word bpe", tokenizer), lambda: WordBpeTable(tokenizer))
+        table = per_process(("word bpe", tokenizer), lambda: WordBpeTable(tokenizer, *remembered))
         shard, segment, base = TaskContext.get().partitionId(), 0, 0
         doc_ids, ids, ends = [], [], []
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = np.append(table.of_text(text), np.int32(end_id))
                 doc_ids.append(doc_id)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from array import array
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 
-#: Most pieces of words that a table of the second kind remembers; they outlive its words.
-PIECES = 250_000
+#: Most words and most pieces of words in a generation of what a table of the second kind remembers.
+WORDS, PIECES = 250_000, 150_000
 
 
 class TokenTable(dict):
@@ -85,14 +86,39 @@ class PieceTable(TokenTable):
         return np.fromiter(chain.from_iterable(each), np.int32, int(lengths.sum())), lengths
 
 
-class WordBpeTable(TokenTable):
+class Recent(dict):
+    """Values of ``make(key)``, kept for the keys that were asked for lately.
+
+    Two generations of at most ``size`` keys: a key that is asked for moves to
+    the newer one, and a full newer one takes the place of the older.  So what
+    is frequent stays, however many rare keys pass through.
+    """
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordBpeTable:
     """A tokenizers file that drops white space; texts are cut at blanks and line ends.
 
-    Words of plain Latin letters are split and merged piece by piece, pieces
-    being fewer than words; any other word goes through the whole tokenizer.
+    A word's ids are bytes (32-bit integers), so that those of a text are one
+    join.  Words of plain Latin letters are split and merged piece by piece,
+    pieces being fewer than words; any other word goes through the whole
+    tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = WORDS, pieces: int = PIECES):
         import regex
         from tokenizers import Tokenizer
 
@@ -100,31 +126,23 @@ class WordBpeTable(TokenTable):
         self.model = self.tokenizer.model
         # Fixed value: the vocabulary's own split, with its white space written out.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t\n\v\f\r \x85\xa0\p{L}\p{N}]+")
-        self.piece_ids: dict[str, array] = {}
         self.letters = byte_letters()
-        super().__init__()
+        self.words, self.pieces = Recent(self._word, words), Recent(self._piece, pieces)
 
-    def _piece(self, piece: str) -> array:
-        found = self.piece_ids.get(piece)
-        if found is None:
-            if len(self.piece_ids) >= PIECES:
-                self.piece_ids.clear()
-            text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            found = self.piece_ids[piece] = array("i", [t.id for t in self.model.tokenize(text)])
-        return found
+    def _piece(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("i", [t.id for t in self.model.tokenize(text)]).tobytes()
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.pieces[word.lower()]
         if word and (max(word) > "ɏ" or min(word) < "!" or "<|" in word or "\x7f" in word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        return [i for piece in self.split.findall(word.lower()) for i in self._piece(piece)]
-
-    def encode(self, words):
-        each = [self._word(w) for w in words]
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
-        return np.fromiter(chain.from_iterable(each), np.int32, int(lengths.sum())), lengths
+            return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(word.lower())))
 
     def of_text(self, text: str | None) -> np.ndarray:
-        return self.ids(self.numbers((text or "").replace("\n", " ").split(" ")))
+        words = (text or "").replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32)
 
 
 def byte_letters() -> dict[int, str]:
