@@ -29,12 +29,36 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x{4,}|\*{3,}|\.{3,}|<.*>|\$\{.*\}|\{\{.*\}\}|
 
 OPERATOR = re.compile(r":=|=>|[:=]")
 NAME_BEFORE = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]{0,63})(?P<quote>["']?)\]?[ \t]*(?::[ \t]*[A-Za-z_][A-Za-z0-9_\[\]]{0,31}[ \t]*)?$""")
-STRING = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`''')
+# Python's prefixes; triple quotes before single ones, and over lines.
+STRING = re.compile(r'''(?:[bBfFrRuU]{1,2}(?=["']))?(?:"""((?s:(?:[^\\]|\\.)*?))"""|\'\'\'((?s:(?:[^\\]|\\.)*?))\'\'\'|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)''')
 BARE = re.compile(r"[A-Za-z0-9+/_.=~!@$%^*-]{6,}")
 WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
+BLANKS, WIDE_BLANKS, OPENED = re.compile(r"[ \t]*"), re.compile(r"[ \t\r\n]*"), re.compile(r"[ \t]*\([ \t\r\n]*(?=[bBfFrRuU]{0,2}[\"'])")
+QUOTES = {'"', "'"}
 PLUS = re.compile(r"""[ \t]*\+[ \t]*(?=["'`A-Za-z_])""")
 REACH = 130
 SCORE = 5.0
+#: Characters that are kept of a value made of several parts: more change nothing in its score.
+SCORED = 1_024
+
+
+class Value:
+    """What a name stands for: the beginning of its text, and where its literals are, shared with the values it is made of."""
+
+    __slots__ = ("text", "span", "parts")
+
+    def __init__(self, text: str, span: tuple[int, int] | None = None, parts: tuple[Value, ...] = ()):
+        self.text, self.span, self.parts = text, span, parts
+
+
+def joined_value(parts: list[Value]) -> Value:
+    if len(parts) == 1:
+        return parts[0]
+    text = ""
+    for part in parts:
+        if len(text) < SCORED:
+            text += part.text[:SCORED]
+    return Value(text[:SCORED], parts=tuple(parts))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -48,13 +72,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def assignments(text: str) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """(target name, value, places of its literals) of every assignment whose value is known.
+def assignments(text: str) -> list[tuple[str, Value]]:
+    """(target name, value) of every assignment whose value is known.
 
     Source and configuration syntax: ``name = "x"``, ``name: x``, ``"name":
-    "x"``, ``d["name"] = 'x'``, ``name := `x` ``, ``name: str = "x"``.  A value is
-    a chain of string literals and names joined by ``+``, or one bare word; a
-    name stands for the constant last assigned to it further up.
+    "x"``, ``d["name"] = 'x'``, ``name := `x` ``, ``name: str = "x"``, strings with
+    a prefix or triple quotes, ``name = ("x" "y")``.  A value is a chain of
+    string literals and names joined by ``+``, of literals side by side, or one
+    bare word; a name stands for the constant last assigned to it further up.
+    A name inside its own chain ends the chain before it.
     """
     out, constants, done = [], {}, 0
     for op in OPERATOR.finditer(text):
@@ -64,31 +90,34 @@ def assignments(text: str) -> list[tuple[str, str, list[tuple[int, int]]]]:
         before = NAME_BEFORE.search(text[max(0, at - REACH) : at].rsplit("\n", 1)[-1])
         if not before:
             continue
-        name, value, places, end = before[1], "", [], op.end()
+        name, parts, end = before[1], [], op.end()
+        opened = OPENED.match(text, end)
+        blanks = WIDE_BLANKS if opened else BLANKS
+        end = opened.end() if opened else end
         while True:
-            begin = end
-            while text[begin : begin + 1] in (" ", "\t") and begin < len(text):
-                begin += 1
+            begin = blanks.match(text, end).end()
             if literal := STRING.match(text, begin):
                 group = literal.lastindex
-                value += literal[group]
-                places.append(literal.span(group))
+                parts.append(Value(literal[group], literal.span(group)))
                 end = literal.end()
-            elif (word := WORD.match(text, begin)) and word[0] in constants:
-                known, at_places = constants[word[0]]
-                value, places, end = value + known, places + at_places, word.end()
-            elif not places and (bare := BARE.match(text, begin)):
-                value, places, end = bare[0], [bare.span()], bare.end()
+                after = blanks.match(text, end).end()
+                if text[after : after + 1] in QUOTES:
+                    continue
+            elif (word := WORD.match(text, begin)) and word[0] in constants and word[0] != name:
+                parts.append(constants[word[0]])
+                end = word.end()
+            elif not parts and not opened and (bare := BARE.match(text, begin)):
+                parts, end = [Value(bare[0], bare.span())], bare.end()
                 break
             else:
                 break
-            plus = PLUS.match(text, end)
+            plus = PLUS.match(text, blanks.match(text, end).end())
             if not plus:
                 break
             end = plus.end()
-        if places:
-            out.append((name, value, places))
-            constants[name] = (value, places)
+        if parts:
+            constants[name] = joined_value(parts)
+            out.append((name, constants[name]))
             done = end
     return out
 
@@ -113,9 +142,20 @@ def literal_score(name: str, value: str) -> float:
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of literals whose target names make them secrets; a propagated constant is marked where it is written."""
-    places = {p for name, value, where in assignments(text) if literal_score(name, value) >= SCORE for p in where}
-    return [("literal", begin, end) for begin, end in places if end > begin]
+    """Spans of literals whose target names make them secrets; a propagated constant is marked where it is written.
+
+    Every value is gone through once, however many others it is part of.
+    """
+    found = assignments(text)
+    open_values = [value for name, value in found if literal_score(name, value.text) >= SCORE]
+    met, places = set(), set()
+    while open_values:
+        value = open_values.pop()
+        if id(value) not in met:
+            met.add(id(value))
+            places.add(value.span)
+            open_values += value.parts
+    return [("literal", *span) for span in places if span and span[1] > span[0]]
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
