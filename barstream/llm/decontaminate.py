@@ -29,7 +29,7 @@ def normalised(text: str | None) -> bytes:
 class Matcher:
     """An automaton over the windows of test items, each written as its words between single blanks."""
 
-    def __init__(self, items: Iterable[tuple[str, str]], window: int):
+    def __init__(self, items: Iterable[tuple[str | None, str]], window: int):
         import ahocorasick
 
         owners: dict[str, set[str]] = {}
@@ -37,7 +37,7 @@ class Matcher:
             words = normalised(text).split()
             n = min(window, len(words))
             for i in range(len(words) - n + 1 if n else 0):
-                owners.setdefault(spaced(words[i : i + n]), set()).add(item)
+                owners.setdefault(spaced(words[i : i + n]), set()).update(() if item is None else (item,))
         self.automaton = ahocorasick.Automaton()
         for key, found in owners.items():
             self.automaton.add_word(key, (key.count(" ") - 1, tuple(found)))
@@ -91,14 +91,15 @@ def find_items(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
     words (counted first), each as one broadcast; every further block is a
     further pass over the documents, written in between.
 
-    Null and empty texts, and items without words, have and match nothing; a
-    null item_id is no item.  Repeated documents come back as they are, repeated
+    Null and empty texts, and items without words, have and match nothing.  The
+    windows of a null item_id hit words (n_hit, spans), but name no item.
+    Repeated documents come back as they are, repeated
     items count once; an item_id with several texts has the windows of all.
     Columns of the same names in ``benchmark`` do no harm.
     """
     spark = df.sparkSession
     keep = ["doc_id"] if keep is None else keep
-    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     sized = text_rows(items, ["item"], [long("n"), string("body")], lambda: lambda t: (len(normalised(t).split()), t))
     total = sized.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
