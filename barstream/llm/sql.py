@@ -5,6 +5,15 @@ from barstream.llm import mixing, templates, urls, vectors
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Mostly fixed templates of lines at the steps of their rows, and those of them that enough documents have.
+_STAYS = f"(place <= {templates.DEPTH} OR rung >= step)"
+_TEMPLATES = f"""
+  SELECT doc_id, text, line, string_agg(CASE WHEN {_STAYS} THEN token ELSE '{templates.FIELD}' END, ' ' ORDER BY place) AS template
+  FROM {{rows}} GROUP BY doc_id, text, line, step
+  HAVING count(*) FILTER ({_STAYS} AND token <> '{templates.FIELD}') >= {templates.MIN_FIXED} * count(*)
+     AND count(*) FILTER (place > {templates.DEPTH} AND rung >= step) >= {templates.MIN_LATER} * count(*) FILTER (place > {templates.DEPTH} AND token <> '{templates.FIELD}')"""
+_OFTEN = f"SELECT template FROM {{rows}} GROUP BY template HAVING count(DISTINCT (doc_id, text)) >= {templates.MIN_DOCS}"
+
 OP1 = rf"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
@@ -23,17 +32,23 @@ whole AS (
 pairs AS (SELECT DISTINCT doc_id, text, size, lead, line FROM whole),
 parts AS (
   SELECT doc_id, text, size, lead, line, unnest(string_split(line, ' ')) AS token, generate_subscripts(string_split(line, ' '), 1) AS place FROM pairs),
-support AS (SELECT size, lead, place, token, count(*) AS n FROM parts GROUP BY ALL),
-made AS (
-  SELECT p.doc_id, p.text, p.line, p.size,
-         string_agg(CASE WHEN place <= {templates.DEPTH} OR s.n >= {templates.MIN_DOCS} THEN token ELSE '{templates.FIELD}' END, ' ' ORDER BY place) AS template,
-         sum(CASE WHEN (place <= {templates.DEPTH} OR s.n >= {templates.MIN_DOCS}) AND token <> '{templates.FIELD}' THEN 1 ELSE 0 END) AS fixed
-  FROM parts p JOIN support s USING (size, lead, place, token) GROUP BY ALL),
-often AS (
-  SELECT template FROM made WHERE fixed >= {templates.MIN_FIXED} * size
-  GROUP BY template HAVING count(DISTINCT (doc_id, text)) >= {templates.MIN_DOCS}),
-gone AS (
-  SELECT DISTINCT w.doc_id, w.text, w.n FROM whole w JOIN made m USING (doc_id, text, line) JOIN often USING (template)),
+support AS (
+  SELECT size, lead, place, token, count(*) AS n FROM parts WHERE place > {templates.DEPTH} AND token <> '{templates.FIELD}'
+  GROUP BY ALL HAVING count(*) >= {templates.MIN_DOCS}),
+ranked AS (
+  SELECT p.*, CASE WHEN s.n IS NULL THEN 0 ELSE length(bin(s.n // {templates.MIN_DOCS})) END AS rung
+  FROM parts p LEFT JOIN support s USING (size, lead, place, token)),
+first AS (SELECT *, 1 AS step FROM ranked),
+made AS ({_TEMPLATES.format(rows="first")}),
+often AS ({_OFTEN.format(rows="made")}),
+fine AS (SELECT doc_id, text, line FROM made JOIN often USING (template)),
+others AS (SELECT r.* FROM ranked r ANTI JOIN fine USING (doc_id, text, line)),
+tops AS (SELECT doc_id, text, line, max(rung) + 1 AS top FROM others GROUP BY ALL),
+steps AS (SELECT o.*, step FROM others o JOIN tops USING (doc_id, text, line), LATERAL (SELECT unnest(range(1, top + 1)) AS step)),
+coarse AS ({_TEMPLATES.format(rows="steps")}),
+again AS ({_OFTEN.format(rows="coarse")}),
+found AS (SELECT * FROM fine UNION SELECT doc_id, text, line FROM coarse JOIN again USING (template)),
+gone AS (SELECT DISTINCT w.doc_id, w.text, w.n FROM whole w JOIN found USING (doc_id, text, line)),
 kept AS (
   SELECT l.doc_id, l.text, count(*) AS n_lines, count(g.n) AS n_dropped,
          coalesce(string_agg(l.line, chr(10) ORDER BY l.n) FILTER (g.n IS NULL), '') AS stay

@@ -13,8 +13,10 @@ DEPTH = 4
 MIN_TOKENS = 3
 #: A template is dropped if so many documents have it, and a token is part of it if so many have it there.
 MIN_DOCS = 10
-#: Of a template's tokens, at least this share is fixed.
+#: Of a template's tokens, at least this share is fixed; the leading ones, which say little, are among them.
 MIN_FIXED = 0.5
+#: Of a line's later tokens that are no fields from the start, at least this share is fixed.
+MIN_LATER = 0.6
 FIELD = "<*>"
 #: Keys are broadcast up to this count (8 bytes each) and joined by shuffle beyond it.
 BROADCAST_KEYS = 500_000
@@ -40,16 +42,20 @@ def recurring_lines(df: DataFrame, **parameters) -> DataFrame:
     return lines.join(keys, "line_key").drop("line_key")
 
 
-def _generalised(line: str, places: Column, depth: int) -> Column:
-    """The template of a line: tokens beyond the leading ones and the given places (or null) become fields."""
-    fixed = F.coalesce(places, F.array().cast("array<int>"))
-    parts = F.transform(F.split(line, " "), lambda t, i: F.when((i < depth) | F.array_contains(fixed, i), t).otherwise(FIELD))
-    return F.array_join(parts, " ").alias("template")
+def _generalised(rows: DataFrame, depth: int, min_fixed: float, min_later: float) -> DataFrame:
+    """line_key, rung, template and its key, for rows of a line, its later tokens and the rung from which these are fixed.
 
-
-def _mostly_fixed(named: DataFrame, min_fixed: float) -> DataFrame:
-    share = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD)) / F.size(F.split("template", " "))
-    return named.where(share >= min_fixed).withColumn("template_key", F.xxhash64("template"))
+    Only templates that are mostly fixed: as a whole, and in their later tokens.
+    """
+    lead = F.slice(F.split("line", " "), 1, depth)
+    stays = lambda p: p["rung"] >= F.col("rung")
+    tail = F.transform("later", lambda p: F.when(stays(p), p["token"]).otherwise(FIELD))
+    kept = F.size(F.filter("later", stays))
+    words = F.size(F.filter("later", lambda p: p["token"] != FIELD))
+    fixed = F.size(F.filter(lead, lambda t: t != FIELD)) + kept
+    good = (fixed >= min_fixed * (F.size(lead) + F.size("later"))) & (kept >= min_later * words)
+    template = F.array_join(F.concat(lead, tail), " ").alias("template")
+    return rows.where(good).select("line_key", "rung", template).withColumn("template_key", F.xxhash64("template"))
 
 
 def _recurring(pairs: DataFrame, named: DataFrame, min_docs: int) -> DataFrame:
@@ -60,7 +66,7 @@ def _recurring(pairs: DataFrame, named: DataFrame, min_docs: int) -> DataFrame:
 
 
 def _grown(
-    df: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED
+    df: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED, min_later: float = MIN_LATER
 ) -> tuple[DataFrame, DataFrame]:
     """Lines (doc_id, text_hash, line_no, line_key), and (line_key, template) of those with a recurring template.
 
@@ -68,13 +74,15 @@ def _grown(
     tokens, tokens with a digit being fields.  In a leaf, the token at a later
     place stays if ``min_docs`` (document, line) pairs have it there, else the
     place becomes a field.  A template recurs if ``min_docs`` documents have it
-    and ``min_fixed`` of its tokens are fixed.
+    and it is mostly fixed: ``min_fixed`` of all its tokens, and ``min_later`` of
+    those later tokens that have no digit.  So lines that share an opening only
+    are no template, however many there are.
 
     In a large leaf the values of a field pass ``min_docs`` too.  So a line
     whose template does not recur is tried again with that count doubled, again
     and again, until all its later places are fields; such a template recurs by
-    the documents of these lines alone.  The registered SQL has only the first
-    step; the two differ where a field has values of ``min_docs`` pairs and more.
+    the documents of these lines alone, and a line takes the least count at
+    which its template does.
 
     Only leaves met by several documents go past the first pass, each distinct
     line of theirs once, so that neither a frequent line nor a frequent leaf is
@@ -93,27 +101,26 @@ def _grown(
     pairs = stored(pairs, "pairs")
     distinct = stored(pairs.groupBy("line_key", "leaf").agg(F.min("line").alias("line"), F.count("*").alias("n")), "distinct")
 
-    later = distinct.select("line_key", "leaf", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    later = later.where((F.col("place") >= depth) & (F.col("token") != FIELD))
-    support = later.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
+    later = distinct.select("line_key", "leaf", "n", F.posexplode(F.split("line", " ")).alias("place", "token")).where(F.col("place") >= depth)
+    support = later.where(F.col("token") != FIELD).groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
     rung = F.length(F.bin(F.floor(F.col("n") / min_docs).cast("long"))).alias("rung")
     fixed = stored(support.select("leaf", "place", "token", rung), "fixed")
-    places = later.join(fixed, ["leaf", "place", "token"]).groupBy("line_key", "leaf").agg(F.collect_list(F.struct("place", "rung")).alias("places"))
-    places = stored(places, "places")
-    named = distinct.join(places, ["line_key", "leaf"], "left").select("line_key", "places", _generalised("line", F.col("places.place"), depth))
-    named = stored(_mostly_fixed(named, min_fixed), "named")
+    placed = F.struct("place", "token", F.coalesce("rung", F.lit(0)).alias("rung"))
+    places = later.drop("n").join(fixed, ["leaf", "place", "token"], "left").groupBy("line_key", "leaf").agg(F.sort_array(F.collect_list(placed)).alias("later"))
+    lines_of = distinct.select("line_key", "leaf", "line").join(stored(places, "places"), ["line_key", "leaf"], "left")
+    nothing = F.array().cast("array<struct<place:int,token:string,rung:int>>")
+    lines_of = stored(lines_of.select("line_key", "line", F.coalesce("later", nothing).alias("later")), "lines-of")
 
+    named = stored(_generalised(lines_of.withColumn("rung", F.lit(1)), depth, min_fixed, min_later), "named")
     often = stored(_recurring(pairs, named, min_docs), "often")
-    fine = named.join(often, "template_key").select("line_key", "template")
-
-    left = named.join(often, "template_key", "left_anti")
-    rungs = F.col("places.rung")
-    steps = F.filter(F.array_append(F.array_distinct(rungs), F.array_max(rungs) + 1), lambda r: r > F.array_min(rungs))
-    steps = left.withColumnRenamed("template", "finest").withColumn("rung", F.explode(steps))
-    high = F.transform(F.filter("places", lambda p: p["rung"] >= F.col("rung")), lambda p: p["place"])
-    coarse = _mostly_fixed(steps.select("line_key", "rung", _generalised("finest", high, depth)), min_fixed)
-    columns = ["line_key", "rung", "template", "template_key"]
-    coarse = stored(left.withColumn("rung", F.lit(0)).select(columns).unionByName(coarse.select(columns)), "coarse")
+    fine = stored(named.join(often, "template_key").select("line_key", "template"), "fine")
+
+    # a line's template changes where a fixed token of it becomes a field
+    left = lines_of.join(fine.select("line_key"), "line_key", "left_anti")
+    rungs = F.array_distinct(F.transform("later", lambda p: p["rung"]))
+    steps = F.filter(F.array_append(rungs, F.array_max(rungs) + 1), lambda r: r > 0)
+    steps = left.where(F.size("later") > 0).withColumn("rung", F.explode(steps))
+    coarse = stored(_generalised(steps, depth, min_fixed, min_later), "coarse")
     again = stored(_recurring(pairs, coarse, min_docs), "again")
     coarse = coarse.join(again, "template_key").groupBy("line_key").agg(F.min_by("template", "rung").alias("template"))
     keys = stored(fine.unionByName(coarse), "keys")

@@ -126,7 +126,7 @@ def address(url):
     return lower(host), re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
 
 
-def templates(rows, depth, min_tokens, min_docs, min_fixed):
+def templates(rows, depth, min_tokens, min_docs, min_fixed, min_later=0.6):
     """{(doc_id, text): numbers of the lines that go}, by the tree's definition."""
     lines = {}
     for doc in set(rows):
@@ -136,15 +136,29 @@ def templates(rows, depth, min_tokens, min_docs, min_fixed):
                 lines[doc, n] = tokens
     leaf = lambda t: (len(t), t[:depth])
     pairs = {(doc, tokens) for (doc, _), tokens in lines.items()}
-    support = Counter((leaf(t), i, w) for _, t in pairs for i, w in enumerate(t))
-    made = {t: tuple(w if i < depth or support[leaf(t), i, w] >= min_docs else "<*>" for i, w in enumerate(t)) for _, t in pairs}
-    docs = Counter(made[t] for _, t in {(doc, t) for doc, t in pairs})
-    of = {}
-    for doc, t in pairs:
-        of.setdefault(made[t], set()).add(doc)
-    good = {m for m in docs if len(of[m]) >= min_docs and sum(w != "<*>" for w in m) >= min_fixed * len(m)}
+    support = Counter((leaf(t), i, w) for _, t in pairs for i, w in enumerate(t) if i >= depth and w != "<*>")
+    rung = lambda t, i: (support[leaf(t), i, t[i]] // min_docs).bit_length()
+
+    def at(t, step):
+        """The template of a line at a step; None if it is not mostly fixed."""
+        made = tuple(w if i < depth or rung(t, i) >= step else "<*>" for i, w in enumerate(t))
+        kept = sum(w != "<*>" for w in made[depth:])
+        fixed = kept + sum(w != "<*>" for w in made[:depth])
+        return made if fixed >= min_fixed * len(t) and kept >= min_later * sum(w != "<*>" for w in t[depth:]) else None
+
+    def recurring(found):
+        """Of {(doc, tokens): templates}, the pairs with a template that enough documents have."""
+        docs = {}
+        for (doc, _), made in found.items():
+            for m in made - {None}:
+                docs.setdefault(m, set()).add(doc)
+        return {p for p, made in found.items() if any(len(docs[m]) >= min_docs for m in made - {None})}
+
+    fine = recurring({(doc, t): {at(t, 1)} for doc, t in pairs})
+    top = lambda t: max([rung(t, i) for i in range(depth, len(t))], default=0) + 1
+    good = fine | recurring({(doc, t): {at(t, step) for step in range(1, top(t) + 1)} for doc, t in pairs - fine})
     out = {}
     for (doc, n), t in lines.items():
-        if made[t] in good:
+        if (doc, t) in good:
             out.setdefault(doc, set()).add(n)
     return out

@@ -111,7 +111,8 @@ def test_op9_budget(spark, documents):
 
 @pytest.mark.parametrize("name", sorted(queries.Q))
 def test_whole_tables(spark, name):
-    table, key = ("pages", "page_id") if name == "op10_url_filter" else ("documents", "doc_id")
+    others = {"op10_url_filter": ("pages", "page_id"), "op11_product_codes": ("embeddings", "vec_id"), "op13_clusters": ("embeddings", "vec_id")}
+    table, key = others.get(name, ("documents", "doc_id"))
     want = spark.read.parquet(f"{plain.SF}/{table}.parquet").select(key)
     got = queries.Q[name](spark, plain.SF).select(key)
     assert sorted(got.toPandas()[key]) == sorted(want.toPandas()[key])

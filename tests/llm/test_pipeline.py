@@ -64,3 +64,19 @@ def test_odd_rows(spark, documents):
         after = stage(spark, odd, plain.SF)
         assert after.columns == odd.columns and after.count() >= 0
         assert stage(spark, odd.limit(0), plain.SF).count() == 0
+
+
+def test_quality_without_labels(spark, documents, tmp_path):
+    """No labels: no rule is learned, and every document stays."""
+    spark.read.parquet(f"{plain.SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.quality(spark, documents, str(tmp_path)).count() == documents.count()
+
+
+def test_near_duplicates_of_equal_rows(spark):
+    """Equal rows go but for one, also without a doc_id; a column's name may have a dot."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, 0), (1, text, 0), (None, text, 0), (None, text, 0), (2, text, 0), (3, None, 0), (3, None, 0), (4, "other words", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int")
+    after = corpus_pipeline.near_duplicates(spark, docs, plain.SF)
+    assert after.columns == docs.columns
+    assert sorted(pairs(after), key=repr) == sorted([(1, text), (None, text), (3, None), (4, "other words")], key=repr)
