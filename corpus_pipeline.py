@@ -20,6 +20,10 @@ VOCABULARY, END_ID = "word_bpe_49k.json", 2
 BATCH_ROWS = 1_000
 
 
+#: Words and pieces whose ids a worker of the last stage keeps: fewer than by default, as it has run the other stages too.
+REMEMBERED = (150_000, 80_000)
+
+
 def _staged(stage):
     """A stage under the pipeline's setting for batches."""
 
@@ -36,10 +40,21 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), "doc_id", "text")
 
 
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 @_staged
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from all labels."""
+    """Documents that the quality classifier accepts; it learns from all labels.
+
+    Where it has learned no rule (no labels, none of these documents, or of one
+    class only) all documents stay.  Null and empty texts are judged by their
+    statistics, all 0; repeated rows alike; an empty table stays empty.
+    """
     model = rules.fit(docs, read(spark, sf_dir, "labels"))
+    if not model.rules:
+        return docs
     return rules.text_statistics(_packed(docs), ["row"]).where(model.score() >= QUALITY).select("row.*")
 
 
@@ -47,30 +62,46 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, a similarity of 0.8.
 
-    Rows that share a doc_id stay or go together; rows without one stay.
+    Rows that agree in every column go but for one.  Other rows that share a
+    doc_id stay or go together; those without a doc_id stay, as do null and
+    empty texts, which have no words in common with anything.
     """
     gone = stored(minhash.near_duplicates(docs, words=5, percent=80).where("NOT kept").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    columns = _columns(docs)
+    rows = docs.join(gone, "doc_id", "left_anti").select(columns).withColumn("__row", F.xxhash64(*columns))
+    again = stored(rows.groupBy("__row").count().where("count > 1").select("__row"), "again")
+    once = rows.join(again, "__row", "left_anti").select(columns)
+    return once.unionByName(rows.join(again, "__row", "left_semi").select(columns).distinct())
 
 
 @_staged
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
+    """Documents without any passage of a benchmark item, items without an id among them.
+
+    Null and empty texts stay; rows are judged one by one.
+    """
     found = decontaminate.find_items(_packed(docs), read(spark, sf_dir, "benchmark"), keep=["row"])
     return found.where("n_hit = 0").select("row.*")
 
 
 @_staged
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: documents of large ones may go, of small ones recur."""
+    """Sources at their target weights: documents of large ones may go, of small ones recur.
+
+    A null source is a source of its own; documents of no tokens, and sources
+    of such documents alone, come once.
+    """
     return mixing.realised(docs)
 
 
 @_staged
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids written as directly addressable codes, and what the files hold of each document."""
+    """Token ids written as directly addressable codes, and what the files hold of each document.
+
+    Null and empty texts are their end id alone; repeated rows each have their own ids.
+    """
     folder = work_folder(spark, "tokens")
-    dac.write_tokens(docs, folder, vocabulary_path(VOCABULARY), END_ID)
+    dac.write_tokens(docs, folder, vocabulary_path(VOCABULARY), END_ID, remembered=REMEMBERED)
     return dac.read_documents(spark, folder)
 
 
