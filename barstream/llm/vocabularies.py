@@ -9,7 +9,7 @@ from itertools import chain
 import numpy as np
 
 #: Most words and most pieces of words in a generation of what a table of the second kind remembers.
-WORDS, PIECES = 250_000, 150_000
+WORDS, PIECES = 450_000, 200_000
 
 
 class TokenTable(dict):
