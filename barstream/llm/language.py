@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barstream.llm.common import double, per_process, stored, string, text_rows
 
-WORD = re.compile(r"[^\W\d_]+")
+# A letter, then letters and the marks that belong to them; numerals such as "½" or "Ⅷ" are no letters.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDERS = (5, 4, 3, 2, 1)
 #: Most words, and most n-grams of each order, that a model keeps of each language: it bounds what is broadcast.
 VOCABULARY, GRAMS = 40_000, 20_000
@@ -27,7 +28,7 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in lower case."""
+    """Runs of letters with their marks, in lower case."""
     return WORD.findall((text or "").lower())
 
 
@@ -99,39 +100,66 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 class Model:
-    """Log frequencies per language of known words and n-grams."""
+    """Log frequencies per language of known words and n-grams.
 
-    def __init__(self, langs: list[str], rows: dict[int, dict[str, int]], logs: np.ndarray, prior: np.ndarray):
-        """``rows[0]`` numbers the words, ``rows[k]`` the n-grams of order k, by their rows in ``logs``."""
-        self.langs, self.rows, self.logs, self.prior = langs, rows, logs, prior
+    Only what a language has seen of a term is kept: a term that it has not
+    seen weighs the same for all terms of one order (``unseen``), and one seen
+    n times weighs log(1 + n / SMOOTHING) more.  The model thus grows with the
+    counts it was given, not with terms times languages.
+    """
+
+    def __init__(self, langs, rows, unseen, ends, seen_by, gains, prior):
+        """``rows[0]`` numbers the words, ``rows[k]`` the n-grams of order k; row r's gains are those from ``ends[r]`` to ``ends[r + 1]``."""
+        self.langs, self.rows, self.unseen, self.prior = langs, rows, unseen, prior
+        self.ends, self.seen_by, self.gains = ends, seen_by, gains
 
     @classmethod
-    def of_counts(cls, tables: dict[int, list[tuple[str, dict[str, int]]]], totals: dict[int, dict[str, int]]) -> Model:
-        """From the kept terms' counts by language and all counts per language, by order (0: words)."""
-        langs, rows, blocks, at = sorted(totals[0]), {}, [], 0
-        for order, terms in sorted(tables.items()):
-            rows[order] = {term: at + i for i, (term, _) in enumerate(terms)}
-            counts = np.array([[by.get(lang, 0) for lang in langs] for _, by in terms], np.float64).reshape(len(terms), len(langs))
-            total = np.array([totals[order].get(lang, 0) for lang in langs], np.float64)
-            blocks.append(np.log((counts + SMOOTHING) / (total + SMOOTHING * (len(terms) + 1))))
+    def of_counts(cls, tables: dict[int, pa.Table], totals: dict[int, dict[str, int]]) -> Model:
+        """From the kept terms (term, langs, counts) and all counts per language, by order (0: words)."""
+        langs, rows, unseen, at = sorted(totals[0]), {}, {}, 0
+        place = {lang: i for i, lang in enumerate(langs)}
+        sizes, seen_by, gains = [np.zeros(1, np.int64)], [], []
+        for order, table in sorted(tables.items()):
+            terms = table.column("term").to_pylist()
+            rows[order] = {term: at + i for i, term in enumerate(terms)}
             at += len(terms)
+            total = np.array([totals[order].get(lang, 0) for lang in langs], np.float64)
+            unseen[order] = np.log(SMOOTHING / (total + SMOOTHING * (len(terms) + 1)))
+            for chunk in table.to_batches():
+                names = chunk.column("langs").flatten().dictionary_encode()
+                numbers = np.array([place[x] for x in names.dictionary.to_pylist()], np.int32)
+                seen_by.append(numbers[names.indices.to_numpy()])
+                gains.append(np.log1p(chunk.column("counts").flatten().to_numpy() / SMOOTHING))
+                sizes.append(chunk.column("langs").value_lengths().to_numpy().astype(np.int64))
         prior = np.array([totals[0][lang] for lang in langs], np.float64)
-        return cls(langs, rows, np.concatenate(blocks), prior)
+        seen_by, gains = np.concatenate([np.zeros(0, np.int32), *seen_by]), np.concatenate([np.zeros(0), *gains])
+        return cls(langs, rows, unseen, np.cumsum(np.concatenate(sizes)), seen_by, gains, prior)
 
     def state(self) -> tuple:
-        return self.langs, self.rows, self.logs, self.prior
+        return self.langs, self.rows, self.unseen, self.ends, self.seen_by, self.gains, self.prior
+
+    def _score(self, at: list[int], weights: list[float], by_order: Counter) -> np.ndarray:
+        at, weights = np.array(at), np.array(weights, np.float64)
+        begin = self.ends[at]
+        size = self.ends[at + 1] - begin
+        first = np.cumsum(size) - size
+        inside = np.arange(size.sum()) + np.repeat(begin - first, size)
+        gain = self.gains[inside] * np.repeat(weights, size)
+        score = np.bincount(self.seen_by[inside], gain, len(self.langs))
+        return score + sum(weight * self.unseen[order] for order, weight in sorted(by_order.items()))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the posterior; "und" and 0 without letters."""
         words = Counter(words_of(text))
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        known, at, weights = self.rows[0], [], []
+        known, at, weights, by_order = self.rows[0], [], [], Counter()
         for word, n in words.items():
             row = known.get(word)
             if row is not None:
                 at.append(row)
                 weights.append(n)
+                by_order[0] += n
                 continue
             weight = float(n)
             for order in ORDERS:
@@ -141,10 +169,11 @@ class Model:
                 if hits:
                     at += hits
                     weights += [weight / len(hits)] * len(hits)
+                    by_order[order] += weight
                     break
         if not at:
             return self.langs[int(self.prior.argmax())], 1.0 / len(self.langs)
-        score = np.array(weights) @ self.logs[at]
+        score = self._score(at, weights, by_order)
         share = np.exp(score - score.max())
         best = int(score.argmax())
         return self.langs[best], float(share[best] / share.sum())
@@ -163,7 +192,7 @@ def fit(df: DataFrame, vocabulary: int = VOCABULARY, grams: int = GRAMS) -> Mode
         counts = words if order == 0 else stored(gram_counts(words, order), "grams")
         totals[order] = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         top = most_frequent(counts, grams if order else vocabulary)
-        tables[order] = [(r["term"], r["by_lang"]) for r in top.select("term", "by_lang").orderBy("term").collect()]
+        tables[order] = top.select("term", F.map_keys("by_lang").alias("langs"), F.map_values("by_lang").alias("counts")).orderBy("term").toArrow()
     return Model.of_counts(tables, totals)
 
 

@@ -70,8 +70,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
 
     Null and empty texts have no set: they are linked with nothing and kept.
     Rows without doc_id get no component_id and are kept.  Rows that share a
-    doc_id are one document for linking; each comes back.  Other columns are
-    not read.
+    doc_id are one document for linking: whatever one of them is linked with,
+    all are; each comes back.  Other columns are not read.
     """
     rows = stored(sketches(df, words), "sketches")
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -90,7 +90,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
 
     union = F.col("n_rep") + F.col("n_hub") - F.col("inter")
     links = spokes.where(100 * F.col("inter") >= percent * union).select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    links = stored(links, "links")
+    links = stored(links.union(_same_document(known, classes)), "links")
     joined = stored(connected_components(links), "joined")
     more = stored(_links_within(spokes, joined, sets, percent), "links")
     joined = stored(connected_components(links.union(more)), "joined")
@@ -104,6 +104,15 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     return back.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
+def _same_document(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of different texts that share a doc_id: each to the one of the least rep."""
+    texts = known.select("doc_id", "set_key").distinct()
+    several = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    met = stored(texts.join(several, "doc_id", "left_semi").join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep"), "shared-ids")
+    least = met.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return met.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
+
+
 def _similarity(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(hub, rep, inter, n_rep, n_hub): sizes of whole sets and of what they share."""
     left = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("of_hub"))
