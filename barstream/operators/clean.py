@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +54,61 @@ def parse_news(df: DataFrame, keep: tuple[str, ...] = (), ntz: bool = False) ->
     return parsed.withColumn("publish_time", parse_time("publish_time", ntz=ntz))
 
 
+def sort_messages(df: DataFrame, schema: T.StructType = PRICE_MESSAGE, time: str = "trade_time") -> DataFrame:
+    """Messages with ``reason``: why a message cannot be used, NULL if it can.
+
+    ``value`` stays as it came, beside the other columns, so that rejects can
+    be stored and sent again.  The first that holds of: ``empty`` (NULL or
+    blank), ``malformed`` (no JSON), ``no_object``, ``missing`` (a key or the
+    time is absent or null), ``mistyped`` (a field of another kind than the
+    schema's; numbers may come as text of a number, keys and times only as
+    text), ``bad_time``.  JSON is parsed once, as a VARIANT.
+    """
+    text, data = F.col("value").cast("string"), F.col("_data")
+    get = lambda name, kind: F.try_variant_get(data, f"$.{name}", kind)
+    numbers = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    # one step each, so that what is used more than once is worked out once
+    parsed = df.withColumn("_data", F.try_parse_json(text))
+    parsed = parsed.withColumns(
+        {f"_kind_{f.name}": F.schema_of_variant(get(f.name, "variant")) for f in schema.fields}
+        | {f"_number_{f.name}": get(f.name, f.dataType.simpleString()) for f in numbers}
+    )
+    # a field's kind is NULL if it is absent and VOID if it is null
+    there = lambda name: F.coalesce(F.col(f"_kind_{name}") != "VOID", F.lit(False))
+    wrong_text = [there(f.name) & (F.col(f"_kind_{f.name}") != "STRING") for f in schema.fields if f not in numbers]
+    wrong_number = [there(f.name) & ((F.col(f"_kind_{f.name}") == "BOOLEAN") | F.col(f"_number_{f.name}").isNull()) for f in numbers]
+    reason = (
+        F.when(text.isNull() | (F.trim(text) == ""), "empty")
+        .when(data.isNull(), "malformed")
+        .when(~F.schema_of_variant(data).startswith("OBJECT"), "no_object")
+        .when(~there("symbol") | ~there(time), "missing")
+        .when(reduce(or_, wrong_text + wrong_number), "mistyped")
+        .when(parse_time(get(time, "string")).isNull(), "bad_time")
+    )
+    return parsed.withColumn("reason", reason).select(*[F.col(f"`{c}`") for c in df.columns], "reason")
+
+
+USABLE = "usable"
+
+
+def quarantine(df: DataFrame, path: str, **options) -> DataFrame:
+    """Messages sorted into a folder per reason below ``path``; returns those that can be used.
+
+    For a batch, or a stream's micro-batch inside ``foreachBatch``.  A message
+    is parsed once and nothing is shuffled; usable ones lie in the folder
+    ``reason=usable``, so a later reader of either kind lists only its own.
+    """
+    reason = F.coalesce("reason", F.lit(USABLE))
+    sort_messages(df, **options).withColumn("reason", reason).write.mode("overwrite").partitionBy("reason").parquet(path)
+    return read_sorted(df.sparkSession, path, df.schema).where(F.col("reason") == USABLE).drop("reason")
+
+
+def read_sorted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All messages that ``quarantine`` has sorted, of the given columns, with their reason."""
+    whole = T.StructType([*schema.fields, T.StructField("reason", T.StringType())])
+    return spark.read.schema(whole).parquet(path)
+
+
 def dedup_first(df: DataFrame, keys: tuple[str, ...] = KEYS, arrival: str | None = None) -> DataFrame:
     """One row per key: the first by ``arrival``, then by content."""
     rest = [c for c in df.columns if c not in keys and c != arrival]

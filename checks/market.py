@@ -8,10 +8,13 @@ from barstream.functions.columns import iso_text, parse_time
 from barstream.operators import bars as B
 from barstream.operators import dashboard as D
 from barstream.operators import indicators as I
-from barstream.operators.clean import clean_prices, parse_prices
+from barstream.operators.clean import clean_prices, parse_prices, quarantine, read_sorted
+from barstream.operators.incremental import State, advance
 from barstream.operators.slicing import order_table
 from barstream.sources import normalize as N
+from barstream.sources import serving
 from barstream.sources.tables import read_table, overwrite_table, register_views, sql_indicators, to_messages, work_dir
+from barstream.sources.watchlist import STOCKS, watchlist
 from checks import fixtures as X
 from checks import sql as S
 
@@ -389,3 +392,85 @@ def history_range(spark, sf_dir):
 def ingest_counts(spark, sf_dir):
     e = X.table(spark, sf_dir, "events")
     return N.ingest_counts(e.select(F.col("user_id").cast("string").alias("symbol"), F.col("event_type").alias("data_type")))
+
+
+@query(
+    "incremental_indicators",
+    f"SELECT * FROM ({O['sma']})" + "".join(f" JOIN ({O[name]}) USING (symbol, trade_time)" for name in ("ema", "macd", "rsi", "boll")),
+)
+def incremental_indicators(spark, sf_dir):
+    """The history, its stored state, and the last day appended: equal to the full recompute."""
+    prices = X.ticks(spark, sf_dir).select("symbol", "trade_time", "close", "volume")
+    last = F.lit(prices.agg(F.max(F.to_date("trade_time"))).first()[0])
+    path = work_dir(spark, "incremental")
+    history, state = advance(prices.where(F.to_date("trade_time") < last))
+    overwrite_table(history, f"{path}/history")
+    state.save(f"{path}/state")
+    day, _ = advance(prices.where(F.to_date("trade_time") >= last), State.load(spark, f"{path}/state"))
+    return X.rounded(read_table(spark, f"{path}/history").unionByName(day))
+
+
+@query(
+    "bars_served",
+    f"""WITH {S.BARS} SELECT stock_code, start_time, open_price, high_price, low_price, close_price, volume,
+      strftime(start_time, '%Y-%m') AS run_id FROM bars""",
+)
+def bars_served(spark, sf_dir):
+    """Bars added to the serving table month by month; every month is sent twice."""
+    bars = B.daily_bars(X.ticks(spark, sf_dir)).drop("end_time").withColumn("month", F.date_format("start_time", "yyyy-MM"))
+    path = work_dir(spark, "served")
+    stored = f"{path}/bars"
+    overwrite_table(bars, stored, partition_by="month")
+    schema = bars.drop("month").schema
+    source = spark.read.schema(bars.schema).parquet(stored)
+    for month in sorted(r["month"] for r in source.select("month").distinct().collect()):
+        rows = source.where(F.col("month") == month).drop("month")
+        serving.add_run(rows, f"{path}/served", month)
+        serving.add_run(rows, f"{path}/served", month)
+    return serving.read_runs(spark, f"{path}/served", schema)
+
+
+@query(
+    "quarantine_counts",
+    f"""WITH {S.TICKS} SELECT CASE arrival % 16 WHEN 0 THEN 'empty' WHEN 1 THEN 'empty' WHEN 2 THEN 'malformed'
+      WHEN 3 THEN 'no_object' WHEN 4 THEN 'missing' WHEN 5 THEN 'mistyped' WHEN 6 THEN 'bad_time' ELSE 'usable' END AS reason,
+      count(*) AS n, CAST(sum(arrival) AS BIGINT) AS arrivals FROM ticks GROUP BY 1""",
+)
+def quarantine_counts(spark, sf_dir):
+    """Messages of which some are broken: how many there are of each kind."""
+    arrival = F.col("event_id").alias("arrival")
+    whole = X.ticks(spark, sf_dir, arrival).withColumn("trade_time", F.date_format("trade_time", "yyyy-MM-dd HH:mm:ss"))
+    kind, fields = F.col("arrival") % 16, F.struct(*X.TICK)
+    text = lambda changed: F.to_json(changed)
+    value = (
+        F.when(kind == 1, "  ")
+        .when(kind == 2, F.expr("substring(to_json(struct(symbol, trade_time)), 1, length(to_json(struct(symbol, trade_time))) - 1)"))
+        .when(kind == 3, F.to_json(F.array("close", "open")))
+        .when(kind == 4, text(fields.dropFields("symbol")))
+        .when(kind == 5, text(fields.withField("close", F.lit("n/a"))))
+        .when(kind == 6, text(fields.withField("trade_time", F.substring("trade_time", 12, 8))))
+        .when(kind > 6, text(fields))
+    )
+    messages = whole.select("arrival", value.alias("value"))
+    path = work_dir(spark, "messages")
+    quarantine(messages, path)
+    sorted_out = read_sorted(spark, path, messages.schema)
+    return sorted_out.groupBy("reason").agg(F.count("*").alias("n"), F.sum("arrival").alias("arrivals"))
+
+
+WATCHED = ", ".join(f"('{code}', '{name}')" for code, name in STOCKS)
+
+
+@query(
+    "watchlist_prices",
+    f"""WITH {S.TICKS}, watched(code, name) AS (VALUES {WATCHED})
+    SELECT code, CASE WHEN code[1] IN ('5', '6', '9') THEN 'sh.' WHEN code[1] IN ('4', '8') THEN 'bj.' ELSE 'sz.' END || code AS baostock_code,
+      name, count(symbol) AS n, arg_max(close, trade_time) AS last_close
+    FROM watched LEFT JOIN ticks ON lpad(symbol, 6, '0') = code GROUP BY code, name""",
+)
+def watchlist_prices(spark, sf_dir):
+    """Every watched stock with the number of its prices and the last of them; symbols are codes without leading zeros."""
+    prices = X.ticks(spark, sf_dir).groupBy(F.lpad("symbol", 6, "0").alias("code")).agg(
+        F.count("*").alias("n"), F.max_by("close", "trade_time").alias("last_close")
+    )
+    return watchlist(spark).join(prices, "code", "left").fillna({"n": 0})
