@@ -18,6 +18,7 @@ VOCABULARY, END_ID = "word_bpe_49k.json", 2
 
 #: Rows of the batches that go to Python, in place of Spark's 10,000: whole texts are long.
 BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 #: Words and pieces whose ids a worker of the last stage keeps: fewer than by default, as it has run the other stages too.
@@ -25,12 +26,16 @@ REMEMBERED = (150_000, 80_000)
 
 
 def _staged(stage):
-    """A stage under the pipeline's setting for batches."""
+    """A stage whose rows are written under the pipeline's setting for batches; the session's own comes back after it."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        return stage(spark, docs, sf_dir)
+        before = spark.conf.get(BATCH_SETTING)
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+        try:
+            return stored(stage(spark, docs, sf_dir), stage.__name__)
+        finally:
+            spark.conf.set(BATCH_SETTING, before)
 
     return run_stage
 
@@ -120,9 +125,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written before the next one reads it."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs
 
 
 Q, O = {"pipeline": run}, {}  # noqa: E741

@@ -80,3 +80,9 @@ def test_near_duplicates_of_equal_rows(spark):
     after = corpus_pipeline.near_duplicates(spark, docs, plain.SF)
     assert after.columns == docs.columns
     assert sorted(pairs(after), key=repr) == sorted([(1, text), (None, text), (3, None), (4, "other words")], key=repr)
+
+
+def test_session_settings_come_back(spark, documents):
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    corpus_pipeline.mixed(spark, documents, plain.SF)
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == before
