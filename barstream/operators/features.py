@@ -37,17 +37,25 @@ def drop_incomplete(df: DataFrame, columns: list[str] | tuple[str, ...]) -> Data
 
 def training_frame(
     prices: DataFrame | None,
-    indicators: DataFrame,
+    indicators: DataFrame | Ordered,
     horizon: int = 5,
     drop_unlabelled: bool = False,
     rows_per_part: int | None = None,
 ) -> DataFrame:
     """Keys, features and label; the rows are put in order and stored for it (see order_table).
 
+    Indicators that are an ordered table of their own (``ordered_indicators``)
+    are labelled as they lie; they take no prices beside them.
+
     Prices and indicators are joined on symbol and time; keys that occur twice
     multiply.  Indicators already hold close and volume, so ``prices=None``
     gives the same rows without the join when they come from the same prices.
     """
+    if isinstance(indicators, Ordered):
+        if prices is not None:
+            raise ValueError("ordered indicators hold the prices already")
+        labelled = label_direction(indicators, horizon, drop_unlabelled)
+        return drop_incomplete(labelled.select(*KEYS, *FEATURES, "label"), (*FEATURES, "label"))
     if prices is None:
         joined = indicators.select(*KEYS, *FEATURES)
     else:

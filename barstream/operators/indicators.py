@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from barstream.functions.columns import ratio
 from barstream.operators.ranking import latest_per_key
 from barstream.operators.recurrence import Smooth, smooth
-from barstream.operators.slicing import Ordered, windowed
+from barstream.operators.slicing import Ordered, extended, windowed
 
 KEY, TIME = "symbol", "trade_time"
 SPANS = (5, 10, 20)
@@ -33,8 +33,16 @@ def sma(
 
     Early rows average what exists.  All spans share one exchange and sort.
     """
-    build = lambda w: {f"sma_{n}": F.avg(column).over(w.rowsBetween(1 - n, 0)) for n in spans}
-    return windowed(df, build, key, order, before=max(spans) - 1)
+    return windowed(df, _means(spans, column), key, order, before=max(spans) - 1)
+
+
+def _means(spans: tuple[int, ...], column: str):
+    return lambda w: {f"sma_{n}": F.avg(column).over(w.rowsBetween(1 - n, 0)) for n in spans}
+
+
+def ordered_indicators(prices: Ordered) -> Ordered:
+    """The ordered prices with their three SMAs, stored in order for what is computed from them (the label)."""
+    return extended(prices, _means(SPANS, "close"), before=max(SPANS) - 1)
 
 
 def newest_indicators(prices: DataFrame) -> DataFrame:

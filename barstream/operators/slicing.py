@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -67,6 +67,13 @@ def _part_of(row: str) -> Column:
     return F.shiftright(row, 33).cast("int")
 
 
+def _store_parts(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows that lie in their part's task, stored in buckets by part and read back."""
+    spark, name = rows.sparkSession, f"ordered_{uuid.uuid4().hex}"
+    rows.write.bucketBy(parts, "_slice").option("path", work_dir(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def order_table(df: DataFrame, key: str, order: str | list[str], rows_per_part: int | None = None) -> Ordered:
     """Sort a table into parts of about ``rows_per_part`` rows and store it; once for all operators on it.
 
@@ -84,9 +91,7 @@ def order_table(df: DataFrame, key: str, order: str | list[str], rows_per_part:
     placed = ties.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_tie", "_from")
     numbered = placed.withColumn("_row", F.monotonically_increasing_id())  # the part, then the place in it
     numbered = numbered.withColumn("_slice", _part_of("_row"))
-    name = f"ordered_{uuid.uuid4().hex}"
-    numbered.write.bucketBy(parts, "_slice").option("path", work_dir(spark, name)).saveAsTable(name)
-    rows = spark.table(name)
+    rows = _store_parts(numbered, parts)
 
     per = rows.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_at")).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
     per = per.withColumn("_of", F.count("*").over(Window.partitionBy("_key"))).where("_of > 1").drop("_of")
@@ -142,6 +147,20 @@ def windowed(
     if not isinstance(df, Ordered):
         order = [order] if isinstance(order, str) else list(order)
         return df.withColumns(build(Window.partitionBy(key).orderBy(*order)))
+    return _with_windows(df, build, before, after).drop("_slice", "_row")
+
+
+def extended(table: Ordered, build: Callable[[WindowSpec], dict[str, Column]], before: int = 0, after: int = 0) -> Ordered:
+    """An ordered table with window columns added (see windowed), stored in the same parts.
+
+    What works on the result finds its rows in order already: neither the
+    table's count nor its shuffle by ranges is done again.
+    """
+    return replace(table, rows=_store_parts(_with_windows(table, build, before, after), table.parts))
+
+
+def _with_windows(df: Ordered, build: Callable[[WindowSpec], dict[str, Column]], before: int, after: int) -> DataFrame:
+    """The rows of an ordered table with their places and window columns."""
     rows = df.rows
     for reach, forward in ((before, True), (after, False)):
         if reach:
@@ -149,7 +168,7 @@ def windowed(
     window = Window.partitionBy("_slice", df.key).orderBy("_row")
     # a copied row's place lies in another part; null-safe, as a filter below the union would hide the buckets
     own = _part_of("_row").eqNullSafe(F.col("_slice"))
-    return rows.withColumns(build(window)).where(own).drop("_slice", "_row")
+    return rows.withColumns(build(window)).where(own)
 
 
 def running_totals(df: DataFrame | Ordered, columns: list[str], key: str, order: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barstream.functions.columns import strip_blank
+from barstream.operators.skew import hot_key_join
 
 # Neutral score, shortest scored text, characters that the title job reads.
 NEUTRAL = 0.5
@@ -19,7 +20,6 @@ TITLE_CHARS = 300
 # A token is one Chinese character or a run of other letters.
 TOKEN = r"[\p{L}&&[^\p{IsHan}]]+|\p{IsHan}"
 BROADCAST_ROWS = 500_000
-SALTS = 32
 
 
 def tokens(text: Column | str) -> Column:
@@ -68,12 +68,10 @@ def _model_scorer(model: DataFrame):
     return total
 
 
-def _salted_sums(texts: DataFrame, model: DataFrame) -> DataFrame:
-    """Sum of llr per text (``_text``, its digest) by a shuffle join, frequent tokens spread over salts."""
+def _joined_sums(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """Sum of llr per text (``_text``, its digest) by a join; frequent tokens are looked up where the text lies."""
     words = texts.dropDuplicates(["_text"]).select("_text", F.explode("_tokens").alias("token"))
-    spread = words.withColumn("_salt", F.pmod(F.xxhash64("_text"), F.lit(SALTS)).cast("int"))
-    salted = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(salted, ["token", "_salt"]).groupBy("_text").agg(F.sum("llr").alias("_sum"))
+    return hot_key_join(words, model, "token").groupBy("_text").agg(F.sum("llr").alias("_sum"))
 
 
 def sentiment_scorer(
@@ -88,8 +86,8 @@ def sentiment_scorer(
     ``model`` is a stored (token, llr) table.  A vocabulary grows with the
     data, so it is counted first: up to ``broadcast_rows`` tokens are
     broadcast, once for all frames that are scored, and texts are scored where
-    they lie.  A larger one is joined by token, each distinct text once.  Either
-    way a text has the same score.
+    they lie.  A larger one is joined by token, each distinct text once, frequent
+    tokens without a shuffle.  Either way a text has the same score.
     """
     read = F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
     worth = F.length(strip_blank(text)) >= MIN_CHARS
@@ -101,7 +99,7 @@ def sentiment_scorer(
 
     def joined(df: DataFrame) -> DataFrame:
         marked = df.withColumn("_text", F.sha2(text, 256))
-        sums = _salted_sums(marked.where("_text IS NOT NULL").select("_text", scored.alias("_tokens")), model)
+        sums = _joined_sums(marked.where("_text IS NOT NULL").select("_text", scored.alias("_tokens")), model)
         return marked.join(sums, "_text", "left").withColumn(output, score).drop("_text", "_sum")
 
     return joined

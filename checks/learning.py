@@ -9,12 +9,13 @@ from barstream.operators import contacts as C
 from barstream.operators import features as FE
 from barstream.operators import metrics as M
 from barstream.operators import tabular as T
-from barstream.operators.indicators import indicator_table
+from barstream.operators.indicators import indicator_table, ordered_indicators
 from barstream.operators.neighbors import knn as nearest
 from barstream.operators.slicing import order_table
 from barstream.operators.text import fit_sentiment, sentiment_score
 from barstream.plans import learners as L
 from barstream.plans.study import study
+from barstream.sources.colocated import store_colocated
 from barstream.sources.tables import overwrite_table, read_table, work_dir
 from checks import fixtures as X
 from checks import sql as S
@@ -63,6 +64,20 @@ def training_frame_one_input(spark, sf_dir):
     return X.rounded(direction_frame(spark, sf_dir, joined=False))
 
 
+@query("training_frame_ordered", f"WITH {LABELLED} SELECT {FRAME_COLUMNS} FROM frame")
+def training_frame_ordered(spark, sf_dir):
+    """Indicators and label from one stored order of the prices."""
+    return X.rounded(FE.training_frame(None, ordered_indicators(_ordered(X.ticks(spark, sf_dir)))))
+
+
+@query("training_frame_colocated", f"WITH {LABELLED} SELECT {FRAME_COLUMNS} FROM frame")
+def training_frame_colocated(spark, sf_dir):
+    """Prices and indicators stored by (symbol, time) and joined without an exchange."""
+    prices, buckets = X.ticks(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = lambda df, name: store_colocated(df, work_dir(spark, name), list(FE.KEYS), buckets)
+    return X.rounded(FE.training_frame(store(prices, "prices"), store(indicator_table(_ordered(prices)), "indicators")))
+
+
 @query("split", f"WITH {S.tab_class()} SELECT *, {S.digest(S.LINE_KEY)} < 0.2 * 4294967296 AS is_test FROM tab")
 def split(spark, sf_dir):
     return FE.mark_split(X.tab_class(spark, sf_dir), X.LINE_KEYS)

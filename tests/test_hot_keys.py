@@ -111,6 +111,20 @@ def test_windows_on_ordered_tables_exchange_no_rows(ticks):
         assert "Bucketed: true" in plan and "hashpartitioning(_slice" not in plan.replace("REPARTITION_BY_NUM", "").split("Union")[0]
 
 
+def test_extended_tables_stay_in_order(ticks):
+    """Indicators stored in the prices' order: the label equals the one of the plain frame, and nothing is sorted anew."""
+    plain = features.training_frame(None, indicators.indicator_table(ticks.na.drop(subset=["symbol"])))
+    table = indicators.ordered_indicators(order_table(ticks.na.drop(subset=["symbol"]), "symbol", "trade_time", 25))
+    assert table.parts > 20 and table.rows.count() == plain.count()
+    frame = features.training_frame(None, table)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "rangepartitioning" not in plan
+    rounded = lambda df: Counter(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+    assert rounded(frame) == rounded(plain)
+    with pytest.raises(ValueError, match="hold the prices"):
+        features.training_frame(ticks, table)
+
+
 def _rsi(rows):
     want = {}
     for symbol in {r[0] for r in rows}:
