@@ -85,7 +85,7 @@ def assignments(text: str) -> list[tuple[str, Value]]:
     out, constants, done = [], {}, 0
     for op in OPERATOR.finditer(text):
         at = op.start()
-        if at < done or text[at + 1 : at + 2] == "=" or text[at - 1 : at] in ("=", "!", "<", ">", ":") or text[at : at + 3] == "://":
+        if at < done or text[op.end() : op.end() + 1] == "=" or text[at - 1 : at] in ("=", "!", "<", ">", ":") or text[at : at + 3] == "://":
             continue
         before = NAME_BEFORE.search(text[max(0, at - REACH) : at].rsplit("\n", 1)[-1])
         if not before:
