@@ -4,6 +4,7 @@ import plain
 import pytest
 
 import corpus_pipeline
+from barstream.llm import common
 from barstream.llm.common import stored
 
 
@@ -86,3 +87,22 @@ def test_session_settings_come_back(spark, documents):
     before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
     corpus_pipeline.mixed(spark, documents, plain.SF)
     assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == before
+
+
+def test_stages_write_no_texts_and_the_pipeline_each_once(spark, documents, monkeypatch, tmp_path):
+    """The caller writes a stage's rows: its own work tables hold no texts, the pipeline's one table of each stage does."""
+    folders = iter(range(10_000))
+    monkeypatch.setattr(common, "work_folder", lambda spark, name: f"{tmp_path}/{next(folders)}-{name}")
+    docs = documents.limit(300)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, plain.SF).columns == docs.columns
+    texts = [f.name for f in tmp_path.iterdir() if "text" in spark.read.parquet(str(f)).columns]
+    assert texts == []
+
+    written = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: written.append((name, spark.conf.get(corpus_pipeline.BATCH_SETTING))) or stored(df, name))
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    corpus_pipeline.run(spark, plain.SF)
+    names = [stage.__name__ for _, stage in corpus_pipeline.STAGES]
+    assert [w for w in written if w[0] in names] == [(n, str(corpus_pipeline.BATCH_ROWS)) for n in names]
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == before
