@@ -232,6 +232,22 @@ def test_correlations_know_no_width(spark, columns):
     assert nearest[0]["feature"] == "c2" and nearest[-1]["correlation"] is None
 
 
+def test_features_of_constant_and_extreme_columns(spark):
+    """Constant columns, a constant label and no rows have NULL; very small and very large spreads their correlation."""
+    rows = [(7.1, x * 1e-90, x * 1e90, -x, x, 1) for x in (1.0, 2.0, 4.0)]
+    df = spark.createDataFrame(rows, "c double, small double, large double, minus double, label double, one int")
+    names = ["c", "small", "large", "minus"]
+    got = {r["feature"]: r["correlation"] for r in T.select_features(df, names, "label").collect()}
+    assert got["c"] is None and math.isclose(got["minus"], -1.0)
+    assert math.isclose(got["small"], 1.0) and math.isclose(got["large"], 1.0)
+    got = {r["feature"]: r["correlation"] for r in T.select_features(df, ["large", "minus"], "small").collect()}
+    assert math.isclose(got["large"], 1.0) and math.isclose(got["minus"], -1.0)
+    cells = {(r["x"], r["y"]): r["correlation"] for r in T.correlations(df, names).collect()}
+    assert math.isclose(cells["small", "small"], 1.0) and math.isclose(cells["large", "large"], 1.0)
+    for frame, label in ((df, "one"), (df.limit(0), "label")):
+        assert [r["correlation"] for r in T.select_features(frame, names, label).collect()] == [None] * 4
+
+
 @pytest.mark.parametrize("test", [0.004, 0.025, 0.2])
 def test_split_takes_small_shares(spark, test):
     from barstream.operators.features import mark_split
