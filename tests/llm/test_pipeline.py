@@ -106,3 +106,14 @@ def test_stages_write_no_texts_and_the_pipeline_each_once(spark, documents, monk
     names = [stage.__name__ for _, stage in corpus_pipeline.STAGES]
     assert [w for w in written if w[0] in names] == [(n, str(corpus_pipeline.BATCH_ROWS)) for n in names]
     assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == before
+
+
+def test_a_kept_text_goes_to_python_once(spark):
+    """Also beside columns whose names have dots or are those of statistics, which come back in their order."""
+    docs = spark.createDataFrame([("x", "one two", 1, 0.5), (None, None, 2, 1.5)], "`a.b` string, text string, doc_id long, log_words double")
+    out = common.text_rows(docs, ["doc_id", "text"], [common.long("n")], lambda: lambda t: (len(t or ""),))
+    assert sorted(map(tuple, out.collect())) == [(1, "one two", 7), (2, None, 0)]
+    after = corpus_pipeline.decontaminated(spark, docs, plain.SF)
+    assert after.columns == docs.columns and sorted(map(tuple, after.collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    for frame in (out, after):
+        assert "__text" not in frame._jdf.queryExecution().analyzed().toString()
