@@ -15,14 +15,14 @@ from barstream.sources.tables import to_messages
 PRICE_TOPIC, NEWS_TOPIC = "stock-prices", "stock-news"
 PRICE_INTERVAL, NEWS_INTERVAL = "10 seconds", "30 seconds"
 # What a micro-batch takes at most unless told otherwise; the rest waits for the next one.
-OFFSETS_PER_TRIGGER, FILES_PER_TRIGGER = 5_000_000, 1_000
+OFFSETS_PER_TRIGGER, BYTES_PER_TRIGGER = 5_000_000, 2_000_000_000
 
 
 def _read(spark: SparkSession, fmt: str, topic: str, kafka: dict, path: str | None, options: dict) -> DataFrame:
     if fmt == "kafka":
         settings = {"subscribe": topic, "startingOffsets": "earliest", "maxOffsetsPerTrigger": OFFSETS_PER_TRIGGER, **kafka, **options}
         return spark.readStream.format("kafka").options(**settings).load()
-    settings = {"maxFilesPerTrigger": FILES_PER_TRIGGER, **options}
+    settings = options if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": BYTES_PER_TRIGGER, **options}
     return spark.readStream.format(fmt).schema("value string").options(**settings).load(path)
 
 
@@ -60,7 +60,7 @@ def append_batches(
         folder = f"{path}/batch_id={batch_id}"
         out = transform(batch) if transform else batch
         out = out.coalesce(max_files) if max_files else out
-        out.write.mode("overwrite").parquet(folder)
+        out.write.mode("overwrite").option("compression", "zstd").parquet(folder)
         # looked at in the written files, so that no batch is cached or run twice
         if batch.sparkSession.read.schema(out.schema).parquet(folder).isEmpty():
             _remove(batch.sparkSession, folder)

@@ -157,7 +157,7 @@ def stream_late_rows(spark, sf_dir):
 def stream_news_sentiment(spark, sf_dir):
     root = work_dir(spark, "news_stream")
     overwrite_table(fit_sentiment(_labelled(spark, sf_dir)), f"{root}/model")
-    to_messages(X.news(spark, sf_dir).drop("doc_id")).write.parquet(f"{root}/in")
+    to_messages(X.news(spark, sf_dir).drop("doc_id")).write.option("compression", "zstd").parquet(f"{root}/in")
     _run(
         store_news(
             read_news_stream(spark, "parquet", f"{root}/in"), read_table(spark, f"{root}/model"),

@@ -104,6 +104,19 @@ def test_news_stream(spark, tmp_path):
     assert len(got) == 5
 
 
+def test_batches_of_files_are_bounded_by_their_bytes(spark, tmp_path):
+    """However large the files are, a batch's texts and their sums stay bounded; a stated number of files goes before."""
+    for i in range(4):
+        _write(tmp_path / "in", f"{i}.txt", [message(i)])
+    for options, batches in (({"maxBytesPerTrigger": 100}, 4), ({}, 1), ({"maxFilesPerTrigger": 2}, 2)):
+        name = "-".join(options)
+        stream = io.read_news_stream(spark, "text", str(tmp_path / "in"), **options)
+        query = io.append_batches(stream, str(tmp_path / f"out{name}"), str(tmp_path / f"checkpoint{name}"))
+        assert io.run_until_done(query, 120)
+        assert len(list((tmp_path / f"out{name}").glob("batch_id=*"))) == batches
+        assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / f"out{name}").glob("batch_id=*/*.parquet"))
+
+
 def test_kafka_settings():
     """No broker here: check what the sources ask for."""
 

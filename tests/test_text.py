@@ -147,3 +147,25 @@ def test_a_bad_text_spoils_no_other(spark):
     score = make_scorer(share, batches=True, errors=errors)
     got = [r[0] for r in df.select(score("text")).collect()]
     assert got == [1.0, 0.5, 0.2, 0.5, 0.5] and errors.value == 1
+
+
+@pytest.mark.parametrize("sum_rows", [2_000_000, 1])
+def test_a_large_model_leaves_texts_where_they_lie(spark, monkeypatch, sum_rows):
+    """Beyond what is broadcast only digests and rare tokens are shuffled; scores are those of a small model."""
+    from barstream.operators import text as module
+
+    monkeypatch.setattr(module, "SUM_ROWS", sum_rows)
+    words = ["good", "bad", "day", "news", *("w" + chr(97 + i) + chr(97 + j) for i in range(20) for j in range(20))]
+    texts = [(i, " ".join(words[(i * j) % len(words)] for j in range(1, 9))) for i in range(500)]
+    df = spark.createDataFrame([*texts, (600, texts[3][1]), (601, None), (602, "unknownword only"), (603, "ab")], "id int, title string")
+    model = fit_sentiment(df.select(F.col("title").alias("text"), (F.col("id") % 2).alias("label"))).cache()
+    small = {r["id"]: r["sentiment_score"] for r in sentiment_score(df, model).collect()}
+    for table in (model, model.drop("n")):
+        out = sentiment_score(df, table, broadcast_rows=100)
+        got = {r["id"]: r["sentiment_score"] for r in out.collect()}
+        assert got.keys() == small.keys() and all(math.isclose(got[i], small[i], rel_tol=1e-12) for i in small)
+        assert sum_rows == 1 or "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert 0 < module._frequent(model, 100).where("_head").count() <= 100
+    heads = module._frequent(model, 100).groupBy("_head").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
+    by = {r["_head"]: r for r in heads}
+    assert by[True]["lo"] > by[False]["hi"]
