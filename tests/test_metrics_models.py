@@ -1,6 +1,7 @@
 """Metrics, tabular preparation, neighbours and learners."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -282,3 +283,59 @@ def test_every_symbol_is_predicted(spark):
     got = {r["stock_code"]: r for r in L.predict_latest(df, L.fit_classifier("dt", df, FEATURES), "now").collect()}
     assert sorted(got) == ["a", "bb", "ccc"] and got["ccc"]["predicted_direction"] is None
     assert got["bb"]["predicted_direction"] == got["a"]["predicted_direction"] == "UP"
+
+
+@pytest.mark.parametrize("dense", [-1, 1e9])
+@pytest.mark.parametrize("others_only", [False, True])
+def test_knn_either_way(spark, monkeypatch, dense, others_only):
+    """Ties, copies and text keys, by broadcast parts and by cells; no more than k neighbours of a query are stored."""
+    from barstream.operators import neighbors
+
+    monkeypatch.setattr(neighbors, "DENSE", dense)
+    monkeypatch.setattr(neighbors, "PART_BYTES", 3_000)  # several parts
+    monkeypatch.setattr(neighbors, "TASK_QUERIES", 100)
+    monkeypatch.setattr(neighbors, "TILE_POINTS", 16)
+    removed = []
+    monkeypatch.setattr(neighbors, "remove_table", lambda spark, path, real=neighbors.remove_table: removed.append(path) or real(spark, path))
+    rng, n, k = np.random.default_rng(6), 500, 5
+    x = rng.integers(0, 4, (n, 4)).astype(float) * 1e3 + 1e5  # 256 places: many equal vectors and equal distances
+    x[:60] = x[0]
+    labels, ids = rng.integers(0, 3, n), [f"{i * 7919 % n:x}" for i in range(n)]
+    frame = spark.createDataFrame([(i, v.tolist(), int(y)) for i, v, y in zip(ids, x, labels)], "id string, features array<double>, label int")
+    got = {r["id"]: (r["prediction"], r["votes"], r["neighbours"]) for r in knn(frame, frame, k, block=100, others_only=others_only).collect()}
+    rank = np.argsort(np.argsort(np.array(ids)))
+    for i in range(n):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf if others_only else d[i]
+        votes = np.bincount(labels[np.lexsort((rank, d))[:k]], minlength=3)
+        assert got[ids[i]] == (votes.argmax(), votes.max(), k), i
+    points = frame.select(F.col("id").alias("_point"), F.col("features").alias("_vec"))
+    found = neighbors.candidates(points, points.withColumnRenamed("_point", "_query"), 4, k, 100, others_only)
+    assert found.count() == n * k
+    assert (len(removed) > 2) == (dense < 0) and not any(os.path.exists(path) for path in removed)
+
+
+def test_knn_copies_are_compared_once(spark, monkeypatch):
+    """Of equal training rows only the first k can be neighbours, and equal queries ask once."""
+    from barstream.operators import neighbors
+
+    seen = []
+    real = neighbors.candidates
+    monkeypatch.setattr(neighbors, "candidates", lambda points, queries, *rest: seen.append((points.count(), queries.count())) or real(points, queries, *rest))
+    frame = spark.range(6_000).select("id", F.array((F.col("id") % 10).cast("double"), F.lit(0.0)).alias("features"), (F.col("id") % 10 > 4).cast("int").alias("label"))
+    rows = knn(frame, frame, 5).collect()
+    assert seen == [(50, 10)] and len(rows) == 6_000
+    assert all(r["prediction"] == (r["id"] % 10 > 4) and r["votes"] == 5 for r in rows)
+
+
+def test_knn_places_many_dimensions_without_copies_of_queries(spark, monkeypatch):
+    """Where no cell falls away queries are not shuffled to cells."""
+    from barstream.operators import neighbors
+
+    def refused(*_):
+        raise AssertionError("queries were copied to cells")
+
+    monkeypatch.setattr(neighbors, "_in_blocks", refused)
+    x = np.random.default_rng(8).normal(0, 1, (900, 32)).round(3)
+    frame = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "id int, features array<float>, label int")
+    assert knn(frame, frame, 3).count() == 900
